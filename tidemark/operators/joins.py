@@ -29,10 +29,11 @@ def broadcast_if_small(df: DataFrame, rows_per_key: int, keys: Sequence[str] = (
     return df
 
 
-def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate (e.g. the history's max date) to every row:
-    a broadcast cross join of exactly one row, never a collect()."""
-    return df.crossJoin(F.broadcast(one_row))
+def scalar(one_row: DataFrame):
+    """A one-row, one-column aggregate (e.g. the history's max date) as a
+    scalar-subquery Column: evaluated once and shipped to the tasks, never
+    collected by hand and never cross-joined."""
+    return one_row.scalar()
 
 
 def chain_inner(frames: Sequence[DataFrame], on: str | Sequence[str]) -> DataFrame:

@@ -28,7 +28,7 @@ from tidemark.functions.calendar import iso_week, last_saturday_on_or_before
 from tidemark.functions.scalar import cap
 from tidemark.operators import indices as ix
 from tidemark.operators.baseline import centred_circular, join_baseline
-from tidemark.operators.joins import chain_inner, with_scalar
+from tidemark.operators.joins import chain_inner
 from tidemark.operators.series import daily_to_weekly, decimal_to_double, money, zero_fill_daily
 from tidemark.operators.windows import rollmean
 from tidemark.sources.tables import Tables
@@ -64,6 +64,12 @@ def asof(t: Tables) -> DataFrame:
     return orders_daily(t).agg(last_saturday_on_or_before(F.max("d")).alias("asof"))
 
 
+def asof_value(t: Tables):
+    """The analysis week as a scalar-subquery Column (computed once, shipped
+    to every task; no collect, no cross join)."""
+    return asof(t).scalar()
+
+
 def weekly_orders(t: Tables) -> DataFrame:
     return daily_to_weekly(orders_daily(t), "d", [], ["n"])
 
@@ -83,7 +89,7 @@ def home_sales(t: Tables) -> DataFrame:
     wk = weekly_orders(t)
     base = centred_circular(wk, BASE_YEAR)
     s = join_baseline(wk, base, "inner")
-    s = with_scalar(s, asof(t)).where(F.col("week_end").between(F.lit(SINCE), F.col("asof")))
+    s = s.where(F.col("week_end").between(F.lit(SINCE), asof_value(t)))
     io = ix.ratio_index(F.col("n"), F.col("base"))
     return s.select("week_end", "iso_week", "n", "base",
                     io.alias("index_original"), cap(io).alias("index"))
@@ -108,11 +114,10 @@ def rentals(t: Tables) -> DataFrame:
     wk = weekly_quantity(t)
     jan = (wk.where((F.year("week_end") == BASE_YEAR) & (F.month("week_end") == 1))
            .agg((F.sum("qty").cast("double") / F.count("*")).alias("scale")))
-    s = with_scalar(with_scalar(wk, jan), asof(t))
-    s = s.where(F.col("week_end").between(F.lit(SINCE), F.col("asof")))
+    s = wk.where(F.col("week_end").between(F.lit(SINCE), asof_value(t)))
     wkno = iso_week(F.col("week_end"))
     model = ix.seasonal_model(F.month("week_end"))
-    adj = ix.seasonal_adjusted(F.col("qty"), wkno, F.col("scale"))
+    adj = ix.seasonal_adjusted(F.col("qty"), wkno, jan.scalar())
     diff = ix.seasonal_difference(adj, model)
     io = ix.seasonal_index(diff)
     return s.select(wkno.alias("iso_week"), "week_end", model.alias("model"), "qty",
@@ -129,7 +134,7 @@ def hospital(t: Tables) -> DataFrame:
     s = s.withColumn("rolling_seven", m)
     io = ix.log_index(F.col("rolling_seven"))
     s = s.select("d", "n", "rolling_seven", io.alias("index_original"), cap(io).alias("index"))
-    return with_scalar(s, asof(t)).where(F.col("index").isNotNull() & (F.col("d") <= F.col("asof"))).drop("asof")
+    return s.where(F.col("index").isNotNull() & (F.col("d") <= asof_value(t)))
 
 
 # --- D2 subway: comparable day ---------------------------------------------------
@@ -149,7 +154,7 @@ def subway(t: Tables) -> DataFrame:
     io = ix.comparable_index(F.col("avg7"))
     s = s.select("day_of_week", "d", "comparable", "avg7", io.alias("index_original"),
                  cap(io).alias("index"), "avg_revenue")
-    return with_scalar(s, asof(t)).where(F.col("d") <= F.col("asof")).drop("asof")
+    return s.where(F.col("d") <= asof_value(t))
 
 
 # --- D1 restaurants: shift of a YoY percent ----------------------------------------
@@ -168,7 +173,7 @@ def restaurants(t: Tables) -> DataFrame:
     io = ix.shift_index(F.col("avg7"))
     s = s.select(F.dayofweek("d").alias("day_of_week"), "d", "yoy", "avg7",
                  io.alias("index_original"), cap(io).alias("index"))
-    return with_scalar(s, asof(t)).where(F.col("d") <= F.col("asof")).drop("asof")
+    return s.where(F.col("d") <= asof_value(t))
 
 
 # --- J4 / D8 composite -------------------------------------------------------------

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import cap
 from tidemark.operators import indices as ix
 from tidemark.operators.baseline import centred_circular, join_baseline
-from tidemark.operators.joins import with_scalar
 from tidemark.operators.series import zero_fill_daily
 from tidemark.operators.windows import rollmean
 from tidemark.plans import feeds as fd
