@@ -51,24 +51,26 @@ def diff(x: str | Column, order_by="d", partition_by: Sequence[str] = ()) -> Col
 
 
 def horizon_change(series: DataFrame, keys: Sequence[str], date_col: str,
-                   value_col: str, horizons: DataFrame) -> DataFrame:
+                   value_col: str, horizons: Sequence[tuple[str, int | Column]]) -> DataFrame:
     """Percent change of each series' latest value against the value
     ``days_back`` days earlier, for every (series, horizon).
 
-    ``horizons`` has columns ``change`` and ``days_back`` (a column expression
-    may have used the series' max date, see ``since_base_horizon``), and may
-    carry ``mx`` to reference. The look-up is exact; when the old date is
-    missing the latest value is compared with itself (change 0), as the
-    reference does. The per-series maxima and the horizon table are tiny;
-    the look-up is an equi-join on (keys, date).
+    ``horizons`` is a list of ``(name, days_back)``; ``days_back`` may be a
+    Column over ``mx`` (the series' latest date), e.g. whole years since the
+    base year. Horizons are attached by exploding a literal array (no join),
+    and the look-up of the old value is an equi-join on (keys, date). When
+    the old date is missing the latest value is compared with itself
+    (change 0), as the reference does.
     """
     latest = series.groupBy(*keys).agg(F.max(date_col).alias("mx"))
     cur = (latest.join(series.withColumnRenamed(date_col, "mx"), [*keys, "mx"])
            .withColumnRenamed(value_col, "new"))
-    wanted = cur.crossJoin(F.broadcast(horizons)) if "mx" not in horizons.columns else None
-    if wanted is None:
-        raise ValueError("horizons must not carry mx; use days_back")
-    wanted = wanted.withColumn("old_date", F.date_sub(F.col("mx"), F.col("days_back")))
+    hz = F.array(*[F.struct(F.lit(name).alias("change"),
+                            (back if isinstance(back, Column) else F.lit(back)).cast("int").alias("days_back"))
+                   for name, back in horizons])
+    wanted = (cur.select(*keys, "mx", "new", F.explode(hz).alias("h"))
+              .select(*keys, "mx", "new", "h.change",
+                      F.date_sub(F.col("mx"), F.col("h.days_back")).alias("old_date")))
     old = series.select(*keys, F.col(date_col).alias("old_date"), F.col(value_col).alias("old"))
     out = wanted.join(old, [*keys, "old_date"], "left")
     old_v = F.coalesce(F.col("old"), F.col("new"))

@@ -196,3 +196,12 @@ def with_ctes(select: str, *roots: str) -> str:
     if not order:
         return select
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + select
+
+
+SEGMENTS_SQL = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+CTES.update({
+    "sd": ("SELECT c.c_mktsegment AS area, CAST(o.o_orderdate AS DATE) AS d, count(*) AS n "
+           "FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY 1, 2"),
+    "sw": f"SELECT area, {week_end('d')} AS week_end, CAST(sum(n) AS BIGINT) AS n FROM sd GROUP BY 1, 2",
+    "swa": "SELECT * FROM sw UNION ALL SELECT 'ALL', week_end, CAST(sum(n) AS BIGINT) FROM sw GROUP BY 2",
+})
