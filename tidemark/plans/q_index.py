@@ -31,14 +31,15 @@ def baseline_centred(t):
 
 _BL = S.baseline_ctes("bl52", "wk", week53=False)
 S.CTES.update(_BL)
-
-
-@query("baseline_left", W(
+S.CTES["bl_out"] = (
     f"SELECT wk.week_end, {S.isoweek('wk.week_end')} AS iso_week, wk.n, b.base, "
     f"wk.n / NULLIF(b.base, 0) * {D(100)} AS index_original, "
     f"{S.cap(f'wk.n / NULLIF(b.base, 0) * {D(100)}')} AS index "
     f"FROM wk LEFT JOIN bl52 b ON b.iso_week = {S.isoweek('wk.week_end')} "
-    f"WHERE wk.week_end >= DATE '{fd.SINCE}'"))
+    f"WHERE wk.week_end >= DATE '{fd.SINCE}'")
+
+
+@query("baseline_left", W("SELECT * FROM bl_out"))
 def baseline_left(t):
     """Left join to a 52-week baseline (no week-53 rule): weeks 53 keep
     their row with a NULL baseline and NULL index (cap keeps NULL)."""
