@@ -42,7 +42,11 @@ K = 7                            # rolling window, rows
 
 
 def orders_daily(t: Tables) -> DataFrame:
-    """(d, n, n_urgent, revenue) per order date."""
+    """(d, n, n_urgent, revenue) per order date, staged once per run."""
+    return t.stage("orders_daily", lambda: _orders_daily(t))
+
+
+def _orders_daily(t: Tables) -> DataFrame:
     o = t.orders.select(F.to_date("o_orderdate").alias("d"), "o_orderpriority", "o_totalprice")
     return (o.groupBy("d")
             .agg(F.count("*").alias("n"),
@@ -51,7 +55,11 @@ def orders_daily(t: Tables) -> DataFrame:
 
 
 def lineitem_daily(t: Tables) -> DataFrame:
-    """(d, n_lines, n_returned, qty) per ship date."""
+    """(d, n_lines, n_returned, qty) per ship date, staged once per run."""
+    return t.stage("lineitem_daily", lambda: _lineitem_daily(t))
+
+
+def _lineitem_daily(t: Tables) -> DataFrame:
     li = t.lineitem.select(F.to_date("l_shipdate").alias("d"), "l_returnflag", "l_quantity")
     return (li.groupBy("d")
             .agg(F.count("*").alias("n_lines"),

@@ -23,6 +23,7 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
+        self._stages: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -33,3 +34,19 @@ class Tables:
         if name in TABLES:
             return self.table(name)
         raise AttributeError(name)
+
+    def stage(self, name: str, build) -> DataFrame:
+        """Materialise ``build()`` once for this run as parquet in the shared
+        checkpoint folder and read it back.
+
+        Used for the day-grain aggregates that several feeds of one plan
+        share: the fact table is scanned once, the lineage is cut (a lost
+        executor re-reads a small durable file rather than rescanning the
+        facts), and later reads carry real size statistics for AQE.
+        """
+        if name not in self._stages:
+            from tidemark.session import scratch_path
+            path = scratch_path(self.spark, name)
+            build().write.mode("overwrite").parquet(path)
+            self._stages[name] = self.spark.read.parquet(path)
+        return self._stages[name]
