@@ -69,7 +69,7 @@ def _lineitem_daily(t: Tables) -> DataFrame:
 
 def asof(t: Tables) -> DataFrame:
     """One row: the analysis week = last Saturday on or before the last order date."""
-    return orders_daily(t).agg(last_saturday_on_or_before(F.max("d")).alias("asof"))
+    return t.memo("asof", lambda: orders_daily(t).agg(last_saturday_on_or_before(F.max("d")).alias("asof")))
 
 
 def asof_value(t: Tables):
@@ -214,6 +214,12 @@ ALL_AREAS = "ALL"
 
 
 def segment_daily(t: Tables, extra: bool = False) -> DataFrame:
+    """(area, d, n[, n_finished, price]) orders per market segment and day,
+    staged once per run (every consumer reads the small staged table)."""
+    return t.stage("segment_daily_x" if extra else "segment_daily", lambda: _segment_daily(t, extra))
+
+
+def _segment_daily(t: Tables, extra: bool) -> DataFrame:
     """(area, d, n[, n_finished, price]) orders per market segment and day.
 
     Orders are first reduced to (customer, day) with a map-side partial

@@ -122,5 +122,6 @@ def append_history(t):
     raw = fd.yoy_daily(t).select("d", F.col("n").cast("int").alias("source_n"))
     hist = (r.join(raw, "d").where(F.col("d") <= F.lit(HISTORY_CUTOFF))
             .select("day_of_week", "d", "avg7", "index_original", "index", "source_n"))
-    new = r.select("day_of_week", "d", "avg7", "index_original", "index")
+    new = r.select("day_of_week", "d", "avg7", "index_original", "index",
+                   F.lit(None).cast("int").alias("source_n"))   # P11: typed NA
     return cp.append_newer(hist, new, "d", fd.asof_value(t))

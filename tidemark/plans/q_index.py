@@ -79,6 +79,13 @@ def seasonal_index(t):
     return fd.rentals(t)
 
 
+@query("seasonal_latest", W("SELECT rentals.* FROM rentals, aw WHERE rentals.week_end = aw.asof"))
+def seasonal_latest(t):
+    """The one new row of the weekly run - exact look-up of the
+    analysis week in the seasonal feed."""
+    return fd.rentals(t).where(F.col("week_end") == fd.asof_value(t))
+
+
 S.CTES.update({
     "ev_d": ("SELECT CAST(ts AS DATE) AS d, CAST(count_if(event_type = 'error') AS BIGINT) AS n FROM events GROUP BY 1"),
     "ev_f": ("SELECT s.d, COALESCE(ev_d.n, 0) AS n FROM "

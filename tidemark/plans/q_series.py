@@ -146,9 +146,13 @@ S.CTES["mps"] = ("SELECT month, o_orderpriority, "
                  + S.rhe("n", "sum(n) OVER (PARTITION BY month)", 2, 100) + " AS share FROM mp")
 
 
+def _month_group(t, col="o_orderpriority"):
+    o = t.orders.select(F.trunc(F.to_date("o_orderdate"), "month").alias("month"), col)
+    return o.groupBy("month", col).agg(F.count("*").alias("n"))
+
+
 def _month_priority(t):
-    o = t.orders.select(F.trunc(F.to_date("o_orderdate"), "month").alias("month"), "o_orderpriority")
-    return o.groupBy("month", "o_orderpriority").agg(F.count("*").alias("n"))
+    return _month_group(t, "o_orderpriority")
 
 
 @query("share_by_group", W("SELECT * FROM mps"))
@@ -169,6 +173,23 @@ def share_wide(t):
                    "o_orderpriority", "share", PRIORITIES, _PCOLS)
 
 
+STATUSES = ("F", "O", "P")
+_SCOLS = wide_names(STATUSES, prefix="status_")
+S.CTES["mss"] = ("SELECT month, o_orderstatus, " + S.rhe("n", "sum(n) OVER (PARTITION BY month)", 2, 100)
+                 + " AS share FROM (SELECT CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS month, "
+                 "o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2)")
+
+
+@query("share_wide_status", W("SELECT month, " + ", ".join(
+    f"max(share) FILTER (WHERE o_orderstatus = '{v}') AS {c}" for v, c in zip(STATUSES, _SCOLS))
+    + " FROM mss GROUP BY month"))
+def share_wide_status(t):
+    """D16, second parameter set: the same monthly share job grouped by
+    order status instead of priority."""
+    return to_wide(share_of_total(_month_group(t, "o_orderstatus"), ["month"], "n"), ["month"],
+                   "o_orderstatus", "share", STATUSES, _SCOLS)
+
+
 @query("share_weekly", W("SELECT week_end, " + ", ".join(
     f"max(share) FILTER (WHERE area = '{s}') AS {c}" for s, c in zip(SEG, _SEGCOLS))
     + " FROM (SELECT week_end, area, " + S.rhe("n", "sum(n) OVER (PARTITION BY week_end)", 2, 100)

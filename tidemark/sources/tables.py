@@ -24,6 +24,7 @@ class Tables:
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
         self._stages: dict[str, DataFrame] = {}
+        self._memo: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -50,3 +51,10 @@ class Tables:
             build().write.mode("overwrite").parquet(path)
             self._stages[name] = self.spark.read.parquet(path)
         return self._stages[name]
+
+    def memo(self, name: str, build) -> DataFrame:
+        """Build a (lazy) DataFrame once per run, so every use is the same
+        plan and Spark reuses its exchange or subquery."""
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
