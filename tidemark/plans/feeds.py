@@ -43,7 +43,7 @@ K = 7                            # rolling window, rows
 
 def orders_daily(t: Tables) -> DataFrame:
     """(d, n, n_urgent, revenue) per order date, staged once per run."""
-    return t.stage("orders_daily", lambda: _orders_daily(t))
+    return t.stage("orders_daily", lambda: _orders_daily(t), ["orders"])
 
 
 def _orders_daily(t: Tables) -> DataFrame:
@@ -56,7 +56,7 @@ def _orders_daily(t: Tables) -> DataFrame:
 
 def lineitem_daily(t: Tables) -> DataFrame:
     """(d, n_lines, n_returned, qty) per ship date, staged once per run."""
-    return t.stage("lineitem_daily", lambda: _lineitem_daily(t))
+    return t.stage("lineitem_daily", lambda: _lineitem_daily(t), ["lineitem"])
 
 
 def _lineitem_daily(t: Tables) -> DataFrame:
@@ -216,7 +216,8 @@ ALL_AREAS = "ALL"
 def segment_daily(t: Tables, extra: bool = False) -> DataFrame:
     """(area, d, n[, n_finished, price]) orders per market segment and day,
     staged once per run (every consumer reads the small staged table)."""
-    return t.stage("segment_daily_x" if extra else "segment_daily", lambda: _segment_daily(t, extra))
+    return t.stage("segment_daily_x" if extra else "segment_daily", lambda: _segment_daily(t, extra),
+                   ["orders", "customer"])
 
 
 def _segment_daily(t: Tables, extra: bool) -> DataFrame:
