@@ -74,3 +74,18 @@ def read_published(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
     # the manifest has one row per published run; joining on the partition
     # columns lets Spark prune the folders of uncommitted runs
     return data.join(F.broadcast(latest), ["analysis_week", "run_id"]).drop("run_id")
+
+
+def main(argv=None) -> None:
+    """``python -m tidemark.plans.publish <tables dir> <output dir>``: one weekly run."""
+    import sys
+    from tidemark.session import build_session
+    args = list(sys.argv[1:] if argv is None else argv)
+    if len(args) != 2:
+        raise SystemExit("usage: python -m tidemark.plans.publish <tables dir> <output dir>")
+    spark = SparkSession.getActiveSession() or build_session()
+    print(publish(spark, args[0], args[1]))
+
+
+if __name__ == "__main__":
+    main()

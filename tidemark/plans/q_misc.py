@@ -154,9 +154,9 @@ def json_props(t):
 @query("nested_series_explode", W(
     "SELECT event_type, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1, 2"))
 def nested_series_explode(t):
-    """Daily counts per event type packed into one JSON document per
-    month (header dates + value arrays per series), then parsed, zipped and
-    exploded back to rows."""
+    """Daily counts per event type packed into JSON documents (one per
+    month and series: header dates + value array), then parsed with a
+    declared schema, zipped and exploded back to rows."""
     daily = (t.events.select("event_type", F.to_date("ts").alias("d"))
              .groupBy("event_type", "d").agg(F.count("*").alias("n"))
              .withColumn("month", F.trunc("d", "month")))

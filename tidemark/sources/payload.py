@@ -33,17 +33,18 @@ SERIES_DOC = T.StructType([
 
 
 def series_documents(long: DataFrame, doc_key: str, name: str, date_col: str, value_col: str) -> DataFrame:
-    """Long (doc_key, name, date, value) -> one JSON document per doc_key.
-    Each (doc_key, name) group holds one point per day of a month, so the
-    arrays are bounded (<= 31 points) whatever the data volume."""
+    """Long (doc_key, name, date, value) -> one JSON document per
+    (doc_key, name): ``{"month": .., "series": [{"name", "headers", "values"}]}``.
+    A document holds one series' points of one month (<= 31), so no group
+    grows with the data volume or with the number of series."""
     pts = (long.groupBy(doc_key, name)
            .agg(F.sort_array(F.collect_list(F.struct(F.col(date_col).cast("string").alias("h"),
                                                      F.col(value_col).alias("v")))).alias("pts")))
-    ser = pts.select(doc_key, F.struct(F.col(name).alias("name"),
-                                       F.transform("pts", lambda p: p["h"]).alias("headers"),
-                                       F.transform("pts", lambda p: p["v"]).alias("values")).alias("s"))
-    return (ser.groupBy(doc_key).agg(F.sort_array(F.collect_list("s")).alias("series"))
-            .select(F.to_json(F.struct(F.col(doc_key).cast("string").alias("month"), "series")).alias("payload")))
+    ser = F.struct(F.col(name).alias("name"),
+                   F.transform("pts", lambda p: p["h"]).alias("headers"),
+                   F.transform("pts", lambda p: p["v"]).alias("values"))
+    return pts.select(F.to_json(F.struct(F.col(doc_key).cast("string").alias("month"),
+                                         F.array(ser).alias("series"))).alias("payload"))
 
 
 def explode_series(docs: DataFrame, payload: str = "payload") -> DataFrame:
