@@ -230,16 +230,21 @@ S.CTES["ry"] = ("SELECT r.r_name, year(CAST(o.o_orderdate AS DATE)) AS y, count(
                 "JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY 1, 2")
 
 
-def _region_year_wide(t):
+def _region_year(t):
     o = t.orders.select("o_custkey", F.year(F.to_date("o_orderdate")).alias("y"))
     per_cust = o.groupBy("o_custkey", "y").agg(F.count("*").alias("n"))
     geo = (t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
            .join(t.nation.select("n_nationkey", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey")
            .join(t.region.select("r_regionkey", "r_name"), "r_regionkey").select("o_custkey", "r_name"))
-    long = (per_cust.join(geo, "o_custkey").groupBy("r_name", "y").agg(F.sum("n").alias("n"))
+    return (per_cust.join(geo, "o_custkey").groupBy("r_name", "y").agg(F.sum("n").alias("n"))
             .withColumn("period", F.concat(F.lit("y"), F.col("y").cast("string"))))
-    # The matrix has one column per year present in the data (Spark finds the
-    # distinct years itself; the count is bounded by the calendar).
+
+
+def _region_year_wide(t):
+    """Region x year matrix with one column per year present in the data.
+    The long aggregate is staged first, so the distinct-years job Spark runs
+    for a value-less pivot reads a table of (regions x years) rows."""
+    long = t.stage("region_year", lambda: _region_year(t), ["orders", "customer", "nation", "region"])
     return long.groupBy("r_name").pivot("period").agg(F.max("n"))
 
 
@@ -316,13 +321,13 @@ def multi_sum(t):
     "FROM orders), (SELECT CAST(min(l_shipdate) AS DATE) AS first_ship, CAST(max(l_shipdate) AS DATE) AS last_ship "
     "FROM lineitem)"))
 def min_max_dates(t):
-    """A5: global extremes of the two date columns (one row)."""
+    """A5: global extremes of the two date columns (one row); each table is
+    scanned once (the ship-date pair is one struct-valued scalar subquery)."""
     o = t.orders.agg(F.to_date(F.min("o_orderdate")).alias("first_order"),
                      F.to_date(F.max("o_orderdate")).alias("last_order"))
-    li = t.lineitem.agg(F.to_date(F.min("l_shipdate")).alias("first_ship"),
-                        F.to_date(F.max("l_shipdate")).alias("last_ship"))
-    return o.select("*", li.select("first_ship").scalar().alias("first_ship"),
-                    li.select("last_ship").scalar().alias("last_ship"))
+    ship = t.lineitem.agg(F.struct(F.to_date(F.min("l_shipdate")).alias("lo"),
+                                   F.to_date(F.max("l_shipdate")).alias("hi"))).scalar()
+    return o.select("*", ship.getField("lo").alias("first_ship"), ship.getField("hi").alias("last_ship"))
 
 
 # --- filters and sorts -----------------------------------------------------------------

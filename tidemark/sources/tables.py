@@ -74,7 +74,7 @@ class Tables:
         """
         if name not in self._stages:
             from tidemark.session import scratch_path
-            key = (self.spark.sparkContext.applicationId, name, self.fingerprint(inputs))
+            key = (self.spark.sparkContext.applicationId, self.sf_dir, name, self.fingerprint(inputs))
             path = _STAGED.get(key)
             if path is None or not self._exists(path):
                 path = scratch_path(self.spark, name)
