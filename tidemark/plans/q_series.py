@@ -321,13 +321,16 @@ def multi_sum(t):
     "FROM orders), (SELECT CAST(min(l_shipdate) AS DATE) AS first_ship, CAST(max(l_shipdate) AS DATE) AS last_ship "
     "FROM lineitem)"))
 def min_max_dates(t):
-    """A5: global extremes of the two date columns (one row); each table is
-    scanned once (the ship-date pair is one struct-valued scalar subquery)."""
-    o = t.orders.agg(F.to_date(F.min("o_orderdate")).alias("first_order"),
-                     F.to_date(F.max("o_orderdate")).alias("last_order"))
-    ship = t.lineitem.agg(F.struct(F.to_date(F.min("l_shipdate")).alias("lo"),
-                                   F.to_date(F.max("l_shipdate")).alias("hi"))).scalar()
-    return o.select("*", ship.getField("lo").alias("first_ship"), ship.getField("hi").alias("last_ship"))
+    """A5: global extremes of the two date columns, one row. Each table is
+    scanned once; the two one-row aggregates are unioned and pivoted."""
+    o = t.orders.agg(F.lit("order").alias("src"), F.to_date(F.min("o_orderdate")).alias("lo"),
+                     F.to_date(F.max("o_orderdate")).alias("hi"))
+    li = t.lineitem.agg(F.lit("ship").alias("src"), F.to_date(F.min("l_shipdate")).alias("lo"),
+                        F.to_date(F.max("l_shipdate")).alias("hi"))
+    wide = (o.unionByName(li).groupBy().pivot("src", ["order", "ship"])
+            .agg(F.max("lo").alias("first"), F.max("hi").alias("last")))
+    return wide.select(F.col("order_first").alias("first_order"), F.col("order_last").alias("last_order"),
+                       F.col("ship_first").alias("first_ship"), F.col("ship_last").alias("last_ship"))
 
 
 # --- filters and sorts -----------------------------------------------------------------
