@@ -1,6 +1,13 @@
 """Summarise the physical plan of every registered query (counts per node type,
 from explain("formatted")). Usage: python tools/plan_summary.py [sf_dir]"""
-import sys, re, io, contextlib; sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))))
+import contextlib
+import io
+import os
+import re
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from tidemark.session import build_session
 from __spark_entry__ import queries
 spark = build_session()
