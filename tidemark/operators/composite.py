@@ -68,8 +68,9 @@ def cap_scores(df: DataFrame, measures: Sequence[str], limit: float = 100.0 / PA
 
 
 def readiness(frames: dict[str, DataFrame], weeks: DataFrame, date_col: str = "date") -> DataFrame:
-    """(feed, week, present, run_ready): which feeds have a non-null value
-    for each expected week; ``run_ready`` is true only if all are present.
+    """(feed, week, present, run_ready, any_missing): which feeds have a
+    non-null value for each expected week; ``run_ready`` is true only if all
+    are present, ``any_missing`` is its complement (the gate's bool-any).
     ``frames`` map feed name -> (date, value); ``weeks`` lists the weeks."""
     actual = None
     for name, f in frames.items():
@@ -80,5 +81,7 @@ def readiness(frames: dict[str, DataFrame], weeks: DataFrame, date_col: str = "d
     status = (expected.join(actual.withColumn("_hit", F.lit(True)), ["feed", date_col], "left")
               .select("feed", F.col(date_col).alias("week"),
                       F.coalesce(F.col("_hit"), F.lit(False)).alias("present")))
-    ready = status.agg(F.bool_and("present")).scalar()
-    return status.withColumn("run_ready", ready)
+    gate = status.agg(F.struct(F.bool_and("present").alias("ready"),
+                                F.bool_or(~F.col("present")).alias("missing"))).scalar()
+    return (status.withColumn("run_ready", gate.getField("ready"))
+            .withColumn("any_missing", gate.getField("missing")))

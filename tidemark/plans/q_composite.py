@@ -89,7 +89,8 @@ S.CTES["feed_st"] = ("SELECT e.feed, e.date AS week, a.feed IS NOT NULL AS prese
                      "LEFT JOIN feed_act a ON a.feed = e.feed AND a.date = e.date")
 
 
-@query("feed_status", W("SELECT feed, week, present, (SELECT bool_and(present) FROM feed_st) AS run_ready FROM feed_st"))
+@query("feed_status", W("SELECT feed, week, present, (SELECT bool_and(present) FROM feed_st) AS run_ready, "
+                        "(SELECT bool_or(NOT present) FROM feed_st) AS any_missing FROM feed_st"))
 def feed_status(t):
     """Does every feed have the analysis week and the week before?"""
     frames = {

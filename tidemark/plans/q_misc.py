@@ -177,6 +177,19 @@ def typed_scan(t):
     return csv_io.read_typed_csv(t.spark, path, csv_io.schema_from_codes(["week_end", "n", "iso_week"], "Dni"))
 
 
+@query("untyped_scan", W(f"SELECT week_end, n, {S.isoweek('week_end')} AS iso_week FROM wk"))
+def untyped_scan(t):
+    """A landed CSV read with every column as text (no schema, no
+    inference), then each column cast: ISO date parse, integer truncation."""
+    wk = fd.weekly_orders(t).select("week_end", "n", iso_week(F.col("week_end")).alias("iso_week"))
+    path = scratch_path(t.spark, "untyped_scan")
+    csv_io.write_csv(wk, path)
+    txt = csv_io.read_text_csv(t.spark, path)
+    return txt.select(F.try_to_date("week_end").alias("week_end"),
+                      F.col("n").try_cast("bigint").alias("n"),
+                      to_int_trunc(F.col("iso_week")).alias("iso_week"))
+
+
 @query("csv_roundtrip", W("SELECT * FROM bl_out"))
 def csv_roundtrip(t):
     """A table with NULLs written as CSV (NA token, ISO dates) and read
