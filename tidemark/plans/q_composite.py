@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.operators import composite as cp
+from tidemark.operators.windows import diff
 from tidemark.plans import feeds as fd
 from tidemark.plans import sql as S
 from tidemark.plans.registry import query
@@ -46,6 +47,15 @@ def overview(t):
     return cp.append_newer(hist, sc, "date", fd.asof_value(t))
 
 
+@query("composite_change", W(f"SELECT date, recovery_index, recovery_index - lag(recovery_index) "
+                             f"OVER (ORDER BY date) AS change FROM (SELECT date, {_SUM} AS recovery_index FROM six)"))
+def composite_change(t):
+    """First difference of the composite between consecutive published
+    weeks (one row per week, so the ordered window is calendar-bounded)."""
+    c = cp.composite(fd.six_way_join(t), M).select("date", "recovery_index")
+    return c.withColumn("change", diff("recovery_index", "date"))
+
+
 _PREV = ", ".join(f"{m} AS {m}__prev" for m in M)
 S.CTES.update({
     "wow_w": ("SELECT six.*, p.* EXCLUDE (pdate) FROM six, aw JOIN "
