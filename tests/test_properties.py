@@ -46,7 +46,6 @@ def test_wow_composite_is_mean_of_differences(spark):
 
 
 def test_append_is_idempotent(spark):
-    from pyspark.sql import functions as F
     from tidemark.operators.composite import append_newer
     ov = Q["overview"](spark, SF001)
     again = append_newer(ov, ov, "date")

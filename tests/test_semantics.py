@@ -1,7 +1,6 @@
 """Unit tests for the semantic traps on tiny inline frames."""
 
 import datetime as dt
-import math
 
 from pyspark.sql import functions as F
 

@@ -29,13 +29,6 @@ def broadcast_if_small(df: DataFrame, rows_per_key: int, keys: Sequence[str] = (
     return df
 
 
-def scalar(one_row: DataFrame):
-    """A one-row, one-column aggregate (e.g. the history's max date) as a
-    scalar-subquery Column: evaluated once and shipped to the tasks, never
-    collected by hand and never cross-joined."""
-    return one_row.scalar()
-
-
 def chain_inner(frames: Sequence[DataFrame], on: str | Sequence[str]) -> DataFrame:
     """Inner-join a list of tables on a shared key (any missing key drops
     the row). Each input is at (date) grain, so AQE broadcasts them."""

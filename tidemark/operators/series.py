@@ -27,11 +27,6 @@ def decimal_to_double(c: Column) -> Column:
     return c.cast("decimal(18,2)").cast("double")
 
 
-def to_grain(df: DataFrame, keys: Sequence[str | Column], aggs: Sequence[Column]) -> DataFrame:
-    """groupBy(keys).agg(aggs): one row per (series, period)."""
-    return df.groupBy(*keys).agg(*aggs)
-
-
 def daily_to_weekly(daily: DataFrame, date_col: str, keys: Sequence[str],
                     sums: Sequence[str], out: str = "week_end") -> DataFrame:
     """Roll a day-grain table up to Saturday-ending weeks by summing."""
