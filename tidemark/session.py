@@ -53,6 +53,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # A driver-local folder is not reachable from the executors.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
