@@ -40,6 +40,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_classic(spark: SparkSession) -> bool:
+    """True for a classic (JVM-backed) session, False for Spark Connect."""
+    try:
+        spark.sparkContext
+        return True
+    except Exception:
+        return False
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -47,6 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     read it from the session. Only when it is unset (local tests) do we make
     our own folder and register it, so ``DataFrame.checkpoint()`` works.
     """
+    if not is_classic(spark):
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:

@@ -72,6 +72,9 @@ class Tables:
         lost executor re-reads a small durable file rather than rescanning
         the facts), and later reads carry real size statistics for AQE.
         """
+        from tidemark.session import is_classic
+        if not is_classic(self.spark):
+            return build()   # Spark Connect: no file-system access here; plan stays lazy
         if name not in self._stages:
             from tidemark.session import scratch_path
             key = (self.spark.sparkContext.applicationId, self.sf_dir, name, self.fingerprint(inputs))
