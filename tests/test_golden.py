@@ -1,4 +1,4 @@
-"""Golden rows typed in from the reference's published CSVs (FIXTURES.md)."""
+"""Golden rows: published input/output pairs typed in as literals (FIXTURES.md)."""
 
 import datetime as dt
 import math
@@ -11,7 +11,7 @@ from tidemark.operators import indices as ix
 
 
 def test_claims_inverse_index(spark):
-    # nyc_ui.csv rows 2-3
+    # claims index, two published weeks (the second caps at 100)
     df = spark.createDataFrame([(6740, 5576.666667), (4830, 5120.0)], "x long, b double")
     r = df.select(ix.inverse_index(F.col("x"), F.col("b")).alias("o"),
                   ix.inverse_index_capped(F.col("x"), F.col("b")).alias("c")).collect()
@@ -27,7 +27,7 @@ def test_home_sales_ratio_index(spark):
 
 
 def test_rental_seasonal_index(spark):
-    # streeteasy_rentals.csv row 2: 2022-12-03, inventory 16530, scale 16366.8
+    # rental index, one published week: 2022-12-03, inventory 16530, scale 16366.8
     df = spark.createDataFrame([(dt.date(2022, 12, 3), 16530, 16366.8)], "d date, inv long, scale double")
     adj = ix.seasonal_adjusted(F.col("inv"), iso_week(F.col("d")), F.col("scale"))
     model = ix.seasonal_model(F.month("d"))
@@ -39,7 +39,7 @@ def test_rental_seasonal_index(spark):
 
 
 def test_composite_change_is_mean_of_differences(spark):
-    # visualizations/2022-12-03 WoW: composite = mean of the six differences
+    # a published week-over-week report: composite = mean of the six differences
     diffs = [-3.1590842711103377, -17.26013847181008, 23.0281051747028, 10.723673159061562,
              -1.471428571428575, -4.022857142857141]
     assert math.isclose(sum(diffs) / 6, 1.3063783127596906, rel_tol=1e-12)
@@ -47,7 +47,7 @@ def test_composite_change_is_mean_of_differences(spark):
 
 def test_baseline_wrap_golden(spark):
     from tidemark.operators.baseline import centred_circular
-    # ui_claims_2019.csv: weeks 52, 1, 2 -> baseline of week 1 = 10110
+    # published baseline: weeks 52, 1, 2 -> baseline of week 1 = 10110
     sats = {1: dt.date(2019, 1, 5), 2: dt.date(2019, 1, 12), 52: dt.date(2019, 12, 28)}
     vals = {1: 16110, 2: 8300, 52: 5920}
     df = spark.createDataFrame([(sats[w], vals[w]) for w in sats], "week_end date, n long")

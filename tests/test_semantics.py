@@ -45,7 +45,7 @@ def test_t3_half_even_rounding_exact(spark):
 
 
 def test_pct_chg_matches_reference_golden(spark):
-    # 374 vs 283 -> 32.16 (borough_pending_sale_changes, city-wide WoW)
+    # published week-over-week change: 374 vs 283 -> 32.16
     df = spark.createDataFrame([(374, 283)], "new long, old long")
     assert df.select(pct_chg(F.col("new"), F.col("old"))).first()[0] == 32.16
 
