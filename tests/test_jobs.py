@@ -47,3 +47,19 @@ def test_stream_appends_only_new_weeks_and_is_idempotent(spark):
     # replay from a fresh checkpoint: nothing is appended twice
     start_history_append(spark, landing, history, schema, checkpoint=ckpt + "2").awaitTermination()
     assert spark.read.parquet(history).count() == scores.count()
+
+
+def test_publish_refuses_when_a_feed_is_missing(spark, monkeypatch):
+    import pytest
+    from tidemark.plans import publish as pub
+    from tidemark.plans import q_composite
+
+    def not_ready(t):
+        return q_composite.feed_status(t).withColumn("present", F.col("feed") != F.lit("claims"))
+
+    monkeypatch.setattr(q_composite, "feed_status", not_ready)
+    out = _fresh()
+    with pytest.raises(pub.NotReady):
+        pub.publish(spark, SF01, out)
+    assert not os.path.exists(os.path.join(out, "_published"))
+    assert not os.path.exists(os.path.join(out, "overview"))
