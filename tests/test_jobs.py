@@ -54,8 +54,10 @@ def test_publish_refuses_when_a_feed_is_missing(spark, monkeypatch):
     from tidemark.plans import publish as pub
     from tidemark.plans import q_composite
 
+    original = q_composite.feed_status
+
     def not_ready(t):
-        return q_composite.feed_status(t).withColumn("present", F.col("feed") != F.lit("claims"))
+        return original(t).withColumn("present", F.col("feed") != F.lit("claims"))
 
     monkeypatch.setattr(q_composite, "feed_status", not_ready)
     out = _fresh()
