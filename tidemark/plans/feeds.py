@@ -96,8 +96,8 @@ def weekly_quantity(t: Tables) -> DataFrame:
 # --- D6 home sales: direct ratio -------------------------------------------------
 
 def home_sales(t: Tables) -> DataFrame:
-    """Staged feed table (one row per period), as the measure's published table."""
-    return t.stage("feed_home_sales", lambda: _home_sales(t), ['orders'])
+    """D6 feed: weekly orders / base-year baseline * 100, capped; one row per week. Staged once per run."""
+    return t.stage("feed_home_sales", lambda: _home_sales(t), ["orders"])
 
 
 def _home_sales(t: Tables) -> DataFrame:
@@ -113,8 +113,8 @@ def _home_sales(t: Tables) -> DataFrame:
 # --- D3 claims: inverse ratio ----------------------------------------------------
 
 def claims(t: Tables) -> DataFrame:
-    """Staged feed table (one row per period), as the measure's published table."""
-    return t.stage("feed_claims", lambda: _claims(t), ['lineitem'])
+    """D3 feed: weekly returned lines against their baseline, inverse ratio; one row per week. Staged once per run."""
+    return t.stage("feed_claims", lambda: _claims(t), ["lineitem"])
 
 
 def _claims(t: Tables) -> DataFrame:
@@ -131,8 +131,8 @@ def _claims(t: Tables) -> DataFrame:
 # --- D4 rentals: seasonal distance -----------------------------------------------
 
 def rentals(t: Tables) -> DataFrame:
-    """Staged feed table (one row per period), as the measure's published table."""
-    return t.stage("feed_rentals", lambda: _rentals(t), ['lineitem', 'orders'])
+    """D4 feed: weekly shipped quantity against the monthly seasonal model; one row per week. Staged once per run."""
+    return t.stage("feed_rentals", lambda: _rentals(t), ["lineitem", "orders"])
 
 
 def _rentals(t: Tables) -> DataFrame:
@@ -153,8 +153,8 @@ def _rentals(t: Tables) -> DataFrame:
 # --- D5 hospitalisations: log-damped -----------------------------------------------
 
 def hospital(t: Tables) -> DataFrame:
-    """Staged feed table (one row per period), as the measure's published table."""
-    return t.stage("feed_hospital", lambda: _hospital(t), ['orders'])
+    """D5 feed: daily urgent orders, 7-row mean, log-damped; one row per day. Staged once per run."""
+    return t.stage("feed_hospital", lambda: _hospital(t), ["orders"])
 
 
 def _hospital(t: Tables) -> DataFrame:
@@ -170,8 +170,8 @@ def _hospital(t: Tables) -> DataFrame:
 # --- D2 subway: comparable day ---------------------------------------------------
 
 def subway(t: Tables) -> DataFrame:
-    """Staged feed table (one row per period), as the measure's published table."""
-    return t.stage("feed_subway", lambda: _subway(t), ['orders'])
+    """D2 feed: daily revenue relative to the base year's same weekday, 7-row mean; one row per day. Staged once per run."""
+    return t.stage("feed_subway", lambda: _subway(t), ["orders"])
 
 
 def _subway(t: Tables) -> DataFrame:
@@ -204,8 +204,8 @@ def yoy_daily(t: Tables) -> DataFrame:
 
 
 def restaurants(t: Tables) -> DataFrame:
-    """Staged feed table (one row per period), as the measure's published table."""
-    return t.stage("feed_restaurants", lambda: _restaurants(t), ['orders'])
+    """D1 feed: 7-row mean of the daily YoY percent change + 100; one row per day. Staged once per run."""
+    return t.stage("feed_restaurants", lambda: _restaurants(t), ["orders"])
 
 
 def _restaurants(t: Tables) -> DataFrame:
@@ -245,32 +245,27 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 ALL_AREAS = "ALL"
 
 
-def segment_daily(t: Tables, extra: bool = False) -> DataFrame:
-    """(area, d, n[, n_finished, price]) orders per market segment and day,
+def segment_daily(t: Tables) -> DataFrame:
+    """(area, d, n, n_finished, price): orders per market segment and day,
     staged once per run (every consumer reads the small staged table)."""
-    return t.stage("segment_daily_x" if extra else "segment_daily", lambda: _segment_daily(t, extra),
-                   ["orders", "customer"])
+    return t.stage("segment_daily", lambda: _segment_daily(t), ["orders", "customer"])
 
 
-def _segment_daily(t: Tables, extra: bool) -> DataFrame:
-    """(area, d, n[, n_finished, price]) orders per market segment and day.
-
-    Orders are first reduced to (customer, day) with a map-side partial
+def _segment_daily(t: Tables) -> DataFrame:
+    """Orders are first reduced to (customer, day) with a map-side partial
     aggregate, so a customer holding a third of all orders arrives at the
-    join as one row per day; the join to the customer dimension is left to
-    AQE (broadcast when small, skew-split sort-merge otherwise)."""
+    join as one row per day and map task; the join to the customer dimension
+    is left to AQE (broadcast when small, skew-split sort-merge otherwise).
+    ``n_finished`` sums a value that is NULL for unfinished orders, so a
+    group without finished orders sums to NULL (see ``grain_sum``)."""
     o = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("d"), "o_orderstatus", "o_totalprice")
-    aggs = [F.count("*").alias("n")]
-    if extra:
-        aggs += [F.sum(F.when(F.col("o_orderstatus") == "F", F.lit(1))).alias("n_finished"),
-                 F.sum(money("o_totalprice")).alias("price")]
-    per_cust = o.groupBy("o_custkey", "d").agg(*aggs)
+    per_cust = (o.groupBy("o_custkey", "d")
+                .agg(F.count("*").alias("n"),
+                     F.sum(F.when(F.col("o_orderstatus") == "F", F.lit(1))).alias("n_finished"),
+                     F.sum(money("o_totalprice")).alias("price")))
     c = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("area"))
-    j = per_cust.join(c, "o_custkey")
-    out = [F.sum("n").alias("n")]
-    if extra:
-        out += [F.sum("n_finished").alias("n_finished"), F.sum("price").alias("price")]
-    return j.groupBy("area", "d").agg(*out)
+    return (per_cust.join(c, "o_custkey").groupBy("area", "d")
+            .agg(F.sum("n").alias("n"), F.sum("n_finished").alias("n_finished"), F.sum("price").alias("price")))
 
 
 def segment_weekly(t: Tables, with_all: bool = False) -> DataFrame:

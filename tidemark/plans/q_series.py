@@ -293,7 +293,7 @@ def area_union(t):
 def grain_sum(t):
     """Segment x week sums; a group whose summed values are all NULL
     sums to 0 (R's sum(na.rm=TRUE)), not NULL."""
-    sd = fd.segment_daily(t, extra=True).withColumn("week_end", week_ending_saturday(F.col("d")))
+    sd = fd.segment_daily(t).withColumn("week_end", week_ending_saturday(F.col("d")))
     return (sd.groupBy("area", "week_end")
             .agg(F.sum("n").alias("n"),
                  F.coalesce(F.sum("n_finished"), F.lit(0).cast("long")).alias("n_finished"),
