@@ -43,3 +43,32 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<area:string,d:date,n:bigint>" in plan
     plan = _plan(spark, "multi_sum")
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_tax:double,l_shipdate:timestamp_ntz>" in plan
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_dimension_join_strategies_agree(spark):
+    """Small dimension -> broadcast, no pre-aggregate; over the threshold ->
+    (key, day) pre-aggregate then sort-merge join. Same rows either way."""
+    from tidemark.plans import feeds as fd
+    from tidemark.plans.q_series import facility_rollup
+    from tidemark.sources.tables import Tables
+    t = Tables(spark, SF01)
+    small = fd._segment_daily(t)
+    small_fac = facility_rollup(t)
+    plan_small = small._jdf.queryExecution().executedPlan().toString()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        large = fd._segment_daily(Tables(spark, SF01))
+        large_fac = facility_rollup(Tables(spark, SF01))
+        assert _rows(large) == _rows(small)
+        assert _rows(large_fac) == _rows(small_fac)
+        plan_large = large._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+    assert "BroadcastHashJoin" in plan_small
+    assert "SortMergeJoin" in plan_large and "BroadcastHashJoin" not in plan_large

@@ -33,3 +33,35 @@ def chain_inner(frames: Sequence[DataFrame], on: str | Sequence[str]) -> DataFra
     """Inner-join a list of tables on a shared key (any missing key drops
     the row). Each input is at (date) grain, so AQE broadcasts them."""
     return reduce(lambda a, b: a.join(b, on, "inner"), frames)
+
+
+def broadcast_threshold(spark) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 = never)."""
+    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    for suffix in ("kb", "mb", "gb", "tb", "k", "m", "g", "t", "b"):
+        if v.endswith(suffix):
+            num = v[: -len(suffix)]
+            return int(float(num) * units.get(suffix[0], 1))
+    return int(v)
+
+
+def join_dimension(facts: DataFrame, dim: DataFrame, on: str, dim_bytes: int,
+                   pre_aggregate=None) -> DataFrame:
+    """Join facts to a dimension, choosing the strategy from the dimension's
+    size on disk (file-system metadata, checked before planning):
+
+    * at most ``autoBroadcastJoinThreshold``: broadcast the dimension - the
+      facts are not shuffled for the join at all, and the caller's partial
+      aggregate after the join absorbs any hot key;
+    * larger: first reduce the facts with ``pre_aggregate`` (a map-side
+      partial aggregate on the join key and the output grain, so a key with a
+      third of all rows arrives as a few rows per task), then a plain join that
+      AQE plans as sort-merge with skew splitting.
+    """
+    limit = broadcast_threshold(facts.sparkSession)
+    if 0 <= dim_bytes <= limit:
+        return facts.join(F.broadcast(dim), on)
+    if pre_aggregate is not None:
+        facts = pre_aggregate(facts)
+    return facts.join(dim, on)

@@ -30,7 +30,7 @@ from tidemark.functions.calendar import iso_week, last_saturday_on_or_before
 from tidemark.functions.scalar import cap
 from tidemark.operators import indices as ix
 from tidemark.operators.baseline import centred_circular, join_baseline
-from tidemark.operators.joins import chain_inner
+from tidemark.operators.joins import chain_inner, join_dimension
 from tidemark.operators.series import daily_to_weekly, decimal_to_double, money, zero_fill_daily
 from tidemark.operators.windows import rollmean
 from tidemark.sources.tables import Tables
@@ -252,20 +252,22 @@ def segment_daily(t: Tables) -> DataFrame:
 
 
 def _segment_daily(t: Tables) -> DataFrame:
-    """Orders are first reduced to (customer, day) with a map-side partial
-    aggregate, so a customer holding a third of all orders arrives at the
-    join as one row per day and map task; the join to the customer dimension
-    is left to AQE (broadcast when small, skew-split sort-merge otherwise).
-    ``n_finished`` sums a value that is NULL for unfinished orders, so a
-    group without finished orders sums to NULL (see ``grain_sum``)."""
-    o = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("d"), "o_orderstatus", "o_totalprice")
-    per_cust = (o.groupBy("o_custkey", "d")
-                .agg(F.count("*").alias("n"),
-                     F.sum(F.when(F.col("o_orderstatus") == "F", F.lit(1))).alias("n_finished"),
-                     F.sum(money("o_totalprice")).alias("price")))
+    """Orders join the customer dimension by size (``join_dimension``): a
+    customer table under the broadcast threshold is broadcast and orders are
+    never shuffled for the join; a larger one is joined after orders are
+    reduced to (customer, day) by a map-side partial aggregate, so a
+    customer holding a third of all orders arrives as one row per day and
+    map task. Either way the (segment, day) aggregate is partial before its
+    shuffle. ``n_finished`` sums a value that is NULL for unfinished orders,
+    so a group without finished orders sums to NULL (see ``grain_sum``)."""
+    o = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("d"), F.lit(1).cast("long").alias("n"),
+                        F.when(F.col("o_orderstatus") == "F", F.lit(1)).cast("long").alias("n_finished"),
+                        money("o_totalprice").alias("price"))
+    sums = [F.sum("n").alias("n"), F.sum("n_finished").alias("n_finished"), F.sum("price").alias("price")]
     c = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("area"))
-    return (per_cust.join(c, "o_custkey").groupBy("area", "d")
-            .agg(F.sum("n").alias("n"), F.sum("n_finished").alias("n_finished"), F.sum("price").alias("price")))
+    j = join_dimension(o, c, "o_custkey", t.size_bytes("customer"),
+                       pre_aggregate=lambda df: df.groupBy("o_custkey", "d").agg(*sums))
+    return j.groupBy("area", "d").agg(*sums)
 
 
 def segment_weekly(t: Tables, with_all: bool = False) -> DataFrame:

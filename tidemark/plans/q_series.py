@@ -11,6 +11,7 @@ from tidemark.functions.calendar import iso_week, week_ending_saturday
 from tidemark.functions.scalar import clean_name
 from tidemark.operators.baseline import centred_circular, join_baseline
 from tidemark.operators.indices import ratio_index
+from tidemark.operators.joins import join_dimension
 from tidemark.operators.reshape import share_of_total, to_long, to_wide, union_tagged, wide_names
 from tidemark.operators.series import daily_to_weekly, decimal_to_double, money
 from tidemark.operators.windows import horizon_change as _horizon_change
@@ -93,16 +94,18 @@ S.CTES["rd"] = ("SELECT r.r_name, CAST(l.l_shipdate AS DATE) AS d, count(*) AS n
                             f"{S.rollmean('qty', 'd', 'r_name')} AS qty7 FROM rd"))
 def facility_rollup(t):
     """Line items per supplier (facility) and day, rolled up to
-    region x day, then 7-row means per region."""
-    li = t.lineitem.select("l_suppkey", F.to_date("l_shipdate").alias("d"), "l_quantity")
-    per_sup = (li.groupBy("l_suppkey", "d")
-               .agg(F.count("*").alias("n_lines"), F.sum(F.col("l_quantity").cast("long")).alias("qty")))
+    region x day, then 7-row means per region. The supplier dimension is
+    joined by size (``join_dimension``)."""
+    li = t.lineitem.select("l_suppkey", F.to_date("l_shipdate").alias("d"),
+                           F.lit(1).cast("long").alias("n_lines"), F.col("l_quantity").cast("long").alias("qty"))
+    sums = [F.sum("n_lines").alias("n_lines"), F.sum("qty").alias("qty")]
     geo = (t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
            .join(t.nation.select("n_nationkey", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey")
            .join(t.region.select("r_regionkey", "r_name"), "r_regionkey")
            .select("l_suppkey", "r_name"))
-    g = (per_sup.join(geo, "l_suppkey").groupBy("r_name", "d")
-         .agg(F.sum("n_lines").alias("n_lines"), F.sum("qty").alias("qty")))
+    j = join_dimension(li, geo, "l_suppkey", t.size_bytes("supplier", "nation", "region"),
+                       pre_aggregate=lambda df: df.groupBy("l_suppkey", "d").agg(*sums))
+    g = j.groupBy("r_name", "d").agg(*sums)
     return g.select("r_name", "d", "n_lines", "qty",
                     rollmean("n_lines", fd.K, "d", ["r_name"]).alias("lines7"),
                     rollmean("qty", fd.K, "d", ["r_name"]).alias("qty7"))
@@ -231,12 +234,13 @@ S.CTES["ry"] = ("SELECT r.r_name, year(CAST(o.o_orderdate AS DATE)) AS y, count(
 
 
 def _region_year(t):
-    o = t.orders.select("o_custkey", F.year(F.to_date("o_orderdate")).alias("y"))
-    per_cust = o.groupBy("o_custkey", "y").agg(F.count("*").alias("n"))
+    o = t.orders.select("o_custkey", F.year(F.to_date("o_orderdate")).alias("y"), F.lit(1).cast("long").alias("n"))
     geo = (t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
            .join(t.nation.select("n_nationkey", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey")
            .join(t.region.select("r_regionkey", "r_name"), "r_regionkey").select("o_custkey", "r_name"))
-    return (per_cust.join(geo, "o_custkey").groupBy("r_name", "y").agg(F.sum("n").alias("n"))
+    j = join_dimension(o, geo, "o_custkey", t.size_bytes("customer", "nation", "region"),
+                       pre_aggregate=lambda df: df.groupBy("o_custkey", "y").agg(F.sum("n").alias("n")))
+    return (j.groupBy("r_name", "y").agg(F.sum("n").alias("n"))
             .withColumn("period", F.concat(F.lit("y"), F.col("y").cast("string"))))
 
 

@@ -57,6 +57,10 @@ class Tables:
             out.append((n, cs.getLength(), cs.getFileCount(), fs.getFileStatus(p).getModificationTime()))
         return tuple(out)
 
+    def size_bytes(self, *names: str) -> int:
+        """Bytes on disk of the named tables (metadata only)."""
+        return sum(b for _, b, _, _ in self.fingerprint(names))
+
     def _exists(self, path: str) -> bool:
         jvm = self.spark._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
