@@ -162,9 +162,6 @@ CTES: dict[str, str] = {
             "JOIN rentals r ON r.week_end = h.d JOIN subway s ON s.d = h.d JOIN restaurants rr ON rr.d = h.d"),
 }
 
-_DEP_CACHE: dict[str, set[str]] = {}
-
-
 def _deps(name: str) -> list[str]:
     import re
     body = CTES[name]

@@ -30,6 +30,7 @@ class Tables:
         self._cache: dict[str, DataFrame] = {}
         self._stages: dict[str, DataFrame] = {}
         self._memo: dict[str, DataFrame] = {}
+        self._prints: dict[str, tuple] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -51,10 +52,12 @@ class Tables:
         conf = self.spark._jsc.hadoopConfiguration()
         out = []
         for n in names:
-            p = jvm.org.apache.hadoop.fs.Path(self.path(n))
-            fs = p.getFileSystem(conf)
-            cs = fs.getContentSummary(p)
-            out.append((n, cs.getLength(), cs.getFileCount(), fs.getFileStatus(p).getModificationTime()))
+            if n not in self._prints:   # one listing per table and run
+                p = jvm.org.apache.hadoop.fs.Path(self.path(n))
+                fs = p.getFileSystem(conf)
+                cs = fs.getContentSummary(p)
+                self._prints[n] = (n, cs.getLength(), cs.getFileCount(), fs.getFileStatus(p).getModificationTime())
+            out.append(self._prints[n])
         return tuple(out)
 
     def size_bytes(self, *names: str) -> int:
