@@ -58,9 +58,9 @@ def composite_change(t):
 
 _PREV = ", ".join(f"{m} AS {m}__prev" for m in M)
 S.CTES.update({
-    "wow_w": ("SELECT six.*, p.* EXCLUDE (pdate) FROM six, aw JOIN "
-              f"(SELECT date + 7 AS pdate, {_PREV} FROM six) p ON TRUE "
-              "WHERE six.date = aw.asof AND p.pdate = six.date"),
+    "wow_w": ("SELECT six.*, p.* EXCLUDE (pdate) FROM six "
+              f"JOIN (SELECT date + 7 AS pdate, {_PREV} FROM six) p ON p.pdate = six.date "
+              "JOIN aw ON six.date = aw.asof"),
 })
 
 
