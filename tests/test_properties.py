@@ -56,3 +56,12 @@ def test_overview_equals_composite_scores(spark):
     a = Q["overview"](spark, SF01)
     b = Q["composite_total"](spark, SF01).drop("recovery_index")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_register_views_for_sql(spark):
+    from tidemark.plans.registry import register_views
+    names = register_views(spark, SF01, ["composite_total", "wow_report"], prefix="tm_")
+    assert names == ["tm_composite_total", "tm_wow_report"]
+    n = spark.sql("SELECT count(*) FROM tm_composite_total WHERE recovery_index <= 100").first()[0]
+    assert n == Q["composite_total"](spark, SF01).count()
+    assert spark.sql("SELECT count(*) FROM tm_wow_report").first()[0] == 7

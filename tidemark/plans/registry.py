@@ -41,3 +41,15 @@ def queries() -> dict[str, QueryFn]:
 def oracle_sql() -> dict[str, str]:
     _load()
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
+
+
+def register_views(spark: SparkSession, sf_dir: str, names=None, prefix: str = "") -> list[str]:
+    """Register queries as temporary views so they can be used from SQL:
+    ``register_views(spark, dir, ["composite_total"])`` then
+    ``spark.sql("SELECT * FROM composite_total WHERE recovery_index > 50")``.
+    Views are lazy plans; nothing is collected."""
+    qs = queries()
+    chosen = list(qs) if names is None else list(names)
+    for name in chosen:
+        qs[name](spark, sf_dir).createOrReplaceTempView(prefix + name)
+    return [prefix + n for n in chosen]
