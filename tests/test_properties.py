@@ -65,3 +65,9 @@ def test_register_views_for_sql(spark):
     n = spark.sql("SELECT count(*) FROM tm_composite_total WHERE recovery_index <= 100").first()[0]
     assert n == Q["composite_total"](spark, SF01).count()
     assert spark.sql("SELECT count(*) FROM tm_wow_report").first()[0] == 7
+
+
+def test_t12_only_the_six_feeds_are_capped(spark):
+    capped = Q["ratio_index"](spark, SF01).agg({"index": "max"}).first()[0]
+    uncapped = Q["wide_area_index"](spark, SF01).agg({"all_index": "max"}).first()[0]
+    assert capped <= 100.0 < uncapped

@@ -132,3 +132,10 @@ def test_names():
 def test_slug(spark):
     df = spark.createDataFrame([("Monthly IC by  Industry",)], "s string")
     assert df.select(slug(F.col("s"))).first()[0] == "monthly_ic_by_industry"
+
+
+def test_t8_window_before_cut(spark):
+    # the mean on the first kept day still sees the rows before the cut
+    df = spark.createDataFrame([(d, d) for d in range(1, 11)], "d int, x long")
+    kept = df.select("d", rollmean("x", 7, "d").alias("m")).where(F.col("d") >= 7)
+    assert {r.d: r.m for r in kept.collect()}[7] == 4.0
