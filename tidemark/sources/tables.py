@@ -8,6 +8,7 @@ parquet reader as pushed filters.
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,11 @@ _STAGED: dict[tuple, tuple[str, DataFrame]] = {}
 # resolving a relation lists files and reads footers (~80 ms per table), so
 # queries of one run share it; changed files give a new fingerprint.
 _READS: dict[tuple, DataFrame] = {}
+# File-system fingerprints by path, re-listed after FINGERPRINT_TTL seconds:
+# a 100 TB table on object storage is hundreds of thousands of files, so the
+# queries of one run share one listing; a later run sees fresh metadata.
+FINGERPRINT_TTL = 600.0
+_PRINTS: dict[str, tuple[float, tuple]] = {}
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -62,12 +68,18 @@ class Tables:
         jvm = self.spark._jvm
         conf = self.spark._jsc.hadoopConfiguration()
         out = []
+        now = time.monotonic()
         for n in names:
-            if n not in self._prints:   # one listing per table and run
-                p = jvm.org.apache.hadoop.fs.Path(self.path(n))
-                fs = p.getFileSystem(conf)
-                cs = fs.getContentSummary(p)
-                self._prints[n] = (n, cs.getLength(), cs.getFileCount(), fs.getFileStatus(p).getModificationTime())
+            if n not in self._prints:
+                path = self.path(n)
+                hit = _PRINTS.get(path)
+                if hit is None or now - hit[0] > FINGERPRINT_TTL:
+                    p = jvm.org.apache.hadoop.fs.Path(path)
+                    fs = p.getFileSystem(conf)
+                    cs = fs.getContentSummary(p)
+                    hit = _PRINTS[path] = (now, (n, cs.getLength(), cs.getFileCount(),
+                                                 fs.getFileStatus(p).getModificationTime()))
+                self._prints[n] = hit[1]
             out.append(self._prints[n])
         return tuple(out)
 
