@@ -55,14 +55,12 @@ S.CTES["lf"] = ("SELECT l_returnflag, CAST(l_shipdate AS DATE) AS d, count(*) AS
 @query("across_rollmean", W("SELECT l_returnflag, d, " + ", ".join(
     f"{S.rollmean(c, 'd', 'l_returnflag')} AS {c}" for c in _ACROSS) + " FROM lf"))
 def across_rollmean(t):
-    """The 7-row mean of every measure column, per return flag."""
-    li = t.lineitem.select("l_returnflag", F.to_date("l_shipdate").alias("d"),
-                           "l_quantity", "l_extendedprice", "l_discount")
-    g = (li.groupBy("l_returnflag", "d")
-         .agg(F.count("*").alias("n_lines"),
-              F.sum(F.col("l_quantity").cast("long")).alias("qty"),
-              decimal_to_double(F.sum(money("l_extendedprice"))).alias("revenue"),
-              decimal_to_double(F.sum(money("l_discount"))).alias("discount")))
+    """The 7-row mean of every measure column, per return flag
+    (from the staged per-flag day table)."""
+    lf = fd.lineitem_flag_daily(t)
+    g = lf.select("l_returnflag", "d", "n_lines", "qty",
+                  decimal_to_double(F.col("revenue")).alias("revenue"),
+                  decimal_to_double(F.col("discount")).alias("discount"))
     ids = ["l_returnflag", "d"]
     measures = [c for c in g.columns if c not in ids]
     return g.select(*ids, *[rollmean(c, fd.K, "d", ids[:1]).alias(c) for c in measures])
