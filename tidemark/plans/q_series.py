@@ -148,8 +148,9 @@ S.CTES["mps"] = ("SELECT month, o_orderpriority, "
 
 
 def _month_group(t, col="o_orderpriority"):
-    o = t.orders.select(F.trunc(F.to_date("o_orderdate"), "month").alias("month"), col)
-    return o.groupBy("month", col).agg(F.count("*").alias("n"))
+    """Orders per month and category, rolled up from the staged day table."""
+    oc = fd.orders_category_daily(t)
+    return oc.groupBy(F.trunc("d", "month").alias("month"), col).agg(F.sum("n").alias("n"))
 
 
 def _month_priority(t):
