@@ -102,6 +102,14 @@ def _lineitem_daily(t: Tables) -> DataFrame:
                  F.sum("qty").alias("qty")))
 
 
+def events_type_daily(t: Tables) -> DataFrame:
+    """(event_type, d, n): events per type and day, the one scan of
+    ``events``. Staged once per run."""
+    return t.stage("events_type_daily", lambda: (
+        t.events.select("event_type", F.to_date("ts").alias("d"))
+        .groupBy("event_type", "d").agg(F.count("*").alias("n"))), ["events"])
+
+
 def asof(t: Tables) -> DataFrame:
     """One row: the analysis week = last Saturday on or before the last order date."""
     return t.memo("asof", lambda: orders_daily(t).agg(last_saturday_on_or_before(F.max("d")).alias("asof")))

@@ -101,9 +101,8 @@ S.CTES.update({
                       f"FROM ev_i WHERE {S.cap('index_original')} IS NOT NULL"))
 def log_index(t):
     """D5 on events: daily `error` events, zero-filled, 7-row guard, log-damped."""
-    ev = t.stage("events_daily_error", lambda: (
-        t.events.select(F.to_date("ts").alias("d"), "event_type")
-        .groupBy("d").agg(F.count_if(F.col("event_type") == "error").alias("n"))), ["events"])
+    ev = (fd.events_type_daily(t).groupBy("d")
+          .agg(F.sum(F.when(F.col("event_type") == "error", F.col("n")).otherwise(F.lit(0))).alias("n")))
     s = zero_fill_daily(ev, "d", ["n"]).withColumn("rolling_seven", rollmean("n", fd.K, "d"))
     io = ix.log_index(F.col("rolling_seven"))
     return (s.select("d", "n", "rolling_seven", io.alias("index_original"), cap(io).alias("index"))

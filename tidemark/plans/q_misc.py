@@ -157,9 +157,7 @@ def nested_series_explode(t):
     """Daily counts per event type packed into JSON documents (one per
     month and series: header dates + value array), then parsed with a
     declared schema, zipped and exploded back to rows."""
-    daily = (t.events.select("event_type", F.to_date("ts").alias("d"))
-             .groupBy("event_type", "d").agg(F.count("*").alias("n"))
-             .withColumn("month", F.trunc("d", "month")))
+    daily = fd.events_type_daily(t).withColumn("month", F.trunc("d", "month"))
     docs = payload.series_documents(daily, "month", "event_type", "d", "n")
     rows = payload.explode_series(docs)
     return rows.select(F.col("name").alias("event_type"), F.to_date("header").alias("d"), F.col("value").alias("n"))
