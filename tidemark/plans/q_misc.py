@@ -74,8 +74,9 @@ S.CTES["dd"] = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders"
     "CAST(month(d) AS INTEGER) AS month, CAST(year(d) AS INTEGER) AS year, d + 7 AS plus_7, d - 364 AS minus_364, "
     f"CAST(date_diff('day', d, aw.asof) AS INTEGER) AS days_to_asof, {S.week_end('d')} AS week_end FROM dd, aw"))
 def calendar_fields(t):
-    """ISO year and week, month, year, offsets, days between."""
-    d = t.orders.select(F.to_date("o_orderdate").alias("d")).distinct()
+    """ISO year and week, month, year, offsets, days between, for
+    every order date (the days of the staged day table)."""
+    d = fd.orders_daily(t).select("d")
     c = F.col("d")
     return d.select("d", iso_year(c).alias("iso_year"), iso_week(c).alias("iso_week"),
                     F.month(c).alias("month"), F.year(c).alias("year"), F.date_add(c, 7).alias("plus_7"),
@@ -88,7 +89,7 @@ def calendar_fields(t):
                          "CAST(isodow(d) AS INTEGER) AS iso_weekday FROM dd"))
 def weekday_cols(t):
     """Weekday from the date (Sunday = 1) and the ISO weekday (Monday = 1)."""
-    d = t.orders.select(F.to_date("o_orderdate").alias("d")).distinct()
+    d = fd.orders_daily(t).select("d")
     return d.select("d", F.dayofweek("d").alias("day_of_week"),
                     F.extract(F.lit("DAYOFWEEK_ISO"), F.col("d")).alias("iso_weekday"))
 

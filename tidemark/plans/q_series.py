@@ -324,12 +324,10 @@ def multi_sum(t):
     "FROM orders), (SELECT CAST(min(l_shipdate) AS DATE) AS first_ship, CAST(max(l_shipdate) AS DATE) AS last_ship "
     "FROM lineitem)"))
 def min_max_dates(t):
-    """A5: global extremes of the two date columns, one row. Each table is
-    scanned once; the two one-row aggregates are unioned and pivoted."""
-    o = t.orders.agg(F.lit("order").alias("src"), F.to_date(F.min("o_orderdate")).alias("lo"),
-                     F.to_date(F.max("o_orderdate")).alias("hi"))
-    li = t.lineitem.agg(F.lit("ship").alias("src"), F.to_date(F.min("l_shipdate")).alias("lo"),
-                        F.to_date(F.max("l_shipdate")).alias("hi"))
+    """A5: global extremes of the order and ship dates, one row, from the
+    staged day tables; the two one-row aggregates are unioned and pivoted."""
+    o = fd.orders_daily(t).agg(F.lit("order").alias("src"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+    li = fd.lineitem_daily(t).agg(F.lit("ship").alias("src"), F.min("d").alias("lo"), F.max("d").alias("hi"))
     wide = (o.unionByName(li).groupBy().pivot("src", ["order", "ship"])
             .agg(F.max("lo").alias("first"), F.max("hi").alias("last")))
     return wide.select(F.col("order_first").alias("first_order"), F.col("order_last").alias("last_order"),
