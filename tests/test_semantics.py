@@ -139,3 +139,14 @@ def test_t8_window_before_cut(spark):
     df = spark.createDataFrame([(d, d) for d in range(1, 11)], "d int, x long")
     kept = df.select("d", rollmean("x", 7, "d").alias("m")).where(F.col("d") >= 7)
     assert {r.d: r.m for r in kept.collect()}[7] == 4.0
+
+
+def test_append_newer_with_empty_and_existing_history(spark):
+    from tidemark.operators.composite import append_newer
+    new = spark.createDataFrame([(dt.date(2020, 1, d), float(d)) for d in (4, 11, 18)], "date date, v double")
+    empty = new.where(F.lit(False))
+    assert append_newer(empty, new, "date").count() == 3
+    hist = new.where(F.col("date") <= dt.date(2020, 1, 4)).withColumn("old", F.lit(1))
+    out = append_newer(hist, new, "date", F.lit(dt.date(2020, 1, 11)))
+    rows = sorted((r.date.day, r.old) for r in out.collect())
+    assert rows == [(4, 1), (11, None)]

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import iso_week, iso_year
+from tidemark.operators.joins import broadcast_if_small
 
 
 def weeks_in_iso_year(year_col):
@@ -54,11 +55,10 @@ def join_baseline(series: DataFrame, base: DataFrame, how: str = "left",
                   keys: Sequence[str] = (), date_col: str = "week_end") -> DataFrame:
     """Attach the baseline by (keys, ISO week of the series date).
 
-    The baseline has at most 53 rows per series key, so it is broadcast; its
-    size is bounded by the key count, which is checked in ``broadcast_if_small``.
-    Rows with a NULL week key are dropped from the baseline first (blank
-    trailing rows in landed files)."""
-    from tidemark.operators.joins import broadcast_if_small
+    Without keys the baseline has at most 53 rows and is broadcast; with keys
+    it has 53 rows per key, so the strategy is left to AQE's runtime size
+    check (``broadcast_if_small``). Rows with a NULL week key are dropped from
+    the baseline first (blank trailing rows in landed files)."""
     s = series.withColumn("iso_week", iso_week(F.col(date_col)))
     b = base.where(F.col("iso_week").isNotNull())
     return s.join(broadcast_if_small(b, rows_per_key=53, keys=keys), [*keys, "iso_week"], how)

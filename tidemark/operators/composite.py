@@ -37,9 +37,10 @@ def composite(df: DataFrame, measures: Sequence[str], out: str = "recovery_index
 
 def append_newer(history: DataFrame, new: DataFrame, date_col: str, upto: Column | None = None) -> DataFrame:
     """Keep history as published; add only rows newer than its max date
-    (and not after ``upto``). Union by name, missing columns NULL."""
+    (and not after ``upto``). Union by name, missing columns NULL. An empty
+    history takes every row (its max is NULL)."""
     newest = history.agg(F.max(date_col)).scalar()
-    cond = F.col(date_col) > newest
+    cond = newest.isNull() | (F.col(date_col) > newest)
     if upto is not None:
         cond = cond & (F.col(date_col) <= upto)
     return history.unionByName(new.where(cond), allowMissingColumns=True)
