@@ -39,7 +39,7 @@ def composite_total(t):
 
 @query("overview", W(
     "SELECT * FROM hist UNION ALL SELECT sc.* FROM sc, aw, (SELECT max(date) AS mx FROM hist) h "
-    "WHERE sc.date > h.mx AND sc.date <= aw.asof"))
+    "WHERE (h.mx IS NULL OR sc.date > h.mx) AND sc.date <= aw.asof"))
 def overview(t):
     """Published history (weeks up to the cutoff) plus newer scores."""
     sc = cp.scores(fd.six_way_join(t), M)
@@ -125,7 +125,7 @@ S.CTES.update({
 
 @query("append_history", W(
     "SELECT * FROM ah_hist UNION ALL SELECT ah_new.*, CAST(NULL AS INTEGER) AS source_n FROM ah_new, aw, "
-    "(SELECT max(d) AS mx FROM ah_hist) h WHERE ah_new.d > h.mx AND ah_new.d <= aw.asof"))
+    "(SELECT max(d) AS mx FROM ah_hist) h WHERE (h.mx IS NULL OR ah_new.d > h.mx) AND ah_new.d <= aw.asof"))
 def append_history(t):
     """The restaurant feed's stored history (with a raw-count
     column the new rows lack) plus rows newer than its max date."""
