@@ -3,9 +3,10 @@
 The rolling mean is the reference's ``rollmean(x, k, fill=NA)``: a frame of
 k *rows* (source dates have holes), NULL until k rows exist and NULL when any
 value in the frame is NULL. It is written as an explicit sum of k lagged
-values so the additions happen in a fixed order; the window is always
-partitioned by series after aggregation to (series, day) grain, so each task
-sees a bounded number of rows per series.
+values so the additions happen in a fixed order. Windows run after
+aggregation to (series, day) grain and are partitioned by the series keys;
+a single series (no keys) holds one row per day, a few thousand rows at any
+data size, so even its one-partition window stays small.
 """
 
 from __future__ import annotations
