@@ -72,3 +72,27 @@ def test_dimension_join_strategies_agree(spark):
         spark.conf.set(key, old)
     assert "BroadcastHashJoin" in plan_small
     assert "SortMergeJoin" in plan_large and "BroadcastHashJoin" not in plan_large
+
+
+def test_bucketed_layout_joins_without_exchange(spark):
+    """Over the broadcast threshold, orders and customer bucketed by customer
+    key give a pre-aggregate and sort-merge join with no exchange at all."""
+    import tempfile
+    from tidemark.plans import feeds as fd
+    from tidemark.sources.layout import bucket_tables
+    from tidemark.sources.tables import Tables
+    out = tempfile.mkdtemp(prefix="tidemark-bucket-")
+    bucket_tables(spark, SF01, out, "tm_bucketed_test", 8, tables=("orders", "customer"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        t = Tables(spark, SF01, catalog_db="tm_bucketed_test")
+        df = fd._segment_daily(t)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        rows = _rows(df)
+    finally:
+        spark.conf.set(key, old)
+    join_side = plan[plan.index("SortMergeJoin"):]
+    assert "Exchange" not in join_side and "Bucketed: true" in join_side
+    assert rows == _rows(fd._segment_daily(Tables(spark, SF01)))

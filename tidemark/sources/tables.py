@@ -32,20 +32,28 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 class Tables:
-    """``Tables(spark, dir).orders`` -> DataFrame of ``dir/orders.parquet``."""
+    """``Tables(spark, dir).orders`` -> DataFrame of ``dir/orders.parquet``.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``catalog_db``, tables present in that catalog database (the bucketed
+    layout of ``sources.layout``) are read from the catalog so Spark knows
+    their bucketing; the others are read by path from ``dir``."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, catalog_db: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.catalog_db = catalog_db
         self._cache: dict[str, DataFrame] = {}
         self._stages: dict[str, DataFrame] = {}
         self._memo: dict[str, DataFrame] = {}
         self._prints: dict[str, tuple] = {}
+        self._locations: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
             from tidemark.session import is_classic
-            if not is_classic(self.spark):
+            if self._in_catalog(name):
+                self._cache[name] = self.spark.table(f"{self.catalog_db}.{name}")
+            elif not is_classic(self.spark):
                 self._cache[name] = self.spark.read.parquet(self.path(name))
             else:
                 key = (self.spark.sparkContext.applicationId, self.path(name), self.fingerprint([name]))
@@ -59,7 +67,15 @@ class Tables:
             return self.table(name)
         raise AttributeError(name)
 
+    def _in_catalog(self, name: str) -> bool:
+        return bool(self.catalog_db) and self.spark.catalog.tableExists(name, self.catalog_db)
+
     def path(self, name: str) -> str:
+        if self._in_catalog(name):
+            if name not in self._locations:   # catalog metadata, not data
+                rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.catalog_db}.{name}").collect()
+                self._locations[name] = next(r.data_type for r in rows if r.col_name == "Location")
+            return self._locations[name]
         return os.path.join(self.sf_dir, f"{name}.parquet")
 
     def fingerprint(self, names) -> tuple:
