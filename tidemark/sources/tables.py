@@ -68,7 +68,7 @@ class Tables:
         raise AttributeError(name)
 
     def _in_catalog(self, name: str) -> bool:
-        return bool(self.catalog_db) and self.spark.catalog.tableExists(name, self.catalog_db)
+        return bool(self.catalog_db) and self.spark.catalog.tableExists(f"{self.catalog_db}.{name}")
 
     def path(self, name: str) -> str:
         if self._in_catalog(name):
