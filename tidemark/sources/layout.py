@@ -31,7 +31,8 @@ def bucket_tables(spark: SparkSession, sf_dir: str, out_dir: str, database: str,
                   buckets: int, tables=tuple(BUCKET_KEYS)) -> None:
     """Write ``tables`` from ``sf_dir`` as bucketed external tables
     ``database.<name>`` stored under ``out_dir/<name>`` (a shared folder)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    # the database itself lives in the shared output folder too
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{os.path.join(out_dir, '_database')}'")
     for name in tables:
         key = BUCKET_KEYS[name]
         df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
