@@ -46,9 +46,11 @@ class NotReady(RuntimeError):
     """A feed lacks the analysis week or the week before; nothing published."""
 
 
-def publish(spark: SparkSession, sf_dir: str, out_dir: str, run_id: str | None = None) -> str:
+def publish(spark: SparkSession, sf_dir: str, out_dir: str, run_id: str | None = None,
+            catalog_db: str | None = None) -> str:
+    """One weekly run; ``catalog_db`` reads the bucketed layout where present."""
     from tidemark.plans.q_composite import feed_status
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, catalog_db=catalog_db)
     run_id = run_id or uuid.uuid4().hex
     week = fd.asof(t).select(F.col("asof").alias("analysis_week"))
     missing = feed_status(t).where(~F.col("present"))
@@ -77,14 +79,15 @@ def read_published(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
 
 
 def main(argv=None) -> None:
-    """``python -m tidemark.plans.publish <tables dir> <output dir>``: one weekly run."""
+    """``python -m tidemark.plans.publish <tables dir> <output dir> [catalog db]``:
+    one weekly run."""
     import sys
     from tidemark.session import build_session
     args = list(sys.argv[1:] if argv is None else argv)
-    if len(args) != 2:
-        raise SystemExit("usage: python -m tidemark.plans.publish <tables dir> <output dir>")
+    if len(args) not in (2, 3):
+        raise SystemExit("usage: python -m tidemark.plans.publish <tables dir> <output dir> [catalog db]")
     spark = SparkSession.getActiveSession() or build_session()
-    print(publish(spark, args[0], args[1]))
+    print(publish(spark, args[0], args[1], catalog_db=args[2] if len(args) == 3 else None))
 
 
 if __name__ == "__main__":
