@@ -72,6 +72,7 @@ def seasonal_adjusted(inv: Column, week: Column, scale: Column) -> Column:
 
 
 def seasonal_difference(adjusted: Column, model: Column) -> Column:
+    """Distance from the model: abs(adjusted / model - 1)."""
     return F.abs(safe_div(adjusted, model) - F.lit(1.0))
 
 

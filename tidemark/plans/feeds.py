@@ -122,15 +122,18 @@ def asof_value(t: Tables):
 
 
 def weekly_orders(t: Tables) -> DataFrame:
+    """(week_end, n): orders per Saturday-ending week."""
     return daily_to_weekly(orders_daily(t), "d", [], ["n"])
 
 
 def weekly_returns(t: Tables) -> DataFrame:
+    """(week_end, n): returned line items per week."""
     d = lineitem_daily(t).select("d", F.col("n_returned").alias("n"))
     return daily_to_weekly(d, "d", [], ["n"])
 
 
 def weekly_quantity(t: Tables) -> DataFrame:
+    """(week_end, qty): shipped quantity per week."""
     return daily_to_weekly(lineitem_daily(t), "d", [], ["qty"])
 
 

@@ -34,11 +34,13 @@ def _load():
 
 
 def queries() -> dict[str, QueryFn]:
+    """name -> callable(spark, sf_dir) returning a lazy DataFrame."""
     _load()
     return {k: v[0] for k, v in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    """name -> equivalent DuckDB SQL over the same tables."""
     _load()
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
 

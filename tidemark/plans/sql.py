@@ -18,22 +18,27 @@ def D(x: float) -> str:
 
 
 def week_end(d: str) -> str:
+    """SQL: the Saturday on or after a date."""
     return f"({d} + CAST((13 - isodow({d})) % 7 AS INTEGER))"
 
 
 def last_sat(d: str) -> str:
+    """SQL: the Saturday on or before a date."""
     return f"({d} - CAST((isodow({d}) + 1) % 7 AS INTEGER))"
 
 
 def isoweek(d: str) -> str:
+    """SQL: ISO week number as INTEGER."""
     return f"CAST(week({d}) AS INTEGER)"
 
 
 def cap(x: str, limit: float = 100.0) -> str:
+    """SQL: cap at ``limit``, NULL stays NULL."""
     return f"(CASE WHEN {x} > {D(limit)} THEN {D(limit)} ELSE {x} END)"
 
 
 def rollmean(x: str, order: str, partition: str = "", k: int = K, align: str = "right") -> str:
+    """SQL: the k-row mean as an explicit sum of lagged values (same order as Spark)."""
     over = f"OVER ({'PARTITION BY ' + partition + ' ' if partition else ''}ORDER BY {order})"
     if align == "right":
         terms = [f"lag({x}, {i}) {over}" for i in range(k - 1, 0, -1)] + [x]
@@ -55,6 +60,7 @@ def rhe(num: str, den: str, scale: int = 2, mult: int = 1) -> str:
 
 
 def pct_chg(new: str, old: str) -> str:
+    """SQL: exact half-even percent change."""
     return rhe(f"({new}) - ({old})", old, 2, 100)
 
 

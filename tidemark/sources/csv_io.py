@@ -27,6 +27,7 @@ def schema_from_codes(names: Sequence[str], codes: str) -> T.StructType:
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Landed CSV with a declared schema (header, multiLine, NA as NULL, ISO dates)."""
     return (spark.read.schema(schema)
             .option("header", True).option("multiLine", True)
             .option("nullValue", "NA").option("emptyValue", None)
@@ -42,6 +43,7 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
               partition_by: Sequence[str] = ()) -> None:
+    """CSV with header, NA for NULL and ISO dates; optional partition columns."""
     w = (df.write.mode(mode).option("header", True).option("nullValue", "NA")
          .option("dateFormat", "yyyy-MM-dd"))
     if partition_by:

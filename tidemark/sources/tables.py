@@ -49,6 +49,7 @@ class Tables:
         self._locations: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
+        """The named table: catalog table, or a parquet relation shared by the run."""
         if name not in self._cache:
             from tidemark.session import is_classic
             if self._in_catalog(name):
@@ -71,6 +72,7 @@ class Tables:
         return bool(self.catalog_db) and self.spark.catalog.tableExists(f"{self.catalog_db}.{name}")
 
     def path(self, name: str) -> str:
+        """Storage location of the named table."""
         if self._in_catalog(name):
             if name not in self._locations:   # catalog metadata, not data
                 rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.catalog_db}.{name}").collect()

@@ -43,6 +43,7 @@ def _append_new(history_path: str, key: str):
 def start_history_append(spark: SparkSession, landing: str, history: str, schema: StructType,
                          key: str = "date", checkpoint: str | None = None,
                          available_now: bool = True) -> StreamingQuery:
+    """Start the append stream from ``landing`` into ``history`` (parquet)."""
     checkpoint = checkpoint or os.path.join(checkpoint_root(spark), "streams", "history_append")
     stream = spark.readStream.schema(schema).parquet(landing)
     w = (stream.writeStream.foreachBatch(_append_new(history, key))
