@@ -25,17 +25,21 @@ from pyspark.sql.types import StructType
 from tidemark.session import checkpoint_root
 
 
+def _has_data(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists and holds at least one parquet file."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getContentSummary(p).getFileCount() > 0
+
+
 def _append_new(history_path: str, key: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = batch.dropDuplicates([key])
-        try:
+        if _has_data(spark, history_path):   # first batch: nothing to compare with
             have = spark.read.parquet(history_path).select(key)
             fresh = fresh.join(have, key, "left_anti")
-        except Exception as e:  # first batch: no history yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e) \
-                    and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
         fresh.write.mode("append").parquet(history_path)
     return run
 
