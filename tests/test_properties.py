@@ -71,3 +71,22 @@ def test_t12_only_the_six_feeds_are_capped(spark):
     capped = Q["ratio_index"](spark, SF01).agg({"index": "max"}).first()[0]
     uncapped = Q["wide_area_index"](spark, SF01).agg({"all_index": "max"}).first()[0]
     assert capped <= 100.0 < uncapped
+
+
+def test_wow_report_agrees_with_composite_change(spark):
+    wow = {r.measure: r.change for r in Q["wow_report"](spark, SF01).collect()}
+    week = Q["wow_report"](spark, SF01).first().analysis_week
+    ch = {r.date: r.change for r in Q["composite_change"](spark, SF01).collect()}
+    assert math.isclose(wow["recovery_index"], ch[week], rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_horizon_wow_follows_from_weekly_counts(spark):
+    from fractions import Fraction
+    from tidemark.plans import feeds as fd
+    from tidemark.sources.tables import Tables
+    wk = {(r.area, r.week_end): r.n for r in fd.segment_weekly(Tables(spark, SF01), with_all=True).collect()}
+    for r in Q["horizon_change"](spark, SF01).where("change = 'WoW'").collect():
+        mx = max(d for a, d in wk if a == r.area)
+        new, old = wk[(r.area, mx)], wk.get((r.area, mx - __import__("datetime").timedelta(days=7)))
+        old = new if old is None else old
+        assert abs(r.chg - float(Fraction((new - old) * 100, old))) <= 0.005 + 1e-12
