@@ -1,5 +1,6 @@
 """Properties of whole query results at sf0.01."""
 
+import datetime as dt
 import math
 
 from conftest import SF001, SF01
@@ -87,6 +88,6 @@ def test_horizon_wow_follows_from_weekly_counts(spark):
     wk = {(r.area, r.week_end): r.n for r in fd.segment_weekly(Tables(spark, SF01), with_all=True).collect()}
     for r in Q["horizon_change"](spark, SF01).where("change = 'WoW'").collect():
         mx = max(d for a, d in wk if a == r.area)
-        new, old = wk[(r.area, mx)], wk.get((r.area, mx - __import__("datetime").timedelta(days=7)))
+        new, old = wk[(r.area, mx)], wk.get((r.area, mx - dt.timedelta(days=7)))
         old = new if old is None else old
         assert abs(r.chg - float(Fraction((new - old) * 100, old))) <= 0.005 + 1e-12
