@@ -26,6 +26,13 @@ def test_publish_commits_all_tables(spark):
     publish(spark, SF01, out)
     assert read_published(spark, out, "wow_changes").count() == 7
     assert len(_tables()) == 15
+    # CSV export of the latest committed run, read back typed
+    from tidemark.plans.publish import export_csv
+    from tidemark.sources.csv_io import read_typed_csv
+    dest = os.path.join(_fresh(), "wow_csv")
+    export_csv(spark, out, "wow_changes", dest)
+    back = read_typed_csv(spark, dest, "measure STRING, change DOUBLE, analysis_week DATE")
+    assert back.count() == 7 and back.select("analysis_week").distinct().count() == 1
 
 
 def test_stream_appends_only_new_weeks_and_is_idempotent(spark):

@@ -92,3 +92,11 @@ def main(argv=None) -> None:
 
 if __name__ == "__main__":
     main()
+
+
+def export_csv(spark: SparkSession, out_dir: str, table: str, dest: str) -> None:
+    """Write the latest committed run of a published table as CSV (header,
+    ``NA`` for NULL, ISO dates), one folder per analysis week
+    (``dest/analysis_week=YYYY-MM-DD/``) - the dated files a chart tool reads."""
+    from tidemark.sources.csv_io import write_csv
+    write_csv(read_published(spark, out_dir, table), dest, partition_by=["analysis_week"])
