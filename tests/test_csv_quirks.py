@@ -43,3 +43,22 @@ def test_untyped_read_then_cast(spark):
     assert {f.name: f.dataType.simpleString() for f in df.schema} == {"date": "string", "n": "string"}
     out = df.select(F.try_to_date("date").alias("d"), to_int_trunc(F.col("n")).alias("n")).collect()
     assert out == [(dt.date(2022, 12, 3), 12), (dt.date(2022, 11, 26), None)]
+
+
+def test_matrix_with_title_row_then_melt(spark):
+    from tidemark.operators.reshape import to_long
+    from tidemark.sources.csv_io import read_matrix_csv
+    p = _land("Weekly Initial Claims by County,,,\n"
+              "Region,County,\"January 5, 2019\",\"January 12, 2019\"\n"
+              "New York City,Bronx,1200,NA\n"
+              "New York City,Kings,2100,2300\n"
+              ",,,\n")
+    wide = read_matrix_csv(spark, p, "Region")
+    assert wide.columns == ["Region", "County", "January 5, 2019", "January 12, 2019"]
+    assert wide.count() == 2
+    long = to_long(wide, ["Region", "County"], "date", "claims")
+    out = long.select("County", F.try_to_date("date", "MMMM d, yyyy").alias("d"),
+                      to_int_trunc(F.col("claims")).alias("n")).collect()
+    got = sorted((r.County, r.d, r.n) for r in out)
+    assert got == [("Bronx", dt.date(2019, 1, 5), 1200), ("Bronx", dt.date(2019, 1, 12), None),
+                   ("Kings", dt.date(2019, 1, 5), 2100), ("Kings", dt.date(2019, 1, 12), 2300)]

@@ -49,3 +49,28 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
+
+
+def read_matrix_csv(spark: SparkSession, path: str, first_id: str) -> DataFrame:
+    """A landed spreadsheet matrix (ids + one column per period) whose header
+    row sits below a title row, as sheets exported to CSV often do.
+
+    Spark's CSV reader cannot skip leading lines, so the file is read without a
+    header and the header row is located by its first cell (``first_id``). Its
+    cells become the column names (one metadata row, like reading a schema);
+    the title row and blank rows are dropped by content, not by position, so
+    the read stays distributed. Values stay text; cast them after melting."""
+    from pyspark.sql import functions as F
+    raw = (spark.read.option("header", False).option("multiLine", True)
+           .option("inferSchema", False).csv(path))
+    c0 = raw.columns[0]
+    header = raw.where(F.col(c0) == first_id).first()
+    if header is None:
+        raise ValueError(f"no header row starting with {first_id!r} in {path}")
+    names = [h if h is not None else f"_blank{i}" for i, h in enumerate(header)]
+    rest = raw.columns[1:]
+    has_values = F.lit(False)
+    for c in rest:
+        has_values = has_values | F.col(c).isNotNull()
+    data = raw.where((F.col(c0).isNull() | (F.col(c0) != first_id)) & has_values)
+    return data.toDF(*names)
