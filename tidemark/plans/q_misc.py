@@ -189,6 +189,35 @@ def untyped_scan(t):
                       to_int_trunc(F.col("iso_week")).alias("iso_week"))
 
 
+def _matrix_sql():
+    from tidemark.plans import q_series  # noqa: F401  (defines the ry CTE)
+    return W("SELECT r.r_name, 'y' || CAST(y.y AS VARCHAR) AS period, ry.n FROM (SELECT DISTINCT r_name FROM ry) r "
+             "CROSS JOIN (SELECT DISTINCT y FROM ry) y LEFT JOIN ry ON ry.r_name = r.r_name AND ry.y = y.y")
+
+
+@query("matrix_scan", _matrix_sql())
+def matrix_scan(t):
+    """A region x year matrix landed as a spreadsheet export - one file,
+    a title row padded to the matrix width above the header row - read back
+    by content, melted over its period columns and cast."""
+    from tidemark.operators.reshape import to_long
+    from tidemark.plans.q_series import _region_year_wide
+    wide = _region_year_wide(t)
+    cols = wide.columns
+    one = t.spark.range(1)
+    title = one.select(F.lit(0).alias("_o"), F.lit("Orders by region and year").alias(cols[0]),
+                       *[F.lit(None).cast("string").alias(c) for c in cols[1:]])
+    header = one.select(F.lit(1).alias("_o"), *[F.lit(c).alias(c) for c in cols])
+    body = wide.select(F.lit(2).alias("_o"), *[F.col(c).cast("string").alias(c) for c in cols])
+    # one row per region: the sheet is small by nature, so it is written as one ordered file
+    sheet = title.unionByName(header).unionByName(body).repartition(1).sortWithinPartitions("_o").drop("_o")
+    path = scratch_path(t.spark, "matrix_scan")
+    sheet.write.mode("overwrite").option("header", False).csv(path)
+    landed = csv_io.read_matrix_csv(t.spark, path, "r_name")
+    long = to_long(landed, ["r_name"], "period", "n")
+    return long.select("r_name", "period", F.col("n").try_cast("bigint").alias("n"))
+
+
 @query("csv_roundtrip", W("SELECT * FROM bl_out"))
 def csv_roundtrip(t):
     """A table with NULLs written as CSV (NA token, ISO dates) and read

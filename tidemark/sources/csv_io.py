@@ -59,7 +59,10 @@ def read_matrix_csv(spark: SparkSession, path: str, first_id: str) -> DataFrame:
     header and the header row is located by its first cell (``first_id``). Its
     cells become the column names (one metadata row, like reading a schema);
     the title row and blank rows are dropped by content, not by position, so
-    the read stays distributed. Values stay text; cast them after melting."""
+    the read stays distributed. Every row is expected to span the matrix
+    width (sheet exports pad short rows with empty cells), since Spark takes
+    the number of fields from the first line it reads. Values stay text; cast
+    them after melting."""
     from pyspark.sql import functions as F
     raw = (spark.read.option("header", False).option("multiLine", True)
            .option("inferSchema", False).csv(path))
