@@ -58,9 +58,9 @@ def _orders_category_daily(t: Tables) -> DataFrame:
 
 
 def orders_daily(t: Tables) -> DataFrame:
-    """(d, n, n_urgent, revenue) per order date, rolled up from the category
-    table. Staged once per run."""
-    return t.stage("orders_daily", lambda: _orders_daily(t), ["orders"])
+    """(d, n, n_urgent, revenue) per order date: a roll-up of the staged
+    category table (thousands of rows), so it is not staged again."""
+    return t.memo("orders_daily", lambda: _orders_daily(t))
 
 
 def _orders_daily(t: Tables) -> DataFrame:
@@ -89,9 +89,9 @@ def _lineitem_flag_daily(t: Tables) -> DataFrame:
 
 
 def lineitem_daily(t: Tables) -> DataFrame:
-    """(d, n_lines, n_returned, qty) per ship date, rolled up from the
-    per-flag table (a few rows per day). Staged once per run."""
-    return t.stage("lineitem_daily", lambda: _lineitem_daily(t), ["lineitem"])
+    """(d, n_lines, n_returned, qty) per ship date: a roll-up of the staged
+    per-flag table (a few rows per day), so it is not staged again."""
+    return t.memo("lineitem_daily", lambda: _lineitem_daily(t))
 
 
 def _lineitem_daily(t: Tables) -> DataFrame:
