@@ -207,7 +207,8 @@ def _hospital(t: Tables) -> DataFrame:
     m = rollmean("n", K, "d")
     s = s.withColumn("rolling_seven", m)
     io = ix.log_index(F.col("rolling_seven"))
-    s = s.select("d", "n", "rolling_seven", io.alias("index_original"), cap(io).alias("index"))
+    s = s.select("d", "n", "rolling_seven", F.log10(F.col("rolling_seven") + F.lit(1.0)).alias("log_hosp"),
+                 io.alias("index_original"), cap(io).alias("index"))
     return s.where(F.col("index").isNotNull() & (F.col("d") <= asof_value(t)))
 
 

@@ -138,9 +138,9 @@ CTES: dict[str, str] = {
                "(SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM od) s "
                "LEFT JOIN od ON od.d = s.d"),
     "hosp_m": f"SELECT d, n, {rollmean('n', 'd')} AS rolling_seven FROM hosp_f",
-    "hosp_i": (f"SELECT d, n, rolling_seven, "
+    "hosp_i": (f"SELECT d, n, rolling_seven, log10(rolling_seven + {D(1)}) AS log_hosp, "
                f"({D(1)} - log10(rolling_seven + {D(1)}) / {D(LOG_SCALE)}) * {D(100)} AS index_original FROM hosp_m"),
-    "hospital": (f"SELECT d, n, rolling_seven, index_original, {cap('index_original')} AS index "
+    "hospital": (f"SELECT d, n, rolling_seven, log_hosp, index_original, {cap('index_original')} AS index "
                  f"FROM hosp_i, aw WHERE {cap('index_original')} IS NOT NULL AND d <= aw.asof"),
     # D2 subway
     "sub_base": (f"SELECT CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, "
