@@ -12,11 +12,11 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Staged tables of this driver process: (app id, folder, stage name, input
-# fingerprint) -> (path, relation). A weekly run that publishes many outputs scans each
+# Staged tables of this driver process: (app id, session, folder, stage name,
+# input fingerprint) -> (path, relation). A weekly run that publishes many outputs scans each
 # fact table once; a changed input gives a new fingerprint and a new stage.
 _STAGED: dict[tuple, tuple[str, DataFrame]] = {}
-# Parquet relations of this driver process, by (app id, path, fingerprint):
+# Parquet relations of this driver process, by (app id, session, path, fingerprint):
 # resolving a relation lists files and reads footers (~80 ms per table), so
 # queries of one run share it; changed files give a new fingerprint.
 _READS: dict[tuple, DataFrame] = {}
@@ -57,7 +57,8 @@ class Tables:
             elif not is_classic(self.spark):
                 self._cache[name] = self.spark.read.parquet(self.path(name))
             else:
-                key = (self.spark.sparkContext.applicationId, self.path(name), self.fingerprint([name]))
+                key = (self.spark.sparkContext.applicationId, id(self.spark), self.path(name),
+                       self.fingerprint([name]))
                 if key not in _READS:
                     _READS[key] = self.spark.read.parquet(self.path(name))
                 self._cache[name] = _READS[key]
@@ -125,7 +126,8 @@ class Tables:
             return build()   # Spark Connect: no file-system access here; plan stays lazy
         if name not in self._stages:
             from tidemark.session import scratch_path
-            key = (self.spark.sparkContext.applicationId, self.sf_dir, name, self.fingerprint(inputs))
+            key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, name,
+                   self.fingerprint(inputs))
             hit = _STAGED.get(key)
             if hit is None or not self._exists(hit[0]):
                 path = scratch_path(self.spark, name)
