@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("decontam",)
+MODULES = ("mixing", "decontam", "licenses")
 
 
 def _modules():
