@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("mixing", "decontam", "licenses")
+MODULES = ("tokens", "mixing", "decontam", "licenses")
 
 
 def _modules():
