@@ -1,8 +1,9 @@
 """Benchmark decontamination: windows of test items looked up in whole training texts.
 
-DataFrame functions only. Each text is split into words once; the hashes of its
-word windows are generated in place and probed against the broadcast set of
-benchmark windows, so only hits (verified on the words themselves) leave the scan.
+DataFrame functions only. The broadcast hash set holds every benchmark window under its
+longest word. Each text is split into words once, every word is probed against that set
+inside the scan, and the window around a found word is compared word by word, so only
+verified hits leave the scan.
 
 Defined cases: a NULL or empty text has no words and no hits; a NULL item text has
 no window; a NULL item id counts as the id ''; item rows with one id are one item;
@@ -12,6 +13,8 @@ named id and text columns are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ from tidemark.llm.common import NOT_ALNUM, lower_az, sql_lower, table
 
 NAME = "op8_decontamination"
 WINDOW = 13
-# Bytes of benchmark windows up to which they are broadcast; beyond, the join shuffles.
+# Bytes of benchmark windows that one broadcast may hold; more are scanned for in blocks.
 BROADCAST_LIMIT = 64 << 20
 
 
@@ -27,21 +30,20 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower_az(text), NOT_ALNUM), "")
 
 
-def _windows(words: Column, size: Column) -> Column:
-    """Hashes of the windows of ``size`` words, in order; NULL when there are fewer words."""
-    return F.when(F.size(words) >= size, F.transform(
-        F.sequence(F.lit(0), F.size(words) - size), lambda i: F.xxhash64(F.slice(words, i + 1, size))))
-
-
 def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",
                       window: int = WINDOW) -> DataFrame:
-    """Distinct (h, m, gram, item): hash, length and words of each window, and its item."""
+    """Distinct (h, lead, m, gram, item): hash of the window's longest word, the words before it
+    in the window, the window's length and words, and its item."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
                              words_of(F.col(text_col)).alias("words"))
     items = items.filter(F.size("words") > 0).withColumn("m", F.least(F.lit(window), F.size("words")))
-    return (items.select("item", "m", "words", F.posexplode(_windows(F.col("words"), F.col("m"))).alias("pos", "h"))
-            .select("h", "m", F.array_join(F.slice("words", F.col("pos") + 1, F.col("m")), " ").alias("gram"), "item")
-            .distinct())
+    starts = F.sequence(F.lit(1), F.size("words") - F.col("m") + 1)
+    grams = items.select("item", "m", "words", F.explode(starts).alias("i")).select(
+        "item", "m", F.slice("words", F.col("i"), F.col("m")).alias("gram"))
+    longest = F.array_max(F.transform("gram", lambda w, j: F.struct(
+        F.length(w).alias("n"), w.alias("w"), j.alias("lead"))))
+    return grams.select(F.xxhash64(longest["w"]).alias("h"), longest["lead"].alias("lead"), "m",
+                        F.array_join("gram", " ").alias("gram"), "item").distinct()
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -51,28 +53,27 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     ``keep_text`` adds the text itself.
     """
     grams = benchmark_windows(benchmark, text_col="text", window=window)
-    # two small facts of the benchmark: the window lengths that occur (at most ``window``) and its size
-    facts = grams.agg(F.collect_set("m").alias("lengths"), F.sum(F.length("gram") + 64).alias("bytes")).first()
-    lengths = [0, *sorted(facts["lengths"])]  # 0: one row that stands for the document itself
-    if (facts["bytes"] or 0) <= broadcast_limit:
-        grams = F.broadcast(grams)
+    size = grams.agg(F.sum(F.length("gram") + 64)).first()[0] or 0
+    blocks = max(1, math.ceil(size / broadcast_limit))  # each block is broadcast and scanned for by itself
 
+    # the empty word behind the last one stands for the document itself
+    words = F.array_append(words_of(F.col(text_col)), "")
     base = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
-                       F.col(text_col).alias("text"), words_of(F.col(text_col)).alias("words"))
-    base = base.select("doc_id", "rid", "text", "words", F.explode(F.array(*map(F.lit, lengths))).alias("size"))
-    none = F.array(F.lit(None).cast("bigint"))
-    hashes = F.when(F.col("size") == 0, none).otherwise(_windows(F.col("words"), F.col("size")))
-    seen = base.select("doc_id", "rid", "text", "words", "size", F.posexplode(hashes).alias("pos", "hash"))
-    # probe by the hash alone; the words are compared only where a hash was found
-    found = seen.join(grams, F.col("hash") == F.col("h"), "left")
-    is_doc = F.col("size") == 0
-    same = (F.col("size") == F.col("m")) & (
-        F.array_join(F.slice("words", F.col("pos") + 1, F.col("size")), " ") == F.col("gram"))
-    rows = found.filter(is_doc | (F.col("item").isNotNull() & same)).select(
-        "rid", F.when(is_doc, F.col("doc_id")).alias("doc_id"), F.when(is_doc, F.size("words")).alias("n"),
-        F.when(is_doc & F.lit(keep_text), F.col("text")).alias("text"),
-        F.when(~is_doc, F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("size")).alias("end"))).alias("span"),
-        "item")
+                       F.col(text_col).alias("text"), words.alias("words"))
+    seen = base.select("doc_id", "rid", "text", "words", F.posexplode("words").alias("pos", "word"))
+    seen = seen.withColumn("hash", F.when(F.col("word") != "", F.xxhash64("word")))
+    is_doc = F.col("word") == ""
+    start = F.col("pos") - F.col("lead")
+    same = (start >= 0) & (F.array_join(F.slice("words", F.greatest(F.lit(0), start) + 1, F.col("m")), " ") == F.col("gram"))
+    rows = None
+    for block in range(blocks):
+        part = F.broadcast(grams.filter(F.pmod("h", F.lit(blocks)) == block))
+        found = seen.join(part, F.col("hash") == F.col("h"), "left")
+        found = found.filter((is_doc & F.lit(block == 0)) | (F.col("item").isNotNull() & same)).select(
+            "rid", F.when(is_doc, F.col("doc_id")).alias("doc_id"), F.when(is_doc, F.col("pos")).alias("n"),
+            F.when(is_doc & F.lit(keep_text), F.col("text")).alias("text"),
+            F.when(~is_doc, F.struct(start.alias("start"), (start + F.col("m")).alias("end"))).alias("span"), "item")
+        rows = found if rows is None else rows.union(found)
     return rows.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"), F.max("n").cast("long").alias("n_words"),
         F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"),
