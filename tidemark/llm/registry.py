@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("tokens", "mixing", "fingerprints", "urls", "language", "decontam", "licenses")
+MODULES = ("tokens", "mixing", "fingerprints", "urls", "language", "quality", "dedup", "decontam", "licenses")
 
 
 def _modules():
