@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def rows_kept(docs: DataFrame, text_col: str, judge: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """The rows of ``docs`` that a judge of texts keeps, all columns as they are.
+
+    ``judge`` makes, once per task, a function from a list of texts to a list of booleans.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = judge()
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column(text_col).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def sql_lower(expr: str) -> str:
     """DuckDB form of ``lower_az``."""
     return f"translate(coalesce({expr}, ''), '{UPPER}', '{LOWER}')"

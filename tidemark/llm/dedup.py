@@ -85,8 +85,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, sizes = shingle_sets(texts[i:j], hashes)
             sig = iter(signatures(h, sizes))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(set_keys(h, sizes), pa.binary()),
-                pa.array([next(sig).tobytes() if s else None for s in sizes], pa.binary())], ["doc_id", "n_shingles", "key", "sig"])
+                batch.column("doc_id").slice(i, j - i), batch.column("text_hash").slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(set_keys(h, sizes), pa.binary()),
+                pa.array([next(sig).tobytes() if s else None for s in sizes], pa.binary())], ["doc_id", "text_hash", "n_shingles", "key", "sig"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,9 +183,10 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document row: doc_id, n_shingles, component_id, kept."""
+    """Per document row: doc_id, text_hash, n_shingles, component_id, kept."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = staged(docs.mapInArrow(_signed, "doc_id bigint, n_shingles bigint, key binary, sig binary"), "signed")
+    signed = staged(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _signed, "doc_id bigint, text_hash bigint, n_shingles bigint, key binary, sig binary"), "signed")
     own = F.coalesce("doc_id", F.lit(FIRST))  # NULL ids look their text up under one key
     classes = staged(signed.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.min(own).alias("rep"), F.first("sig").alias("sig")), "classes")
@@ -224,15 +225,23 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     named = staged(named, "groups")
     smallest = named.groupBy("group").agg(F.min("least").alias("component"))
     by_key = named.join(smallest, "group").select("key", "component")
-    out = signed.select("doc_id", "n_shingles", "key").join(by_key, "key", "left")
+    out = signed.select("doc_id", "text_hash", "n_shingles", "key").join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.withColumn("component_id", component).select(
-        "doc_id", "n_shingles", "component_id",
+        "doc_id", "text_hash", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of every group, all columns as they are."""
+    kept = groups(docs, id_col, text_col).filter("kept").select(
+        F.coalesce("doc_id", F.lit(FIRST)).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    marked = docs.withColumn("_id", F.coalesce(F.col(id_col), F.lit(FIRST))).withColumn("_hash", F.xxhash64(text_col))
+    return marked.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups(table(spark, sf_dir, "documents"))
+    return groups(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 SQL = rf"""

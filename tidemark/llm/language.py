@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 import xxhash
 
-from tidemark.llm.common import crc_mod, table
+from tidemark.llm.common import crc_mod, rows_kept, table
 from tidemark.llm.shingles import chunked
 
 NAME = "op7_language_id"
@@ -225,6 +225,24 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return Model.of(training_counts(docs).collect())
 
 
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """``docs`` without texts of no language or of none that holds ``least`` of the letters."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge():
+        words = Words(shared.value)
+
+        def keep(texts: list[str | None]) -> list[bool]:
+            out: list[bool] = []
+            for i, j in chunked(texts, CHUNK):
+                pred, score, _ = _judge(texts[i:j], shared.value, words, False)
+                out += [p != "und" and s >= least for p, s in zip(pred, score)]
+            return out
+        return keep
+
+    return rows_kept(docs, text_col, judge)
+
+
 def held_out():
     return crc_mod(F.col("doc_id"), 4) == 2
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, table
+from tidemark.llm.common import crc_mod, rows_kept, table
 from tidemark.llm.shingles import chunked
 
 NAME = "op10_quality"
@@ -171,6 +171,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model.of(np.concatenate(x).astype(float), np.array([len(a) for a in x]), np.array([r["label"] for r in rows]))
 
 
+def document_scores(texts: list[str | None], model: Model) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Score of every text, and P(good) of its lines."""
+    good, lengths, sizes = model.lines(texts)
+    firsts = np.cumsum(sizes) - sizes
+    out = np.add.reduceat(good * lengths, firsts) / np.add.reduceat(lengths, firsts)
+    return np.clip(out, 0, 1), np.split(good, firsts[1:])
+
+
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` whose score reaches ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(texts: list[str | None]) -> list[bool]:
+        return [bool(s >= threshold) for i, j in chunked(texts) for s in document_scores(texts[i:j], shared.value)[0]]
+
+    return rows_kept(docs, text_col, lambda: keep)
+
+
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", threshold: float = THRESHOLD,
           lines: bool = False) -> DataFrame:
     """``keep`` columns of ``docs`` with score and predicted; ``lines`` adds P(good) of every line."""
@@ -183,13 +201,11 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             for i, j in chunked(texts):
-                good, lengths, sizes = model.lines(texts[i:j])
-                firsts = np.cumsum(sizes) - sizes
-                out = np.clip(np.add.reduceat(good * lengths, firsts) / np.add.reduceat(lengths, firsts), 0, 1)
+                out, good = document_scores(texts[i:j], model)
                 part = batch.slice(i, j - i)
                 arrays = [*(part.column(k) for k in keep), pa.array(out, pa.float64()), pa.array(out >= threshold).cast(pa.int32())]
                 if lines:
-                    arrays.append(pa.array([a.tolist() for a in np.split(good, firsts[1:])], pa.list_(pa.float64())))
+                    arrays.append(pa.array([a.tolist() for a in good], pa.list_(pa.float64())))
                 yield pa.RecordBatch.from_arrays(arrays, [*keep, "score", "predicted", *(["line_scores"] if lines else [])])
 
     return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("tokens", "mixing", "fingerprints", "urls", "language", "quality", "dedup", "decontam", "licenses")
+MODULES = ("lm", "tokens", "mixing", "fingerprints", "urls", "language", "quality", "dedup", "decontam", "licenses")
 
 
 def _modules():
@@ -15,7 +15,9 @@ def _modules():
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {m.NAME: m.query for m in _modules()}
+    import corpus_pipeline
+
+    return {m.NAME: m.query for m in _modules()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
