@@ -6,7 +6,7 @@ import pytest
 
 from conftest import SF01
 
-import __spark_entry__ as E
+from tidemark.plans import registry as E
 
 QUERIES = E.queries()
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",

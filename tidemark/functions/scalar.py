@@ -27,20 +27,26 @@ def cap(x: Column, limit: float = 100.0) -> Column:
     return F.when(x > F.lit(float(limit)), F.lit(float(limit))).otherwise(x)
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """num / den, NULL when den is 0 or NULL (ANSI mode would raise)."""
-    return F.try_divide(num, den)
+def ratio(num: Column, den: Column) -> Column:
+    """num / den as DOUBLE with IEEE rules for a zero base, in ANSI mode too: a
+    positive number over 0 is Infinity (``cap`` makes it the limit), a negative
+    one -Infinity, 0 over 0 NULL. NULL stays NULL. The one rule of every index."""
+    num, den = num.cast("double"), den.cast("double")
+    inf = F.lit(float("inf"))
+    return (F.when(den != 0, F.try_divide(num, den))
+            .when((den == 0) & (num > 0), inf).when((den == 0) & (num < 0), -inf))
 
 
 def round_ratio_half_even(num: Column, den: Column, scale: int = 2,
                           mult: int = 1) -> Column:
     """round(num * mult / den, scale) half-to-even, exactly, for integral
-    num/den; NULL when den is 0. Returned as DOUBLE (= q / 10^scale)."""
+    num/den (any BIGINT); NULL when den is 0. Returned as DOUBLE (= q / 10^scale).
+    Integer division of 38-digit decimals: no step goes through a double."""
     p = 10 ** scale
-    a = F.abs(num).cast("long") * F.lit(mult * p)
-    b = F.abs(den).cast("long")
+    a = (F.abs(num.cast("decimal(20,0)")) * F.lit(mult * p).cast("decimal(10,0)")).cast("decimal(38,0)")
+    b = F.nullif(F.abs(den.cast("decimal(20,0)")), F.lit(0).cast("decimal(20,0)"))
     r = a % b
-    q = ((a - r) / b).cast("long")
+    q = F.call_function("div", a, b)
     q = (F.when(r * 2 > b, q + 1)
          .when(r * 2 == b, q + q % 2)
          .otherwise(q))

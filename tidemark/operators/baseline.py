@@ -3,7 +3,8 @@
 The baseline of week w is the mean of the baseline year's weeks w-1, w, w+1,
 wrapping around the year (week 1 uses the last week, the last week uses
 week 1). A year with 52 ISO weeks gets a week 53 equal to the mean of its
-last week and week 1, so weeks 53 of later years still find a baseline.
+last week and week 1, so weeks 53 of later years still find a baseline. A week
+whose three neighbours are not all there has a NULL baseline.
 
 Implementation: every weekly row is sent to the three weeks it contributes
 to (explode of a 3-element array) and summed per target week. This is a
@@ -19,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import iso_week, iso_year
-from tidemark.operators.joins import broadcast_if_small
 
 
 def weeks_in_iso_year(year_col):
@@ -39,7 +39,7 @@ def centred_circular(weekly: DataFrame, base_year: int, date_col: str = "week_en
         F.col("w"),
         (F.col("w") % F.col("nw")) + 1)).alias("iso_week"))
     base = (spread.groupBy(*keys, "iso_week")
-            .agg((F.sum("v").cast("double") / F.lit(3.0)).alias(out), F.max("nw").alias("nw")))
+            .agg(F.when(F.count("v") == 3, F.sum("v").cast("double") / F.lit(3.0)).alias(out), F.max("nw").alias("nw")))
     if not week53_rule:
         return base.drop("nw")
     w53 = (base.where((F.col("iso_week") == F.col("nw")) | (F.col("iso_week") == 1))
@@ -55,10 +55,8 @@ def join_baseline(series: DataFrame, base: DataFrame, how: str = "left",
                   keys: Sequence[str] = (), date_col: str = "week_end") -> DataFrame:
     """Attach the baseline by (keys, ISO week of the series date).
 
-    Without keys the baseline has at most 53 rows and is broadcast; with keys
-    it has 53 rows per key, so the strategy is left to AQE's runtime size
-    check (``broadcast_if_small``). Rows with a NULL week key are dropped from
+    The baseline has 53 rows per key; Spark picks the join from its size. Rows with a NULL week key are dropped from
     the baseline first (blank trailing rows in landed files)."""
     s = series.withColumn("iso_week", iso_week(F.col(date_col)))
     b = base.where(F.col("iso_week").isNotNull())
-    return s.join(broadcast_if_small(b, rows_per_key=53, keys=keys), [*keys, "iso_week"], how)
+    return s.join(b, [*keys, "iso_week"], how)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import safe_div
+from tidemark.functions.scalar import cap, ratio
 
 # Fixed values (must equal the reference's rental seasonal model):
 # month -> 10-year median model, January .. December.
@@ -28,20 +28,19 @@ LOG_SCALE = 3.5
 
 def ratio_index(x: Column, base: Column) -> Column:
     """Direct ratio (home sales): x / base * 100."""
-    return safe_div(x, base) * F.lit(100.0)
+    return ratio(x, base) * F.lit(100.0)
 
 
 def inverse_index(x: Column, base: Column) -> Column:
     """Inverse ratio (claims): p = (x - base)/base; 100/((100 p) + 100)*100.
-    NULL where the reference gets Inf (x = 0); see ``inverse_index_capped``."""
-    p = safe_div(x - base, base)
-    return safe_div(F.lit(100.0), F.lit(100.0) * p + F.lit(100.0)) * F.lit(100.0)
+    No claims against a positive base give Infinity, claims against none 0."""
+    p = ratio(x - base, base)
+    return ratio(F.lit(100.0), F.lit(100.0) * p + F.lit(100.0)) * F.lit(100.0)
 
 
 def inverse_index_capped(x: Column, base: Column) -> Column:
-    """Capped claims index: Inf (zero claims) caps to 100."""
-    from tidemark.functions.scalar import cap
-    return F.when(x == 0, F.lit(100.0)).otherwise(cap(inverse_index(x, base)))
+    """Capped claims index: zero claims against a positive base cap to 100; 0 against 0 is NULL."""
+    return cap(inverse_index(x, base))
 
 
 def shift_index(mean_pct: Column) -> Column:
@@ -68,12 +67,12 @@ def seasonal_model(month: Column) -> Column:
 def seasonal_adjusted(inv: Column, week: Column, scale: Column) -> Column:
     """Inventory adjusted for the in-year trend, relative to ``scale``."""
     growth = F.lit(SEASONAL_GROWTH) - F.lit(1.0)
-    return safe_div(inv - inv * growth * week / F.lit(SEASONAL_WEEKS), scale)
+    return ratio(inv - inv * growth * week / F.lit(SEASONAL_WEEKS), scale)
 
 
 def seasonal_difference(adjusted: Column, model: Column) -> Column:
     """Distance from the model: abs(adjusted / model - 1)."""
-    return F.abs(safe_div(adjusted, model) - F.lit(1.0))
+    return F.abs(ratio(adjusted, model) - F.lit(1.0))
 
 
 def seasonal_index(difference: Column) -> Column:

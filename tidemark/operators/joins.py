@@ -1,12 +1,4 @@
-"""Join helpers with explicit size reasoning.
-
-Broadcast is used only where the side's size is bounded by construction
-(one-row scalars, 53-week baselines of a single series, a few horizon rows).
-Anything whose size depends on the data is left to AQE, which broadcasts at
-run time only when the materialised side is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keeps the
-sort-merge join (with skew-split of hot partitions).
-"""
+"""Join helpers. No hints: Spark and AQE choose the strategy from real sizes."""
 
 from __future__ import annotations
 
@@ -14,19 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Largest row count we broadcast on a static bound alone.
-STATIC_BROADCAST_ROWS = 10_000
-
-
-def broadcast_if_small(df: DataFrame, rows_per_key: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Hint broadcast only when the size bound is static (no keys, so at
-    most ``rows_per_key`` rows). Keyed tables grow with the key count and are
-    left to AQE's runtime size check."""
-    if not keys and rows_per_key <= STATIC_BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
 
 
 def chain_inner(frames: Sequence[DataFrame], on: str | Sequence[str]) -> DataFrame:
@@ -46,22 +25,15 @@ def broadcast_threshold(spark) -> int:
     return int(v)
 
 
-def join_dimension(facts: DataFrame, dim: DataFrame, on: str, dim_bytes: int,
-                   pre_aggregate=None) -> DataFrame:
-    """Join facts to a dimension, choosing the strategy from the dimension's
-    size on disk (file-system metadata, checked before planning):
+def join_dimension(facts: DataFrame, dim: DataFrame, on: str, dim_bytes: int, pre_aggregate) -> DataFrame:
+    """Join facts to a dimension; Spark and AQE choose the join from real sizes.
 
-    * at most ``autoBroadcastJoinThreshold``: broadcast the dimension - the
-      facts are not shuffled for the join at all, and the caller's partial
-      aggregate after the join absorbs any hot key;
-    * larger: first reduce the facts with ``pre_aggregate`` (a map-side
-      partial aggregate on the join key and the output grain, so a key with a
-      third of all rows arrives as a few rows per task), then a plain join that
-      AQE plans as sort-merge with skew splitting.
+    Where the dimension's files exceed the broadcast threshold the join will
+    shuffle, so the facts are first reduced with ``pre_aggregate`` (a map-side
+    partial aggregate on the join key and the output grain): a key with a third of
+    all rows arrives as a few rows per task. Below it the facts need no shuffle for
+    the join, and the aggregate would only add one. Both ways give the same rows.
     """
-    limit = broadcast_threshold(facts.sparkSession)
-    if 0 <= dim_bytes <= limit:
-        return facts.join(F.broadcast(dim), on)
-    if pre_aggregate is not None:
+    if dim_bytes > broadcast_threshold(facts.sparkSession):
         facts = pre_aggregate(facts)
     return facts.join(dim, on)

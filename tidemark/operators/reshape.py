@@ -20,19 +20,33 @@ def to_long(df: DataFrame, ids: Sequence[str], var: str, val: str,
 
 
 def to_wide(df: DataFrame, ids: Sequence[str], key: str, value: str,
-            values: Sequence, names: Sequence[str] | None = None) -> DataFrame:
-    """Long -> wide with an explicit value list (no extra distinct job).
-    Missing cells are NULL. Each (ids, key) has one row, so ``max`` is the
-    deterministic pick."""
-    wide = df.groupBy(*ids).pivot(key, list(values)).agg(F.max(value))
-    if names is not None:
-        wide = wide.withColumnsRenamed({str(v): n for v, n in zip(values, names)})
-    return wide
+            values: Sequence | None = None, prefix: str = "", suffix: str = "") -> DataFrame:
+    """Long -> wide, one column per key, named ``clean_name(prefix + key + suffix)``.
+
+    ``values`` lists the keys where the list is the feature; without it every key of
+    the data becomes a column (sorted; a NULL key is named ``na``). The keys are read
+    in one small job, so ``df`` should be an aggregate. Keys whose cleaned names are
+    equal get ``_2``, ``_3``, ... Missing cells are NULL. Each (ids, key) has one
+    row, so ``max`` is the deterministic pick."""
+    if values is None:
+        values = sorted((r[0] for r in df.select(F.coalesce(F.col(key).cast("string"), F.lit("NA"))).distinct().collect()))
+        df = df.withColumn(key, F.coalesce(F.col(key).cast("string"), F.lit("NA")))
+    names = wide_names(values, prefix, suffix)
+    cells = [F.max(F.when(F.col(key) == v, F.col(value))).alias(n) for v, n in zip(values, names)]
+    return df.groupBy(*ids).agg(*cells) if cells else df.select(*ids).distinct()
 
 
 def wide_names(values: Sequence[str], prefix: str = "", suffix: str = "") -> list[str]:
-    """Computed column names for pivoted keys (clean snake_case)."""
-    return [clean_name(f"{prefix}{v}{suffix}") for v in values]
+    """Computed column names for pivoted keys (clean snake_case, made distinct)."""
+    out: list[str] = []
+    for v in values:
+        base = name = clean_name(f"{prefix}{v}{suffix}")
+        k = 1
+        while name in out:
+            k += 1
+            name = f"{base}_{k}"
+        out.append(name)
+    return out
 
 
 def share_of_total(df: DataFrame, group: Sequence[str], value: str, out: str = "share",

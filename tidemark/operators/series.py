@@ -29,10 +29,11 @@ def decimal_to_double(c: Column) -> Column:
 
 def daily_to_weekly(daily: DataFrame, date_col: str, keys: Sequence[str],
                     sums: Sequence[str], out: str = "week_end") -> DataFrame:
-    """Roll a day-grain table up to Saturday-ending weeks by summing."""
+    """Roll a day-grain table up to Saturday-ending weeks by summing; NULLs add nothing,
+    so a week of NULLs is 0."""
     return (daily.withColumn(out, week_ending_saturday(F.col(date_col)))
             .groupBy(*keys, out)
-            .agg(*[F.sum(c).alias(c) for c in sums]))
+            .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums]))
 
 
 def date_spine(bounds: DataFrame, lo: str = "lo", hi: str = "hi",

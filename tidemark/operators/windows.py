@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import round_ratio_half_even
+from tidemark.functions.scalar import pct_chg
 
 
 def _window(order_by, partition_by):
@@ -61,7 +61,7 @@ def horizon_change(series: DataFrame, keys: Sequence[str], date_col: str,
     base year. Horizons are attached by exploding a literal array (no join),
     and the look-up of the old value is an equi-join on (keys, date). When
     the old date is missing the latest value is compared with itself
-    (change 0), as the reference does.
+    (change 0), as the reference does; an old row without a value gives NULL.
     """
     latest = series.groupBy(*keys).agg(F.max(date_col).alias("mx"))
     cur = (latest.join(series.withColumnRenamed(date_col, "mx"), [*keys, "mx"])
@@ -72,12 +72,7 @@ def horizon_change(series: DataFrame, keys: Sequence[str], date_col: str,
     wanted = (cur.select(*keys, "mx", "new", F.explode(hz).alias("h"))
               .select(*keys, "mx", "new", "h.change",
                       F.date_sub(F.col("mx"), F.col("h.days_back")).alias("old_date")))
-    old = series.select(*keys, F.col(date_col).alias("old_date"), F.col(value_col).alias("old"))
+    old = series.select(*keys, F.col(date_col).alias("old_date"), F.col(value_col).alias("old"), F.lit(True).alias("found"))
     out = wanted.join(old, [*keys, "old_date"], "left")
-    old_v = F.coalesce(F.col("old"), F.col("new"))
-    return out.select("change", *keys, pct_chg_counts(F.col("new"), old_v).alias("chg"))
-
-
-def pct_chg_counts(new: Column, old: Column) -> Column:
-    """round((new - old)/old*100, 2) half-even, exact on integral counts."""
-    return round_ratio_half_even(new - old, old, scale=2, mult=100)
+    old_v = F.when(F.col("found"), F.col("old")).otherwise(F.col("new"))
+    return out.select("change", *keys, pct_chg(F.col("new"), old_v).alias("chg"))

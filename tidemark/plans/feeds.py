@@ -21,23 +21,20 @@ every composite plan is a join of six small tables.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.calendar import iso_week, last_saturday_on_or_before
-from tidemark.functions.scalar import cap
+from tidemark.functions.calendar import iso_week, last_saturday_on_or_before, week_ending_saturday
+from tidemark.functions.scalar import cap, ratio
 from tidemark.operators import indices as ix
 from tidemark.operators.baseline import centred_circular, join_baseline
 from tidemark.operators.joins import chain_inner, join_dimension
 from tidemark.operators.series import daily_to_weekly, decimal_to_double, money, zero_fill_daily
 from tidemark.operators.windows import rollmean
-from tidemark.sources.tables import Tables
+from tidemark.sources.tables import BASE_YEAR, SINCE, Tables  # noqa: F401  (defaults of the run's parameters)
 
-# Parameters of the re-aimed feeds (the test tables span 1995-2001).
-BASE_YEAR = 1997                 # ISO / calendar year playing the pre-period
-SINCE = dt.date(1998, 1, 1)      # first analysis date (reference: 2020-01-01)
+# Fixed parameters of the re-aimed feeds; the base year, first date and analysis week
+# are parameters of the run (``Tables``).
 URGENT = "1-URGENT"              # order priority counted as the daily load feed
 YOY_DAYS = 364                   # comparable day one year back (same weekday)
 K = 7                            # rolling window, rows
@@ -83,7 +80,7 @@ def _lineitem_flag_daily(t: Tables) -> DataFrame:
                            "l_extendedprice", "l_discount")
     return (li.groupBy("l_returnflag", "d")
             .agg(F.count("*").alias("n_lines"),
-                 F.sum(F.col("l_quantity").cast("long")).alias("qty"),
+                 F.coalesce(F.sum(F.col("l_quantity").cast("long")), F.lit(0)).alias("qty"),
                  F.sum(money("l_extendedprice")).alias("revenue"),
                  F.sum(money("l_discount")).alias("discount")))
 
@@ -111,7 +108,9 @@ def events_type_daily(t: Tables) -> DataFrame:
 
 
 def asof(t: Tables) -> DataFrame:
-    """One row: the analysis week = last Saturday on or before the last order date."""
+    """One row: the analysis week of the run, or else the last Saturday on or before the last order date."""
+    if t.week is not None:
+        return t.memo("asof", lambda: t.spark.range(1).select(F.lit(t.week).alias("asof")))
     return t.memo("asof", lambda: orders_daily(t).agg(last_saturday_on_or_before(F.max("d")).alias("asof")))
 
 
@@ -146,9 +145,9 @@ def home_sales(t: Tables) -> DataFrame:
 
 def _home_sales(t: Tables) -> DataFrame:
     wk = weekly_orders(t)
-    base = centred_circular(wk, BASE_YEAR)
+    base = centred_circular(wk, t.base_year)
     s = join_baseline(wk, base, "inner")
-    s = s.where(F.col("week_end").between(F.lit(SINCE), asof_value(t)))
+    s = s.where(F.col("week_end").between(F.lit(t.since), asof_value(t)))
     io = ix.ratio_index(F.col("n"), F.col("base"))
     return s.select("week_end", "iso_week", "n", "base",
                     io.alias("index_original"), cap(io).alias("index"))
@@ -163,10 +162,10 @@ def claims(t: Tables) -> DataFrame:
 
 def _claims(t: Tables) -> DataFrame:
     wk = weekly_returns(t)
-    base = centred_circular(wk, BASE_YEAR)
-    s = join_baseline(wk, base, "left").where(F.col("week_end") >= F.lit(SINCE))
+    base = centred_circular(wk, t.base_year)
+    s = join_baseline(wk, base, "left").where(F.col("week_end") >= F.lit(t.since))
     io = ix.inverse_index(F.col("n"), F.col("base"))
-    p = F.try_divide(F.col("n") - F.col("base"), F.col("base"))
+    p = ratio(F.col("n") - F.col("base"), F.col("base"))
     return s.select("week_end", "iso_week", "n", "base", p.alias("pct_change"),
                     io.alias("index_original"),
                     ix.inverse_index_capped(F.col("n"), F.col("base")).alias("index"))
@@ -181,9 +180,9 @@ def rentals(t: Tables) -> DataFrame:
 
 def _rentals(t: Tables) -> DataFrame:
     wk = weekly_quantity(t)
-    jan = (wk.where((F.year("week_end") == BASE_YEAR) & (F.month("week_end") == 1))
+    jan = (wk.where((F.year("week_end") == t.base_year) & (F.month("week_end") == 1))
            .agg((F.sum("qty").cast("double") / F.count("*")).alias("scale")))
-    s = wk.where(F.col("week_end").between(F.lit(SINCE), asof_value(t)))
+    s = wk.where(F.col("week_end").between(F.lit(t.since), asof_value(t)))
     wkno = iso_week(F.col("week_end"))
     model = ix.seasonal_model(F.month("week_end"))
     adj = ix.seasonal_adjusted(F.col("qty"), wkno, jan.scalar())
@@ -221,13 +220,13 @@ def subway(t: Tables) -> DataFrame:
 
 def _subway(t: Tables) -> DataFrame:
     od = orders_daily(t)
-    base = (od.where(F.year("d") == BASE_YEAR)
+    base = (od.where(F.year("d") == t.base_year)
             .groupBy(F.dayofweek("d").alias("day_of_week"))
             .agg((decimal_to_double(F.sum("revenue")) / F.count("*")).alias("base_revenue")))
     s = od.select(F.dayofweek("d").alias("day_of_week"), "d",
                   decimal_to_double(F.col("revenue")).alias("revenue"))
-    s = s.join(F.broadcast(base), "day_of_week", "inner")  # 7 rows
-    s = s.withColumn("comparable", F.col("revenue") / F.col("base_revenue") - F.lit(1.0))
+    s = s.join(base, "day_of_week", "inner")
+    s = s.withColumn("comparable", ratio(F.col("revenue"), F.col("base_revenue")) - F.lit(1.0))
     m = rollmean("comparable", K, "d")
     s = s.select("day_of_week", "d", "comparable", m.alias("avg7"),
                  rollmean("revenue", K, "d").alias("avg_revenue"))
@@ -245,7 +244,7 @@ def yoy_daily(t: Tables) -> DataFrame:
     od = orders_daily(t).select("d", "n")
     old = od.select(F.date_add("d", YOY_DAYS).alias("d"), F.col("n").alias("n_old"))
     j = od.join(old, "d", "inner")
-    return j.withColumn("yoy", (F.col("n") - F.col("n_old")).cast("double") / F.col("n_old") * F.lit(100.0))
+    return j.withColumn("yoy", ratio(F.col("n") - F.col("n_old"), F.col("n_old")) * F.lit(100.0))
 
 
 def restaurants(t: Tables) -> DataFrame:
@@ -280,8 +279,9 @@ def measure_frames(t: Tables, column: str = "index") -> list[DataFrame]:
 
 
 def six_way_join(t: Tables, column: str = "index") -> DataFrame:
-    """Weeks where every measure has a value (inner-join chain on date)."""
-    return chain_inner(measure_frames(t, column), "date").select("date", *MEASURES)
+    """Weeks where every measure has a value (inner-join chain on date); one row per week, staged once per run."""
+    return t.stage(f"six_way_{column}", lambda: chain_inner(measure_frames(t, column), "date").select("date", *MEASURES),
+                   ["orders", "lineitem"])
 
 
 # --- area (market segment) feeds ----------------------------------------------------
@@ -297,12 +297,7 @@ def segment_daily(t: Tables) -> DataFrame:
 
 
 def _segment_daily(t: Tables) -> DataFrame:
-    """Orders join the customer dimension by size (``join_dimension``): a
-    customer table under the broadcast threshold is broadcast and orders are
-    never shuffled for the join; a larger one is joined after orders are
-    reduced to (customer, day) by a map-side partial aggregate, so a
-    customer holding a third of all orders arrives as one row per day and
-    map task. Either way the (segment, day) aggregate is partial before its
+    """Orders join the customer dimension (``join_dimension``). Either way the (segment, day) aggregate is partial before its
     shuffle. ``n_finished`` sums a value that is NULL for unfinished orders,
     so a group without finished orders sums to NULL (see ``grain_sum``)."""
     o = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("d"), F.lit(1).cast("long").alias("n"),
@@ -317,8 +312,14 @@ def _segment_daily(t: Tables) -> DataFrame:
 
 def segment_weekly(t: Tables, with_all: bool = False) -> DataFrame:
     """(area, week_end, n); optionally plus the all-segment total as area ALL."""
-    wk = daily_to_weekly(segment_daily(t), "d", ["area"], ["n"])
-    if not with_all:
-        return wk
-    tot = wk.groupBy("week_end").agg(F.sum("n").alias("n")).select(F.lit(ALL_AREAS).alias("area"), "week_end", "n")
-    return wk.unionByName(tot)
+    wk = t.stage("segment_weekly", lambda: _segment_weekly(t), ["orders", "customer"])
+    return wk.drop("total") if with_all else wk.where(~F.col("total")).drop("total")
+
+
+def _segment_weekly(t: Tables) -> DataFrame:
+    """One aggregate gives the segments' weeks and, as area ALL, the weeks of all of them."""
+    sd = segment_daily(t).withColumn("week_end", week_ending_saturday(F.col("d")))
+    g = sd.groupingSets([("area", "week_end"), ("week_end",)], "area", "week_end").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.grouping("area").alias("g"))
+    return g.select(F.when(F.col("g") == 1, ALL_AREAS).otherwise(F.col("area")).alias("area"), "week_end", "n",
+                    (F.col("g") == 1).alias("total"))

@@ -26,15 +26,15 @@ def ratio_index(t):
 @query("baseline_centred", W("SELECT iso_week, base FROM bw"))
 def baseline_centred(t):
     """The baseline itself, 53 rows."""
-    return centred_circular(fd.weekly_orders(t), fd.BASE_YEAR)
+    return centred_circular(fd.weekly_orders(t), t.base_year)
 
 
 _BL = S.baseline_ctes("bl52", "wk", week53=False)
 S.CTES.update(_BL)
 S.CTES["bl_out"] = (
     f"SELECT wk.week_end, {S.isoweek('wk.week_end')} AS iso_week, wk.n, b.base, "
-    f"wk.n / NULLIF(b.base, 0) * {D(100)} AS index_original, "
-    f"{S.cap(f'wk.n / NULLIF(b.base, 0) * {D(100)}')} AS index "
+    f"{S.ratio('wk.n', 'b.base')} * {D(100)} AS index_original, "
+    f"{S.cap(S.ratio('wk.n', 'b.base') + ' * ' + D(100))} AS index "
     f"FROM wk LEFT JOIN bl52 b ON b.iso_week = {S.isoweek('wk.week_end')} "
     f"WHERE wk.week_end >= DATE '{fd.SINCE}'")
 
@@ -44,8 +44,8 @@ def baseline_left(t):
     """Left join to a 52-week baseline (no week-53 rule): weeks 53 keep
     their row with a NULL baseline and NULL index (cap keeps NULL)."""
     wk = fd.weekly_orders(t)
-    base = centred_circular(wk, fd.BASE_YEAR, week53_rule=False)
-    s = join_baseline(wk, base, "left").where(F.col("week_end") >= F.lit(fd.SINCE))
+    base = centred_circular(wk, t.base_year, week53_rule=False)
+    s = join_baseline(wk, base, "left").where(F.col("week_end") >= F.lit(t.since))
     io = ix.ratio_index(F.col("n"), F.col("base"))
     return s.select("week_end", "iso_week", "n", "base", io.alias("index_original"), cap(io).alias("index"))
 
@@ -56,8 +56,8 @@ def baseline_left(t):
 def baseline_inner(t):
     """Inner join drops the weeks without a baseline (ISO week 53)."""
     wk = fd.weekly_orders(t)
-    base = centred_circular(wk, fd.BASE_YEAR, week53_rule=False)
-    return (join_baseline(wk, base, "inner").where(F.col("week_end") >= F.lit(fd.SINCE))
+    base = centred_circular(wk, t.base_year, week53_rule=False)
+    return (join_baseline(wk, base, "inner").where(F.col("week_end") >= F.lit(t.since))
             .select("week_end", "iso_week", "n", "base"))
 
 

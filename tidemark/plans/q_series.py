@@ -23,7 +23,6 @@ from tidemark.plans.registry import query
 W = S.with_ctes
 D = S.D
 SEG = fd.SEGMENTS
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 RECENT_DAYS = 91          # source-side window of the daily pull (13 weeks)
 SHIP_FROM = dt.date(1997, 1, 1)
 
@@ -79,11 +78,11 @@ def series_compare(t):
     sd = fd.segment_daily(t).where(F.col("area").isin(*SEG))
     s = sd.select("area", "d", rollmean("n", fd.K, "d", ["area"]).alias("avg7"))
     s = s.where(F.col("d") <= fd.asof_value(t))
-    return to_wide(s, ["d"], "area", "avg7", SEG, _SEGCOLS)
+    return to_wide(s, ["d"], "area", "avg7", SEG)
 
 
 S.CTES["rd"] = ("SELECT r.r_name, CAST(l.l_shipdate AS DATE) AS d, count(*) AS n_lines, "
-                "CAST(sum(CAST(l.l_quantity AS BIGINT)) AS BIGINT) AS qty FROM lineitem l "
+                "CAST(coalesce(sum(CAST(l.l_quantity AS BIGINT)), 0) AS BIGINT) AS qty FROM lineitem l "
                 "JOIN supplier s ON s.s_suppkey = l.l_suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey "
                 "JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY 1, 2")
 
@@ -92,21 +91,25 @@ S.CTES["rd"] = ("SELECT r.r_name, CAST(l.l_shipdate AS DATE) AS d, count(*) AS n
                             f"{S.rollmean('qty', 'd', 'r_name')} AS qty7 FROM rd"))
 def facility_rollup(t):
     """Line items per supplier (facility) and day, rolled up to
-    region x day, then 7-row means per region. The supplier dimension is
-    joined by size (``join_dimension``)."""
+    region x day (a scan of ``lineitem`` of its own), then 7-row means per region."""
+    g = t.stage("region_daily", lambda: _region_daily(t), ["lineitem", "supplier", "nation", "region"])
+    return g.select("r_name", "d", "n_lines", "qty",
+                    rollmean("n_lines", fd.K, "d", ["r_name"]).alias("lines7"),
+                    rollmean("qty", fd.K, "d", ["r_name"]).alias("qty7"))
+
+
+def _region_daily(t):
+    """(r_name, d, n_lines, qty): line items by the supplier's region and ship day."""
     li = t.lineitem.select("l_suppkey", F.to_date("l_shipdate").alias("d"),
                            F.lit(1).cast("long").alias("n_lines"), F.col("l_quantity").cast("long").alias("qty"))
-    sums = [F.sum("n_lines").alias("n_lines"), F.sum("qty").alias("qty")]
+    sums = [F.sum("n_lines").alias("n_lines"), F.coalesce(F.sum("qty"), F.lit(0)).alias("qty")]
     geo = (t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
            .join(t.nation.select("n_nationkey", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey")
            .join(t.region.select("r_regionkey", "r_name"), "r_regionkey")
            .select("l_suppkey", "r_name"))
     j = join_dimension(li, geo, "l_suppkey", t.size_bytes("supplier", "nation", "region"),
                        pre_aggregate=lambda df: df.groupBy("l_suppkey", "d").agg(*sums))
-    g = j.groupBy("r_name", "d").agg(*sums)
-    return g.select("r_name", "d", "n_lines", "qty",
-                    rollmean("n_lines", fd.K, "d", ["r_name"]).alias("lines7"),
-                    rollmean("qty", fd.K, "d", ["r_name"]).alias("qty7"))
+    return j.groupBy("r_name", "d").agg(*sums)
 
 
 # --- horizons -------------------------------------------------------------------------
@@ -116,25 +119,49 @@ S.CTES["hz_cur"] = ("SELECT m.area, m.mx, s.n AS new FROM (SELECT area, max(week
 
 
 def _hz_sql(values: str) -> str:
-    return W("SELECT h.change, c.area, " + S.pct_chg("c.new", "COALESCE(o.n, c.new)") + " AS chg "
+    return W("SELECT h.change, c.area, " + S.pct_chg("c.new", "CASE WHEN o.area IS NULL THEN c.new ELSE o.n END") + " AS chg "
              f"FROM hz_cur c JOIN (SELECT area, mx, change, days_back FROM hz_cur, ({values}) v(change, days_back)) h "
              "ON h.area = c.area LEFT JOIN swa o ON o.area = c.area AND o.week_end = c.mx - CAST(h.days_back AS INTEGER)")
 
 
 HORIZONS = [("WoW", 7), ("MoM", 28), ("YoY", 364)]
+_HZ3 = ", ".join(f"('{n}', {b})" for n, b in HORIZONS)
 
 
-@query("horizon_change", _hz_sql("VALUES " + ", ".join(f"('{n}', {b})" for n, b in HORIZONS)))
+@query("horizon_change", _hz_sql(f"VALUES {_HZ3}, ('19_present', -1)").replace(
+    "v(change, days_back)) h", "v(change, db), LATERAL (SELECT CASE WHEN db < 0 THEN "
+    f"364 * (year(mx) - {fd.BASE_YEAR}) ELSE db END AS days_back)) h"))
 def horizon_change(t):
-    """Area x {WoW, MoM, YoY} percent change of weekly orders."""
-    return _horizon_change(fd.segment_weekly(t, with_all=True), ["area"], "week_end", "n", HORIZONS)
+    """Area x {WoW, MoM, YoY, since the base year} percent change of weekly orders."""
+    back = F.lit(364) * (F.year("mx") - F.lit(t.base_year))
+    return _horizon_change(fd.segment_weekly(t, with_all=True), ["area"], "week_end", "n",
+                           [*HORIZONS, ("19_present", back)])
+
+
+S.CTES["rw"] = (f"SELECT r_name AS area, {S.week_end('d')} AS week_end, CAST(sum(qty) AS BIGINT) AS n FROM rd GROUP BY 1, 2 "
+                f"UNION ALL SELECT 'ALL', {S.week_end('d')}, CAST(sum(qty) AS BIGINT) FROM rd GROUP BY 2")
+
+
+S.CTES["rw_cur"] = ("SELECT m.area, m.mx, s.n AS new FROM (SELECT area, max(week_end) AS mx FROM rw GROUP BY area) m "
+                    "JOIN rw s ON s.area = m.area AND s.week_end = m.mx")
+
+
+@query("rental_change", W("SELECT h.change, c.area, " + S.pct_chg("c.new", "CASE WHEN o.area IS NULL THEN c.new ELSE o.n END")
+                          + f" AS chg FROM rw_cur c, (VALUES {_HZ3}) h(change, days_back) LEFT JOIN rw o "
+                          "ON o.area = c.area AND o.week_end = c.mx - CAST(h.days_back AS INTEGER)"))
+def rental_change(t):
+    """Area x {WoW, MoM, YoY} percent change of the weekly shipped quantity by region."""
+    daily = t.stage("region_daily", lambda: _region_daily(t), ["lineitem", "supplier", "nation", "region"])
+    weekly = daily_to_weekly(daily.withColumnRenamed("r_name", "area"), "d", ["area"], ["qty"])
+    total = weekly.groupBy("week_end").agg(F.sum("qty").alias("qty")).withColumn("area", F.lit(fd.ALL_AREAS))
+    return _horizon_change(weekly.unionByName(total), ["area"], "week_end", "qty", HORIZONS)
 
 
 @query("horizon_since_base", _hz_sql(
     f"SELECT '19_present', 364 * (year(mx) - {fd.BASE_YEAR}) FROM hz_cur x WHERE x.area = hz_cur.area"))
 def horizon_since_base(t):
     """Change since the base year, 364 days x whole years back."""
-    back = F.lit(364) * (F.year("mx") - F.lit(fd.BASE_YEAR))
+    back = F.lit(364) * (F.year("mx") - F.lit(t.base_year))
     return _horizon_change(fd.segment_weekly(t, with_all=True), ["area"], "week_end", "n",
                            [("19_present", back)])
 
@@ -163,66 +190,55 @@ def share_by_group(t):
     return share_of_total(_month_priority(t), ["month"], "n")
 
 
-_PCOLS = wide_names(PRIORITIES)
+def _pivot_sql(rows: str, ids: str, key: str, value: str, prefix: str = "", suffix: str = "") -> str:
+    """DuckDB pivot over every key of the data, named as ``to_wide`` names them."""
+    name = (f"regexp_replace(regexp_replace(regexp_replace(lower('{prefix}' || coalesce(CAST({key} AS VARCHAR), 'NA') || '{suffix}'), "
+            "'[^0-9a-z]+', '_', 'g'), '^_+|_+$', '', 'g'), '^([0-9])', 'x\\1')")
+    return (f"SELECT * FROM (PIVOT (SELECT {ids}, {name} AS _k, {value} AS _v FROM ({W(rows)})) ON _k USING max(_v) GROUP BY {ids})")
 
 
-@query("share_wide", W("SELECT month, " + ", ".join(
-    f"max(share) FILTER (WHERE o_orderpriority = '{p}') AS {c}" for p, c in zip(PRIORITIES, _PCOLS))
-    + " FROM mps GROUP BY month"))
+@query("share_wide", _pivot_sql("SELECT * FROM mps", "month", "o_orderpriority", "share"))
 def share_wide(t):
-    """The month x priority shares, one column per priority."""
-    return to_wide(share_of_total(_month_priority(t), ["month"], "n"), ["month"],
-                   "o_orderpriority", "share", PRIORITIES, _PCOLS)
+    """The month x priority shares, one column per priority of the data."""
+    return to_wide(share_of_total(_month_priority(t), ["month"], "n"), ["month"], "o_orderpriority", "share")
 
 
-STATUSES = ("F", "O", "P")
-_SCOLS = wide_names(STATUSES, prefix="status_")
 S.CTES["mss"] = ("SELECT month, o_orderstatus, " + S.rhe("n", "sum(n) OVER (PARTITION BY month)", 2, 100)
                  + " AS share FROM (SELECT CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS month, "
                  "o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2)")
 
 
-@query("share_wide_status", W("SELECT month, " + ", ".join(
-    f"max(share) FILTER (WHERE o_orderstatus = '{v}') AS {c}" for v, c in zip(STATUSES, _SCOLS))
-    + " FROM mss GROUP BY month"))
+@query("share_wide_status", _pivot_sql("SELECT * FROM mss", "month", "o_orderstatus", "share", "status_"))
 def share_wide_status(t):
     """D16, second parameter set: the same monthly share job grouped by
     order status instead of priority."""
     return to_wide(share_of_total(_month_group(t, "o_orderstatus"), ["month"], "n"), ["month"],
-                   "o_orderstatus", "share", STATUSES, _SCOLS)
+                   "o_orderstatus", "share", prefix="status_")
 
 
-@query("share_weekly", W("SELECT week_end, " + ", ".join(
-    f"max(share) FILTER (WHERE area = '{s}') AS {c}" for s, c in zip(SEG, _SEGCOLS))
-    + " FROM (SELECT week_end, area, " + S.rhe("n", "sum(n) OVER (PARTITION BY week_end)", 2, 100)
-    + " AS share FROM sw) GROUP BY week_end"))
+@query("share_weekly", _pivot_sql("SELECT week_end, area, " + S.rhe("n", "sum(n) OVER (PARTITION BY week_end)", 2, 100)
+                                  + " AS share FROM sw", "week_end", "area", "share"))
 def share_weekly(t):
     """Weekly share of orders by market segment, wide."""
     s = share_of_total(fd.segment_weekly(t), ["week_end"], "n")
-    return to_wide(s, ["week_end"], "area", "share", SEG, _SEGCOLS)
+    return to_wide(s, ["week_end"], "area", "share")
 
 
 # --- area index -----------------------------------------------------------------------
 
 S.CTES.update(S.baseline_ctes("ba", "swa", keys="area"))
-_AREAS = (fd.ALL_AREAS, *SEG)
-_ACOLS = wide_names(_AREAS, suffix="_index")
-
-
-@query("wide_area_index", W(f"SELECT week_end, {S.isoweek('week_end')} AS iso_week, " + ", ".join(
-    f"max(idx) FILTER (WHERE area = '{a}') AS {c}" for a, c in zip(_AREAS, _ACOLS))
-    + f" FROM (SELECT s.area, s.week_end, s.n / NULLIF(b.base, 0) * {D(100)} AS idx FROM swa s "
+@query("wide_area_index", f"SELECT *, {S.isoweek('week_end')} AS iso_week FROM (" + _pivot_sql(
+    f"SELECT s.area, s.week_end, {S.ratio('s.n', 'b.base')} * {D(100)} AS idx FROM swa s "
     f"LEFT JOIN ba b ON b.area = s.area AND b.iso_week = {S.isoweek('s.week_end')} "
-    f"WHERE s.week_end >= DATE '{fd.SINCE}') GROUP BY week_end"))
+    f"WHERE s.week_end >= DATE '{fd.SINCE}'", "week_end", "area", "idx", suffix="_index") + ")")
 def wide_area_index(t):
     """Per-area ratio index (uncapped) against each area's own
     baseline, one computed column per area; rows matched by week, not position."""
     wk = fd.segment_weekly(t, with_all=True)
-    base = centred_circular(wk, fd.BASE_YEAR, keys=["area"])
-    s = join_baseline(wk, base, "left", keys=["area"]).where(F.col("week_end") >= F.lit(fd.SINCE))
+    base = centred_circular(wk, t.base_year, keys=["area"])
+    s = join_baseline(wk, base, "left", keys=["area"]).where(F.col("week_end") >= F.lit(t.since))
     s = s.select("area", "week_end", ratio_index(F.col("n"), F.col("base")).alias("idx"))
-    wide = to_wide(s, ["week_end"], "area", "idx", _AREAS, _ACOLS)
-    return wide.select("week_end", iso_week(F.col("week_end")).alias("iso_week"), *_ACOLS)
+    return to_wide(s, ["week_end"], "area", "idx", suffix="_index").withColumn("iso_week", iso_week(F.col("week_end")))
 
 
 # --- reshape --------------------------------------------------------------------------
@@ -260,13 +276,11 @@ def wide_to_long(t):
     return to_long(_region_year_wide(t), ["r_name"], "period", "n")
 
 
-@query("long_to_wide", W("SELECT month, " + ", ".join(
-    f"CAST(sum(CASE WHEN o_orderpriority = '{p}' THEN n END) AS BIGINT) AS {c}" for p, c in zip(PRIORITIES, _PCOLS))
-    + " FROM mp GROUP BY month"))
+@query("long_to_wide", _pivot_sql("SELECT * FROM mp", "month", "o_orderpriority", "n"))
 def long_to_wide(t):
     """Order counts month x priority, one column per priority; a
     missing cell is NULL, not 0."""
-    return to_wide(_month_priority(t), ["month"], "o_orderpriority", "n", PRIORITIES, _PCOLS)
+    return to_wide(_month_priority(t), ["month"], "o_orderpriority", "n")
 
 
 S.CTES["wu"] = f"SELECT {S.week_end('d')} AS week_end, CAST(sum(n_urgent) AS BIGINT) AS n FROM od GROUP BY 1"
@@ -305,18 +319,18 @@ def grain_sum(t):
 
 @query("multi_sum", W(
     "SELECT CAST(l_shipdate AS DATE) AS d, "
-    "CAST(sum(CAST(trunc(TRY_CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE)) AS INTEGER)) AS BIGINT) AS qty, "
-    "CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS price, "
-    "CAST(CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS tax "
+    "CAST(coalesce(sum(CAST(trunc(TRY_CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE)) AS INTEGER)), 0) AS BIGINT) AS qty, "
+    "CAST(CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(18,2))), 0) AS DECIMAL(18,2)) AS DOUBLE) AS price, "
+    "CAST(CAST(coalesce(sum(CAST(l_tax AS DECIMAL(18,2))), 0) AS DECIMAL(18,2)) AS DOUBLE) AS tax "
     "FROM lineitem GROUP BY 1"))
 def multi_sum(t):
     """A2: several sums per ship date with the cast inside the sum."""
     from tidemark.functions.scalar import to_int_trunc
     li = t.lineitem.select(F.to_date("l_shipdate").alias("d"), "l_quantity", "l_extendedprice", "l_tax")
     return (li.groupBy("d")
-            .agg(F.sum(to_int_trunc(F.col("l_quantity").cast("string"))).alias("qty"),
-                 decimal_to_double(F.sum(money("l_extendedprice"))).alias("price"),
-                 decimal_to_double(F.sum(money("l_tax"))).alias("tax")))
+            .agg(F.coalesce(F.sum(to_int_trunc(F.col("l_quantity").cast("string"))), F.lit(0)).alias("qty"),
+                 decimal_to_double(F.coalesce(F.sum(money("l_extendedprice")), F.lit(0))).alias("price"),
+                 decimal_to_double(F.coalesce(F.sum(money("l_tax")), F.lit(0))).alias("tax")))
 
 
 @query("min_max_dates", W(
@@ -362,7 +376,7 @@ def filter_between(t):
     closed range up to the day after the analysis week."""
     li = t.lineitem.where(F.col("l_shipdate") >= F.lit(dt.datetime(SHIP_FROM.year, SHIP_FROM.month, SHIP_FROM.day)))
     li = li.select(F.to_date("l_shipdate").alias("d"), "l_quantity")
-    li = li.where(F.col("d").between(F.lit(fd.SINCE), F.date_add(fd.asof_value(t), 1)))
+    li = li.where(F.col("d").between(F.lit(t.since), F.date_add(fd.asof_value(t), 1)))
     return (li.groupBy(week_ending_saturday(F.col("d")).alias("week_end"))
             .agg(F.sum(F.col("l_quantity").cast("long")).alias("qty")))
 
@@ -394,8 +408,8 @@ def asof_cutoff(t):
 
 @query("recent_days_limit", W(f"SELECT d, n FROM od WHERE d > (SELECT max(d) FROM od) - {RECENT_DAYS}"))
 def recent_days_limit(t):
-    """The source-side pull of the last n days, as a date predicate
-    (so the range reaches the scan) rather than a row cap."""
+    """The pull of the last n days, as a date predicate on the staged day
+    table rather than a row cap."""
     od = fd.orders_daily(t)
     newest = od.agg(F.max("d")).scalar()
     return od.where(F.col("d") > F.date_sub(newest, RECENT_DAYS)).select("d", "n")

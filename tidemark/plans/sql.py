@@ -37,6 +37,12 @@ def cap(x: str, limit: float = 100.0) -> str:
     return f"(CASE WHEN {x} > {D(limit)} THEN {D(limit)} ELSE {x} END)"
 
 
+def ratio(num: str, den: str) -> str:
+    """SQL of ``functions.ratio``: IEEE rules for a zero base, 0 over 0 is NULL."""
+    return (f"(CASE WHEN {den} <> 0 THEN ({num}) / CAST({den} AS DOUBLE) WHEN {den} = 0 AND ({num}) > 0 THEN CAST('Infinity' AS DOUBLE) "
+            f"WHEN {den} = 0 AND ({num}) < 0 THEN CAST('-Infinity' AS DOUBLE) END)")
+
+
 def rollmean(x: str, order: str, partition: str = "", k: int = K, align: str = "right") -> str:
     """SQL: the k-row mean as an explicit sum of lagged values (same order as Spark)."""
     over = f"OVER ({'PARTITION BY ' + partition + ' ' if partition else ''}ORDER BY {order})"
@@ -50,8 +56,8 @@ def rollmean(x: str, order: str, partition: str = "", k: int = K, align: str = "
 def rhe(num: str, den: str, scale: int = 2, mult: int = 1) -> str:
     """Exact half-even rounding of num*mult/den (integral), as DOUBLE."""
     p = 10 ** scale
-    a = f"(CAST(abs({num}) AS BIGINT) * {mult * p})"
-    b = f"CAST(abs({den}) AS BIGINT)"
+    a = f"(abs(CAST({num} AS HUGEINT)) * {mult * p})"
+    b = f"abs(CAST({den} AS HUGEINT))"
     r = f"({a} % {b})"
     q = f"(({a} - {r}) // {b})"
     q2 = f"(CASE WHEN {r} * 2 > {b} THEN {q} + 1 WHEN {r} * 2 = {b} THEN {q} + {q} % 2 ELSE {q} END)"
@@ -76,7 +82,7 @@ def baseline_ctes(prefix: str, src: str, value: str = "n", keys: str = "",
         f"{prefix}_sp": f"SELECT {k}((w - 2 + nw) % nw) + 1 AS iso_week, v, nw FROM {prefix}_by "
                         f"UNION ALL SELECT {k}w, v, nw FROM {prefix}_by "
                         f"UNION ALL SELECT {k}(w % nw) + 1, v, nw FROM {prefix}_by",
-        f"{prefix}_b0": f"SELECT {k}iso_week, CAST(sum(v) AS DOUBLE) / {D(3)} AS base, max(nw) AS nw "
+        f"{prefix}_b0": f"SELECT {k}iso_week, CASE WHEN count(v) = 3 THEN CAST(sum(v) AS DOUBLE) / {D(3)} END AS base, max(nw) AS nw "
                         f"FROM {prefix}_sp GROUP BY {k}iso_week",
     }
     if week53:
@@ -99,7 +105,7 @@ CTES: dict[str, str] = {
            f"FROM orders GROUP BY 1"),
     "ld": ("SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS n_lines, "
            "CAST(count_if(l_returnflag = 'R') AS BIGINT) AS n_returned, "
-           "CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty FROM lineitem GROUP BY 1"),
+           "CAST(coalesce(sum(CAST(l_quantity AS BIGINT)), 0) AS BIGINT) AS qty FROM lineitem GROUP BY 1"),
     "aw": f"SELECT {last_sat('max(d)')} AS asof FROM od",
     "wk": f"SELECT {week_end('d')} AS week_end, CAST(sum(n) AS BIGINT) AS n FROM od GROUP BY 1",
     "wr": f"SELECT {week_end('d')} AS week_end, CAST(sum(n_returned) AS BIGINT) AS n FROM ld GROUP BY 1",
@@ -107,20 +113,17 @@ CTES: dict[str, str] = {
     **baseline_ctes("bw", "wk"),
     **baseline_ctes("br", "wr"),
     # D6 home sales
-    "home": (f"SELECT wk.week_end, b.iso_week, wk.n, b.base, wk.n / NULLIF(b.base, 0) * {D(100)} AS index_original, "
-             f"{cap(f'wk.n / NULLIF(b.base, 0) * {D(100)}')} AS index "
+    "home": (f"SELECT wk.week_end, b.iso_week, wk.n, b.base, {ratio('wk.n', 'b.base')} * {D(100)} AS index_original, "
+             f"{cap(ratio('wk.n', 'b.base') + ' * ' + D(100))} AS index "
              f"FROM wk JOIN bw b ON b.iso_week = {isoweek('wk.week_end')}, aw "
              f"WHERE wk.week_end BETWEEN DATE '{SINCE}' AND aw.asof"),
     # D3 claims
     "claims_p": (f"SELECT wr.week_end, {isoweek('wr.week_end')} AS iso_week, wr.n, b.base, "
-                 f"(wr.n - b.base) / NULLIF(b.base, 0) AS pct_change "
+                 f"{ratio('wr.n - b.base', 'b.base')} AS pct_change "
                  f"FROM wr LEFT JOIN br b ON b.iso_week = {isoweek('wr.week_end')} "
                  f"WHERE wr.week_end >= DATE '{SINCE}'"),
-    "claims": (f"SELECT week_end, iso_week, n, base, pct_change, "
-               f"{D(100)} / NULLIF({D(100)} * pct_change + {D(100)}, 0) * {D(100)} AS index_original, "
-               f"CASE WHEN n = 0 THEN {D(100)} ELSE "
-               f"{cap(f'{D(100)} / NULLIF({D(100)} * pct_change + {D(100)}, 0) * {D(100)}')} END AS index "
-               f"FROM claims_p"),
+    "claims": (f"SELECT week_end, iso_week, n, base, pct_change, io * {D(100)} AS index_original, {cap(f'io * {D(100)}')} AS index "
+               f"FROM (SELECT *, {ratio(D(100), f'({D(100)} * pct_change + {D(100)})')} AS io FROM claims_p)"),
     # D4 rentals
     "jan": (f"SELECT CAST(sum(qty) AS DOUBLE) / count(*) AS scale FROM wq "
             f"WHERE year(week_end) = {BASE_YEAR} AND month(week_end) = 1"),
@@ -147,14 +150,14 @@ CTES: dict[str, str] = {
                  f"CAST(CAST(sum(revenue) AS DECIMAL(18,2)) AS DOUBLE) / count(*) AS base_revenue "
                  f"FROM od WHERE year(d) = {BASE_YEAR} GROUP BY 1"),
     "sub_c": (f"SELECT b.day_of_week, od.d, CAST(od.revenue AS DOUBLE) AS revenue, "
-              f"CAST(od.revenue AS DOUBLE) / b.base_revenue - {D(1)} AS comparable "
+              f"{ratio('CAST(od.revenue AS DOUBLE)', 'b.base_revenue')} - {D(1)} AS comparable "
               f"FROM od JOIN sub_base b ON b.day_of_week = CAST(dayofweek(od.d) + 1 AS INTEGER)"),
     "sub_m": (f"SELECT day_of_week, d, comparable, {rollmean('comparable', 'd')} AS avg7, "
               f"{rollmean('revenue', 'd')} AS avg_revenue FROM sub_c"),
     "subway": (f"SELECT day_of_week, d, comparable, avg7, ({D(1)} + avg7) * {D(100)} AS index_original, "
                f"{cap(f'({D(1)} + avg7) * {D(100)}')} AS index, avg_revenue FROM sub_m, aw WHERE d <= aw.asof"),
     # D1 restaurants
-    "yoy": (f"SELECT a.d, a.n, b.n AS n_old, CAST(a.n - b.n AS DOUBLE) / b.n * {D(100)} AS yoy "
+    "yoy": (f"SELECT a.d, a.n, b.n AS n_old, {ratio('a.n - b.n', 'b.n')} * {D(100)} AS yoy "
             f"FROM od a JOIN od b ON a.d = b.d + {YOY_DAYS}"),
     "rest_m": f"SELECT d, yoy, {rollmean('yoy', 'd')} AS avg7 FROM yoy",
     "restaurants": (f"SELECT CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, d, yoy, avg7, "

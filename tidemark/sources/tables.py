@@ -7,8 +7,10 @@ parquet reader as pushed filters.
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 import os
-import time
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,11 +22,10 @@ _STAGED: dict[tuple, tuple[str, DataFrame]] = {}
 # resolving a relation lists files and reads footers (~80 ms per table), so
 # queries of one run share it; changed files give a new fingerprint.
 _READS: dict[tuple, DataFrame] = {}
-# File-system fingerprints by path, re-listed after FINGERPRINT_TTL seconds:
-# a 100 TB table on object storage is hundreds of thousands of files, so the
-# queries of one run share one listing; a later run sees fresh metadata.
-FINGERPRINT_TTL = 600.0
-_PRINTS: dict[str, tuple[float, tuple]] = {}
+# Default parameters of a run: the year that plays the pre-period and the first
+# date that is analysed (the test tables span 1995-2001).
+BASE_YEAR = 1997
+SINCE = dt.date(1998, 1, 1)
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -34,14 +35,27 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 class Tables:
     """``Tables(spark, dir).orders`` -> DataFrame of ``dir/orders.parquet``.
 
+    One instance is one run: it lists its input files once, at first use, and every
+    query of the run sees that state; a new run lists them again. ``base_year``,
+    ``since`` and ``week`` are the run's parameters. With ``own_stages`` the staged
+    tables belong to this run alone and ``release`` deletes them; otherwise runs of
+    one application share a stage while its input files are the same.
+
     With ``catalog_db``, tables present in that catalog database (the bucketed
     layout of ``sources.layout``) are read from the catalog so Spark knows
     their bucketing; the others are read by path from ``dir``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, catalog_db: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, catalog_db: str | None = None,
+                 base_year: int = BASE_YEAR, since: dt.date = SINCE, week: dt.date | None = None,
+                 own_stages: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.catalog_db = catalog_db
+        self.base_year = base_year
+        self.since = since
+        self.week = week            # analysis week; None: taken from the data
+        self._registry = {} if own_stages else _STAGED
+        self._own = own_stages
         self._cache: dict[str, DataFrame] = {}
         self._stages: dict[str, DataFrame] = {}
         self._memo: dict[str, DataFrame] = {}
@@ -81,30 +95,36 @@ class Tables:
             return self._locations[name]
         return os.path.join(self.sf_dir, f"{name}.parquet")
 
-    def fingerprint(self, names) -> tuple:
-        """(table, bytes, files, mtime) per input, from file-system metadata
-        only (no data read)."""
+    def _listing(self, path: str) -> tuple[int, str]:
+        """Bytes below ``path`` and a digest of path, length and modification
+        time of every file (one metadata call per folder, no data read)."""
         jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
-        out = []
-        now = time.monotonic()
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        size, digest, folders = 0, hashlib.sha256(), [path]
+        while folders:
+            statuses = fs.listStatus(jvm.org.apache.hadoop.fs.Path(folders.pop()))
+            text = jvm.org.apache.commons.lang3.ArrayUtils.toString(statuses)
+            for status in sorted(re.findall(r"FileStatus\{(path=.*?modification_time=\d+)", text)):
+                where = re.match(r"path=(.*?); isDirectory=(\w+)", status)
+                if where[2] == "true":
+                    folders.append(where[1])
+                else:
+                    size += int(re.search(r"length=(\d+)", status)[1])
+                    digest.update(status.encode())
+            folders.sort()
+        return size, digest.hexdigest()
+
+    def fingerprint(self, names) -> tuple:
+        """(table, bytes, digest of its file listing) per input, fixed for this run."""
         for n in names:
             if n not in self._prints:
-                path = self.path(n)
-                hit = _PRINTS.get(path)
-                if hit is None or now - hit[0] > FINGERPRINT_TTL:
-                    p = jvm.org.apache.hadoop.fs.Path(path)
-                    fs = p.getFileSystem(conf)
-                    cs = fs.getContentSummary(p)
-                    hit = _PRINTS[path] = (now, (n, cs.getLength(), cs.getFileCount(),
-                                                 fs.getFileStatus(p).getModificationTime()))
-                self._prints[n] = hit[1]
-            out.append(self._prints[n])
-        return tuple(out)
+                self._prints[n] = (n, *self._listing(self.path(n)))
+        return tuple(self._prints[n] for n in names)
 
     def size_bytes(self, *names: str) -> int:
         """Bytes on disk of the named tables (metadata only)."""
-        return sum(b for _, b, _, _ in self.fingerprint(names))
+        return sum(size for _, size, _ in self.fingerprint(names))
 
     def _exists(self, path: str) -> bool:
         jvm = self.spark._jvm
@@ -127,15 +147,27 @@ class Tables:
         if name not in self._stages:
             from tidemark.session import scratch_path
             key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, name,
-                   self.fingerprint(inputs))
-            hit = _STAGED.get(key)
+                   self.base_year, self.since, self.week, self.fingerprint(inputs))
+            hit = self._registry.get(key)
             if hit is None or not self._exists(hit[0]):
                 path = scratch_path(self.spark, name)
                 build().write.mode("overwrite").parquet(path)
-                hit = _STAGED[key] = (path, self.spark.read.parquet(path))
+                hit = self._registry[key] = (path, self.spark.read.parquet(path))
             self._stages[name] = hit[1]
         return self._stages[name]
 
+    def release(self) -> None:
+        """Delete the staged tables of a run that owns them."""
+        if not self._own:
+            return
+        jvm = self.spark._jvm
+        for path, _ in self._registry.values():
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        self._registry.clear()
+        self._stages.clear()
+        self._memo.clear()
+
     def memo(self, name: str, build) -> DataFrame:
         """Build a (lazy) DataFrame once per run, so every use is the same
         plan and Spark reuses its exchange or subquery."""
