@@ -13,7 +13,7 @@ Q = E.queries()
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["date", "hosp_index", "claims_index", "home_sales_index", "rental_index",
-                          "subway_index", "restaurant_index", "recovery_index"]
+                          "subway_index", "restaurant_index", "composite_index"]
     assert df.count() > 0
 
 
@@ -30,7 +30,7 @@ def test_composite_is_sum_of_scores_and_bounded(spark):
         parts = [r.hosp_index, r.claims_index, r.home_sales_index, r.rental_index, r.subway_index,
                  r.restaurant_index]
         assert all(p <= 100 / 6 + 1e-12 for p in parts)
-        assert math.isclose(r.recovery_index, sum(parts), rel_tol=1e-12)
+        assert math.isclose(r.composite_index, sum(parts), rel_tol=1e-12)
 
 
 def test_shares_sum_to_about_100(spark):
@@ -42,8 +42,8 @@ def test_shares_sum_to_about_100(spark):
 def test_wow_composite_is_mean_of_differences(spark):
     rows = {r.measure: r.change for r in Q["wow_report"](spark, SF01).collect()}
     assert len(rows) == 7
-    six = [v for k, v in rows.items() if k != "recovery_index"]
-    assert math.isclose(rows["recovery_index"], sum(six) / 6, rel_tol=1e-9, abs_tol=1e-9)
+    six = [v for k, v in rows.items() if k != "composite_index"]
+    assert math.isclose(rows["composite_index"], sum(six) / 6, rel_tol=1e-9, abs_tol=1e-9)
 
 
 def test_append_is_idempotent(spark):
@@ -55,7 +55,7 @@ def test_append_is_idempotent(spark):
 
 def test_overview_equals_composite_scores(spark):
     a = Q["overview"](spark, SF01)
-    b = Q["composite_total"](spark, SF01).drop("recovery_index")
+    b = Q["composite_total"](spark, SF01).drop("composite_index")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -63,7 +63,7 @@ def test_register_views_for_sql(spark):
     from tidemark.plans.registry import register_views
     names = register_views(spark, SF01, ["composite_total", "wow_report"], prefix="tm_")
     assert names == ["tm_composite_total", "tm_wow_report"]
-    n = spark.sql("SELECT count(*) FROM tm_composite_total WHERE recovery_index <= 100").first()[0]
+    n = spark.sql("SELECT count(*) FROM tm_composite_total WHERE composite_index <= 100").first()[0]
     assert n == Q["composite_total"](spark, SF01).count()
     assert spark.sql("SELECT count(*) FROM tm_wow_report").first()[0] == 7
 
@@ -78,7 +78,7 @@ def test_wow_report_agrees_with_composite_change(spark):
     wow = {r.measure: r.change for r in Q["wow_report"](spark, SF01).collect()}
     week = Q["wow_report"](spark, SF01).first().analysis_week
     ch = {r.date: r.change for r in Q["composite_change"](spark, SF01).collect()}
-    assert math.isclose(wow["recovery_index"], ch[week], rel_tol=1e-12, abs_tol=1e-12)
+    assert math.isclose(wow["composite_index"], ch[week], rel_tol=1e-12, abs_tol=1e-12)
 
 
 def test_horizon_wow_follows_from_weekly_counts(spark):

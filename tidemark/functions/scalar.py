@@ -41,12 +41,12 @@ def round_ratio_half_even(num: Column, den: Column, scale: int = 2,
                           mult: int = 1) -> Column:
     """round(num * mult / den, scale) half-to-even, exactly, for integral
     num/den (any BIGINT); NULL when den is 0. Returned as DOUBLE (= q / 10^scale).
-    Integer division of 38-digit decimals: no step goes through a double."""
+    All steps on 38-digit decimals: none goes through a double."""
     p = 10 ** scale
     a = (F.abs(num.cast("decimal(20,0)")) * F.lit(mult * p).cast("decimal(10,0)")).cast("decimal(38,0)")
     b = F.nullif(F.abs(den.cast("decimal(20,0)")), F.lit(0).cast("decimal(20,0)"))
     r = a % b
-    q = F.call_function("div", a, b)
+    q = ((a - r) / b).cast("decimal(38,0)")  # a whole number: the decimal division is exact
     q = (F.when(r * 2 > b, q + 1)
          .when(r * 2 == b, q + q % 2)
          .otherwise(q))

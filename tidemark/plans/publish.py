@@ -1,43 +1,56 @@
 """Publish every output of one weekly run, all or nothing.
 
-1. Every table is computed and written under
-   ``<out>/<table>/run_id=<run_id>/analysis_week=<week>/`` (the dated sink; the week comes from the
-   data, Spark names the folders, nothing is collected).
-2. The readiness gate (D11) must pass: every feed has the analysis week and
+1. The analysis week follows the last committed one (S7): ``next_week`` reads the
+   manifest and adds seven days; the first run takes the newest week of the data.
+   ``publish_due`` repeats until the newest week is out, so a missed week is caught up.
+2. Every table is computed and written under
+   ``<out>/<table>/run_id=<run_id>/analysis_week=<week>/`` (the dated sink). The tables
+   that are a history (``HISTORIES``) keep what the last committed run published and
+   add only newer dates up to the analysis week, so a late correction of the feeds never
+   rewrites a published week; reports and deep dives use the current feeds.
+3. The readiness gate (D11) must pass: every feed has the analysis week and
    the week before. Otherwise the run raises and nothing becomes visible.
-3. Commit: one row (analysis_week, run_id) is appended to ``<out>/_published``.
+4. Commit: one row (analysis_week, run_id) is appended to ``<out>/_published``.
    Readers only see runs listed there (``read_published``), so a run that
    died half-way - including a lost executor mid-write - is never read;
    re-running writes a fresh run folder.
 
 Deep dives are published by the same commit (the reference wrote them before
-its gate, deviation V6).
+its gate, deviation V6). The run owns its staged tables and deletes them at the end.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.composite import append_newer
 from tidemark.plans import feeds as fd
-from tidemark.sources.tables import Tables
+from tidemark.sources.tables import BASE_YEAR, SINCE, Tables
+
+# Tables whose published dates are kept, and their date column.
+HISTORIES = {"overview": "date", "rentals": "week_end", "hospital": "d", "restaurants": "d"}
 
 
 def _tables():
+    from tidemark.operators import composite as cp
     from tidemark.plans import q_composite as qc
     from tidemark.plans import q_series as qs
     return {
         # main tables
         "restaurants": fd.restaurants, "subway": fd.subway, "claims": fd.claims,
         "hospital": fd.hospital, "home_sales": fd.home_sales, "rentals": fd.rentals,
-        "wow_changes": qc.wow_report, "overview": qc.overview,
+        "wow_changes": qc.wow_report,
+        "overview": lambda t: cp.scores(fd.six_way_join(t), fd.MEASURES).where(F.col("date") <= fd.asof_value(t)),
         # deep dives
         "series_compare": qs.series_compare, "feed_rollmean": qs.across_rollmean,
-        "monthly_share": qs.share_wide, "weekly_share": qs.share_weekly,
-        "region_rollup": qs.facility_rollup, "area_changes": qs.horizon_change,
+        "monthly_share": qs.share_wide, "monthly_share_status": qs.share_wide_status,
+        "weekly_share": qs.share_weekly, "region_rollup": qs.facility_rollup,
+        "area_changes": qs.horizon_change, "rental_changes": qs.rental_change,
         "area_indexes": qs.wide_area_index,
     }
 
@@ -46,26 +59,64 @@ class NotReady(RuntimeError):
     """A feed lacks the analysis week or the week before; nothing published."""
 
 
+def _has(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def last_week(spark: SparkSession, out_dir: str) -> dt.date | None:
+    """The newest committed analysis week, None before the first run."""
+    manifest = os.path.join(out_dir, "_published")
+    return spark.read.parquet(manifest).agg(F.max("analysis_week")).first()[0] if _has(spark, manifest) else None
+
+
+def next_week(spark: SparkSession, sf_dir: str, out_dir: str, **options) -> dt.date:
+    """The week after the last committed one; the newest week of the data before the first run."""
+    last = last_week(spark, out_dir)
+    return last + dt.timedelta(days=7) if last else newest_week(spark, sf_dir, **options)
+
+
+def newest_week(spark: SparkSession, sf_dir: str, **options) -> dt.date:
+    return fd.asof(Tables(spark, sf_dir, **options)).first()["asof"]
+
+
 def publish(spark: SparkSession, sf_dir: str, out_dir: str, run_id: str | None = None,
-            catalog_db: str | None = None) -> str:
-    """One weekly run; ``catalog_db`` reads the bucketed layout where present."""
+            catalog_db: str | None = None, week: dt.date | None = None,
+            base_year: int = BASE_YEAR, since: dt.date = SINCE) -> str:
+    """One weekly run for ``week`` (default: ``next_week``); ``catalog_db`` reads the
+    bucketed layout where present."""
     from tidemark.plans.q_composite import feed_status
-    t = Tables(spark, sf_dir, catalog_db=catalog_db)
     run_id = run_id or uuid.uuid4().hex
-    week = fd.asof(t).select(F.col("asof").alias("analysis_week"))
-    missing = feed_status(t).where(~F.col("present"))
-    if not missing.isEmpty():
-        raise NotReady("feeds missing the analysis week or the week before")
-    for name, build in _tables().items():
-        df = build(t).withColumn("analysis_week", week.scalar())
-        (df.write.mode("overwrite").partitionBy("analysis_week")
-         .parquet(os.path.join(out_dir, name, f"run_id={run_id}")))
-    (week.select("analysis_week", F.lit(run_id).alias("run_id"),
-                 F.current_timestamp().alias("committed_at"))
-     .write.mode("append").parquet(os.path.join(out_dir, "_published")))
+    week = week or next_week(spark, sf_dir, out_dir, catalog_db=catalog_db)
+    before = last_week(spark, out_dir)
+    t = Tables(spark, sf_dir, catalog_db=catalog_db, base_year=base_year, since=since, week=week, own_stages=True)
+    try:
+        if not feed_status(t).where(~F.col("present")).isEmpty():
+            raise NotReady(f"feeds missing {week} or the week before")
+        for name, build in _tables().items():
+            df = build(t)
+            if name in HISTORIES and before is not None:
+                kept = read_published(spark, out_dir, name).where(F.col("analysis_week") == F.lit(before)).drop("analysis_week")
+                df = append_newer(kept, df, HISTORIES[name], F.lit(week))
+            (df.withColumn("analysis_week", F.lit(week)).write.mode("overwrite").partitionBy("analysis_week")
+             .parquet(os.path.join(out_dir, name, f"run_id={run_id}")))
+        (spark.range(1).select(F.lit(week).alias("analysis_week"), F.lit(run_id).alias("run_id"),
+                               F.current_timestamp().alias("committed_at"))
+         .write.mode("append").parquet(os.path.join(out_dir, "_published")))
+    finally:
+        t.release()
     return run_id
 
 
+def publish_due(spark: SparkSession, sf_dir: str, out_dir: str, **options) -> list[str]:
+    """Publish every week that is due, oldest first; none if the newest is out."""
+    newest = newest_week(spark, sf_dir, catalog_db=options.get("catalog_db"))
+    runs = []
+    while (week := next_week(spark, sf_dir, out_dir, catalog_db=options.get("catalog_db"))) <= newest:
+        runs.append(publish(spark, sf_dir, out_dir, week=week, **options))
+    return runs
+
+
 def read_published(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
     """The latest committed run of each analysis week, for one table."""
     man = spark.read.parquet(os.path.join(out_dir, "_published"))
@@ -73,25 +124,30 @@ def read_published(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
         Window.partitionBy("analysis_week").orderBy(F.col("committed_at").desc(), F.col("run_id").desc())))
         .where(F.col("_r") == 1).select("analysis_week", "run_id"))
     data = spark.read.parquet(os.path.join(out_dir, table))
-    # the manifest has one row per published run; joining on the partition
-    # columns lets Spark prune the folders of uncommitted runs
-    return data.join(F.broadcast(latest), ["analysis_week", "run_id"]).drop("run_id")
+    # joining on the partition columns lets Spark prune the folders of uncommitted runs
+    return data.join(latest, ["analysis_week", "run_id"]).drop("run_id")
 
 
 def main(argv=None) -> None:
-    """``python -m tidemark.plans.publish <tables dir> <output dir> [catalog db]``:
-    one weekly run."""
+    """``python -m tidemark.plans.publish <tables dir> <output dir> [catalog db] [base year] [first date]``:
+    every weekly run that is due, on the cluster that spark-submit names."""
     import sys
-    from tidemark.session import build_session
+    from tidemark.session import SCALE_CONF
     args = list(sys.argv[1:] if argv is None else argv)
-    if len(args) not in (2, 3):
-        raise SystemExit("usage: python -m tidemark.plans.publish <tables dir> <output dir> [catalog db]")
-    spark = SparkSession.getActiveSession() or build_session()
-    print(publish(spark, args[0], args[1], catalog_db=args[2] if len(args) == 3 else None))
-
-
-if __name__ == "__main__":
-    main()
+    if not 2 <= len(args) <= 5:
+        raise SystemExit("usage: python -m tidemark.plans.publish <tables dir> <output dir> [catalog db] [base year] [first date]")
+    spark = SparkSession.getActiveSession()
+    if spark is None:  # the master and all sizes are those of the submission
+        builder = SparkSession.builder.appName("tidemark-publish")
+        for k, v in SCALE_CONF.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
+    options = {"catalog_db": args[2] or None} if len(args) > 2 else {}
+    if len(args) > 3:
+        options["base_year"] = int(args[3])
+    if len(args) > 4:
+        options["since"] = dt.date.fromisoformat(args[4])
+    print("\n".join(publish_due(spark, args[0], args[1], **options)))
 
 
 def export_csv(spark: SparkSession, out_dir: str, table: str, dest: str) -> None:
@@ -100,3 +156,7 @@ def export_csv(spark: SparkSession, out_dir: str, table: str, dest: str) -> None
     (``dest/analysis_week=YYYY-MM-DD/``) - the dated files a chart tool reads."""
     from tidemark.sources.csv_io import write_csv
     write_csv(read_published(spark, out_dir, table), dest, partition_by=["analysis_week"])
+
+
+if __name__ == "__main__":
+    main()

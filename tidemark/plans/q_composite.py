@@ -31,7 +31,7 @@ def six_way_join(t):
     return fd.six_way_join(t)
 
 
-@query("composite_total", W(f"SELECT date, {_SC}, {_SUM} AS recovery_index FROM six"))
+@query("composite_total", W(f"SELECT date, {_SC}, {_SUM} AS composite_index FROM six"))
 def composite_total(t):
     """D8 flagship: six scores (/6) and the composite out of 100."""
     return cp.composite(fd.six_way_join(t), M)
@@ -47,13 +47,13 @@ def overview(t):
     return cp.append_newer(hist, sc, "date", fd.asof_value(t))
 
 
-@query("composite_change", W(f"SELECT date, recovery_index, recovery_index - lag(recovery_index) "
-                             f"OVER (ORDER BY date) AS change FROM (SELECT date, {_SUM} AS recovery_index FROM six)"))
+@query("composite_change", W(f"SELECT date, composite_index, composite_index - lag(composite_index) "
+                             f"OVER (ORDER BY date) AS change FROM (SELECT date, {_SUM} AS composite_index FROM six)"))
 def composite_change(t):
     """First difference of the composite between consecutive published
     weeks (one row per week, so the ordered window is calendar-bounded)."""
-    c = cp.composite(fd.six_way_join(t), M).select("date", "recovery_index")
-    return c.withColumn("change", diff("recovery_index", "date"))
+    c = cp.composite(fd.six_way_join(t), M).select("date", "composite_index")
+    return c.withColumn("change", diff("composite_index", "date"))
 
 
 _PREV = ", ".join(f"{m} AS {m}__prev" for m in M)
@@ -66,9 +66,9 @@ S.CTES.update({
 
 @query("wow_report", W(
     "SELECT date AS analysis_week, measure, change FROM (SELECT date, "
-    f"({_SUM}) - ({' + '.join(f'{m}__prev / {D(6)}' for m in M)}) AS recovery_index, "
+    f"({_SUM}) - ({' + '.join(f'{m}__prev / {D(6)}' for m in M)}) AS composite_index, "
     + ", ".join(f"{m} - {m}__prev AS {m}" for m in M) + " FROM wow_w) "
-    f"UNPIVOT INCLUDE NULLS (change FOR measure IN (recovery_index, {', '.join(M)}))"))
+    f"UNPIVOT INCLUDE NULLS (change FOR measure IN (composite_index, {', '.join(M)}))"))
 def wow_report(t):
     """Change of every measure and of the composite, analysis week vs
     the week before, computed from current feeds; long form."""

@@ -98,20 +98,18 @@ def weekday_cols(t):
     "SELECT d, s_long, CAST(strptime(s_long, '%B %d, %Y') AS DATE) AS p_long, "
     "CAST(strptime(strftime(d, '%B %Y') || ' 01', '%B %Y %d') AS DATE) AS p_month, "
     "CAST(strptime(strftime(d, '%m/%d/%Y'), '%m/%d/%Y') AS DATE) AS p_mdy, "
-    "CAST(substr(ts, 1, 10) AS DATE) AS p_iso FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d, "
-    "strftime(CAST(o_orderdate AS DATE), '%B %-d, %Y') AS s_long, "
-    "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts FROM orders)"))
+    "CAST(strftime(d, '%Y-%m-%d') AS DATE) AS p_iso FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d, "
+    "strftime(CAST(o_orderdate AS DATE), '%B %-d, %Y') AS s_long FROM orders)"))
 def date_parse(t):
-    """Dates rendered as text in the sources' formats and parsed back."""
-    o = t.orders.select(F.to_date("o_orderdate").alias("d"),
-                        F.col("o_orderdate").cast("string").alias("ts")).distinct()
+    """Dates rendered as text in the sources' formats and parsed back (the days of the staged day table)."""
+    o = fd.orders_daily(t).select("d")
     s_long = F.date_format("d", "MMMM d, yyyy")
     return o.select(
         "d", s_long.alias("s_long"),
         F.try_to_date(s_long, "MMMM d, yyyy").alias("p_long"),
         F.try_to_date(F.concat(F.date_format("d", "MMMM yyyy"), F.lit(" 01")), "MMMM yyyy dd").alias("p_month"),
         F.try_to_date(F.date_format("d", "MM/dd/yyyy"), "MM/dd/yyyy").alias("p_mdy"),
-        F.try_to_date(F.substring("ts", 1, 10)).alias("p_iso"))
+        F.try_to_date(F.substring(F.concat(F.col("d").cast("string"), F.lit("T00:00:00")), 1, 10)).alias("p_iso"))
 
 
 @query("text_scan_cast", W(
@@ -132,17 +130,18 @@ def text_scan_cast(t):
 # --- semi-structured ------------------------------------------------------------------
 
 @query("embedded_payload", W(
-    "SELECT page_id, CAST(regexp_extract(script, 'track\\((\\d+)\\)', 1) AS BIGINT) AS payload, "
+    "SELECT page_id, TRY_CAST(nullif(regexp_extract(script, 'track\\((\\d+)\\)', 1), '') AS BIGINT) AS payload, "
     "CAST(instr(html, 'track(') AS INTEGER) AS pos, CAST(length(script) AS INTEGER) AS script_len "
-    "FROM (SELECT page_id, html, regexp_replace(regexp_extract(html, '(?s)<script>(.*?)</script>', 1), "
-    "'\\n\\s+', '', 'g') AS script FROM pages WHERE regexp_matches(html, 'track\\('))"))
+    "FROM (SELECT page_id, html, regexp_replace(list_filter(regexp_extract_all(html, '(?s)<script>(.*?)</script>', 1), "
+    "lambda s: contains(s, 'track('))[1], '\\n\\s+', '', 'g') AS script FROM pages WHERE regexp_matches(html, 'track\\('))"))
 def embedded_payload(t):
-    """Find pages carrying the payload, take the script text,
-    strip indentation, extract the tracked id and locate it."""
+    """Find pages carrying the payload, take the script that holds
+    it (of several), strip indentation, extract the tracked id and locate it;
+    NULL where no script holds it or the id is no number."""
     p = t.pages.where(F.col("html").rlike(r"track\("))
-    s = p.select("page_id", "html", payload.script_text(F.col("html")).alias("script"))
+    s = p.select("page_id", "html", payload.script_text(F.col("html"), "track(").alias("script"))
     return s.select("page_id",
-                    payload.extract_payload(F.col("script"), r"track\((\d+)\)").cast("bigint").alias("payload"),
+                    payload.extract_payload(F.col("script"), r"track\((\d+)\)").try_cast("bigint").alias("payload"),
                     F.instr("html", "track(").alias("pos"), F.length("script").alias("script_len"))
 
 

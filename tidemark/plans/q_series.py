@@ -421,10 +421,12 @@ def recent_days_limit(t):
     "'_orders.csv' AS name FROM orders UNION ALL SELECT url FROM pages) WHERE regexp_extract(name, "
     "'(\\d{4}-\\d{2}-\\d{2})_', 1) <> '')"))
 def next_period(t):
-    """The latest period found in a column of file names, plus 7 days.
-    Names without a date are dropped; the top-1 is a max() aggregate."""
+    """The latest period found in a column of file names (one dated name per
+    day of the staged day table, and the page URLs), plus 7 days. Names without a date
+    are dropped; the top-1 is a max() aggregate. The publish job does the same over
+    its manifest (``publish.next_week``)."""
     pat = r"(\d{4}-\d{2}-\d{2})_"
-    names = (t.orders.select(F.concat(F.to_date("o_orderdate").cast("string"), F.lit("_orders.csv")).alias("name"))
+    names = (fd.orders_daily(t).select(F.concat(F.col("d").cast("string"), F.lit("_orders.csv")).alias("name"))
              .unionByName(t.pages.select(F.col("url").alias("name"))))
     found = names.select(F.regexp_extract("name", pat, 1).alias("p")).where(F.col("p") != "")
     return found.agg(F.max(F.to_date("p")).alias("latest")).select("latest", F.date_add("latest", 7).alias("next_period"))

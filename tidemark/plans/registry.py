@@ -48,7 +48,7 @@ def oracle_sql() -> dict[str, str]:
 def register_views(spark: SparkSession, sf_dir: str, names=None, prefix: str = "") -> list[str]:
     """Register queries as temporary views so they can be used from SQL:
     ``register_views(spark, dir, ["composite_total"])`` then
-    ``spark.sql("SELECT * FROM composite_total WHERE recovery_index > 50")``.
+    ``spark.sql("SELECT * FROM composite_total WHERE composite_index > 50")``.
     Views are lazy plans; nothing is collected."""
     qs = queries()
     chosen = list(qs) if names is None else list(names)

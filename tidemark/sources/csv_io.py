@@ -1,15 +1,17 @@
 """CSV landing and publishing.
 
 Landed files are read with a declared schema (no inference pass over the
-data), ``multiLine`` so quoted headers with embedded newlines parse, and
-``NA`` as the null token. Written files use ISO dates and ``NA`` for NULL.
+data) and ``NA`` as the null token, in splits unless the caller says that quoted
+cells hold line breaks (``multi_line``). Written files use ISO dates and ``NA`` for NULL.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Compact type codes of the reference's CSV reads, one letter per column.
@@ -26,18 +28,21 @@ def schema_from_codes(names: Sequence[str], codes: str) -> T.StructType:
     return T.StructType([T.StructField(n, TYPE_CODES[c], True) for n, c in zip(names, codes)])
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Landed CSV with a declared schema (header, multiLine, NA as NULL, ISO dates)."""
+def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
+    """Landed CSV with a declared schema (header, NA as NULL, ISO dates).
+
+    ``multi_line`` is for files whose quoted cells or headers hold line breaks; such a
+    file cannot be split, so each is one task."""
     return (spark.read.schema(schema)
-            .option("header", True).option("multiLine", True)
+            .option("header", True).option("multiLine", multi_line)
             .option("nullValue", "NA").option("emptyValue", None)
             .option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST")
             .csv(path))
 
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Every column as text (portal CSVs); cast later with ``try_cast``."""
-    return (spark.read.option("header", True).option("multiLine", True)
+    return (spark.read.option("header", True).option("multiLine", multi_line)
             .option("inferSchema", False).csv(path))
 
 
@@ -53,27 +58,25 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
 
 def read_matrix_csv(spark: SparkSession, path: str, first_id: str) -> DataFrame:
     """A landed spreadsheet matrix (ids + one column per period) whose header
-    row sits below a title row, as sheets exported to CSV often do.
-
-    Spark's CSV reader cannot skip leading lines, so the file is read without a
-    header and the header row is located by its first cell (``first_id``). Its
-    cells become the column names (one metadata row, like reading a schema);
-    the title row and blank rows are dropped by content, not by position, so
-    the read stays distributed. Every row is expected to span the matrix
-    width (sheet exports pad short rows with empty cells), since Spark takes
-    the number of fields from the first line it reads. Values stay text; cast
-    them after melting."""
-    from pyspark.sql import functions as F
-    raw = (spark.read.option("header", False).option("multiLine", True)
-           .option("inferSchema", False).csv(path))
-    c0 = raw.columns[0]
-    header = raw.where(F.col(c0) == first_id).first()
+    row sits below title rows, as sheets exported to CSV often do.
+
+    Spark's CSV reader cannot skip leading lines. The header row is the first line
+    that starts with ``first_id``; its cells name the columns and fix the width, so
+    a title may be padded or not. Exactly the lines up to the header are dropped, by
+    their place in the file; a row whose cells are all empty stays. Raises when there
+    is no such line or it has one cell. Values stay text; cast them after melting."""
+    lines = spark.read.text(path)
+    start = F.regexp_replace("value", "^[\ufeff\"]+", "")
+    header = lines.where(start.startswith(first_id)).first()
     if header is None:
         raise ValueError(f"no header row starting with {first_id!r} in {path}")
-    names = [h if h is not None else f"_blank{i}" for i, h in enumerate(header)]
-    rest = raw.columns[1:]
-    has_values = F.lit(False)
-    for c in rest:
-        has_values = has_values | F.col(c).isNotNull()
-    data = raw.where((F.col(c0).isNull() | (F.col(c0) != first_id)) & has_values)
-    return data.toDF(*names)
+    names = next(csv.reader([header["value"].lstrip("\ufeff")]))
+    if len(names) < 2:
+        raise ValueError(f"the header row of {path} has one cell; expected ids and periods")
+    names = [n if n else f"_blank{i}" for i, n in enumerate(names)]
+    raw = (spark.read.schema(", ".join(f"c{i} STRING" for i in range(len(names))))
+           .option("header", False).csv(path))
+    # partitions of one file are in file order, and so are these numbers
+    raw = raw.withColumn("_row", F.monotonically_increasing_id())
+    at = raw.where(F.regexp_replace("c0", "^\ufeff", "") == first_id).agg(F.min("_row")).scalar()
+    return raw.where(F.col("_row") > at).drop("_row").toDF(*names)

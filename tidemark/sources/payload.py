@@ -10,14 +10,17 @@ from pyspark.sql import types as T
 SCRIPT = r"(?s)<script>(.*?)</script>"
 
 
-def script_text(html: Column) -> Column:
-    """Text of the first ``<script>`` element, with newline+indent runs removed."""
-    return F.regexp_replace(F.regexp_extract(html, SCRIPT, 1), r"\n\s+", "")
+def script_text(html: Column, marker: str) -> Column:
+    """Text of the first ``<script>`` element that holds ``marker``, with
+    newline+indent runs removed; NULL when no script does."""
+    scripts = F.regexp_extract_all(html, F.lit(SCRIPT), F.lit(1))
+    found = F.get(F.filter(scripts, lambda s: F.contains(s, F.lit(marker))), F.lit(0))
+    return F.regexp_replace(found, r"\n\s+", "")
 
 
 def extract_payload(text: Column, pattern: str, group: int = 1) -> Column:
-    """First capture of ``pattern`` ('' when absent, as Spark and DuckDB do)."""
-    return F.regexp_extract(text, pattern, group)
+    """First capture of ``pattern``, NULL when absent."""
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
 # Schema of a nested series document: one header array of ISO dates per
@@ -36,7 +39,8 @@ def series_documents(long: DataFrame, doc_key: str, name: str, date_col: str, va
     """Long (doc_key, name, date, value) -> one JSON document per
     (doc_key, name): ``{"month": .., "series": [{"name", "headers", "values"}]}``.
     A document holds one series' points of one month (<= 31), so no group
-    grows with the data volume or with the number of series."""
+    grows with the data volume or with the number of series: ``doc_key`` must be a
+    period of bounded length."""
     pts = (long.groupBy(doc_key, name)
            .agg(F.sort_array(F.collect_list(F.struct(F.col(date_col).cast("string").alias("h"),
                                                      F.col(value_col).alias("v")))).alias("pts")))
@@ -49,8 +53,9 @@ def series_documents(long: DataFrame, doc_key: str, name: str, date_col: str, va
 
 def explode_series(docs: DataFrame, payload: str = "payload") -> DataFrame:
     """JSON documents -> (name, header, value) rows: parse with a declared
-    schema, explode the series, zip headers with values, explode the points."""
-    parsed = docs.select(F.from_json(payload, SERIES_DOC).alias("doc"))
+    schema, explode the series, zip headers with values, explode the points.
+    A document that is no JSON fails the query rather than vanish."""
+    parsed = docs.select(F.from_json(payload, SERIES_DOC, {"mode": "FAILFAST"}).alias("doc"))
     ser = parsed.select(F.explode("doc.series").alias("s"))
     pts = ser.select(F.col("s.name").alias("name"),
                      F.explode(F.arrays_zip(F.col("s.headers").alias("h"), F.col("s.values").alias("v"))).alias("p"))
