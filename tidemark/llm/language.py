@@ -17,24 +17,23 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import xxhash
-
 from tidemark.llm.common import crc_mod, rows_kept, table
-from tidemark.llm.shingles import chunked
+from tidemark.llm.shingles import chunked, mix64
 
 NAME = "op7_language_id"
 MAX_TRAIN = 20_000
-DIM = 1 << 15
+DIM, GRAMS = 1 << 15, 5
 CLIP, PENALTY, SMOOTHING = 6.0, 8.0, 0.5
 RARE_SCRIPT = 0.002  # a script that holds less of a language's letters than this is not one of its own
 CACHE_WORDS = 200_000
-CHUNK = 8 << 20
+CHUNK, BLOCK = 8 << 20, 40_000  # characters and new words that are worked on at once
 # Unicode ranges of scripts: (first, last, name). Letters outside all of them are "other".
 SCRIPTS = ((0x41, 0x24F, "latin"), (0x370, 0x3FF, "greek"), (0x400, 0x52F, "cyrillic"), (0x530, 0x58F, "armenian"),
            (0x590, 0x5FF, "hebrew"), (0x600, 0x6FF, "arabic"), (0x900, 0x97F, "devanagari"), (0x980, 0x9FF, "bengali"),
@@ -43,16 +42,30 @@ SCRIPTS = ((0x41, 0x24F, "latin"), (0x370, 0x3FF, "greek"), (0x400, 0x52F, "cyri
 NAMES = sorted({s[2] for s in SCRIPTS} | {"other"})
 
 
+@lru_cache(maxsize=4096)
 def script_of(letter: str) -> int:
     code = ord(letter)
     return NAMES.index(next((name for first, last, name in SCRIPTS if first <= code <= last), "other"))
 
 
-def word_features(word: str) -> list[int]:
-    """Buckets of the word and of its character 1- to 4-grams, with marks at both ends."""
-    marked = f"<{word}>"
-    grams = {marked[i:i + n] for n in (1, 2, 3, 4) for i in range(len(marked) - n + 1)}
-    return [xxhash.xxh32_intdigest(g) % DIM for g in sorted(grams | {marked})]
+def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the 1- to 5-grams of every word's bytes, marked at both ends, and each word's number of them."""
+    marked = [b"<" + w.encode() + b">" for w in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    text = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    at = np.arange(len(text))
+    found, owners = [], []
+    owner = np.repeat(np.arange(len(words)), sizes)
+    h = np.zeros(len(text), np.uint64)
+    for n in range(1, GRAMS + 1):
+        h = h[:len(text) - n + 1] * np.uint64(0x100000001B3) + text[n - 1:] + np.uint64(n)
+        whole = at[:len(h)] + n <= ends[:len(h)]
+        found.append((mix64(h[whole]) & np.uint64(DIM - 1)).astype(np.int32))
+        owners.append(owner[:len(h)][whole])
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(found)[order], np.bincount(owner, minlength=len(words))
 
 
 def letters_of(word: str) -> str:
@@ -67,12 +80,16 @@ def training_counts(docs: DataFrame) -> DataFrame:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 words.setdefault(lang, Counter()).update(text.lower().split())
         for lang, counted in words.items():
-            n = Counter()
-            for word, times in counted.items():
+            n, spelled, times = Counter(), [], []
+            for word, k in counted.items():
                 if word := letters_of(word):
-                    n[-1 - script_of(word[0])] += times * len(word)
-                    for bucket in word_features(word):
-                        n[bucket] += times
+                    n[-1 - script_of(word[0])] += k * len(word)
+                    spelled.append(word)
+                    times.append(k)
+            if spelled:
+                buckets, sizes = gram_buckets(spelled)
+                total = np.bincount(buckets, weights=np.repeat(times, sizes), minlength=DIM).astype(np.int64)
+                n.update({int(i): int(total[i]) for i in np.flatnonzero(total)})
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(list(n), pa.int32()),
                                               pa.array(list(n.values()), pa.int64())], ["lang", "bucket", "n"])
 
@@ -99,14 +116,16 @@ class Model:
         allowed[~allowed.any(axis=1)] = True  # a script never met narrows nothing
         return cls(langs, weights.astype(np.float32), allowed)
 
-    def word(self, word: str) -> tuple[np.ndarray, int]:
-        """Scores of a word in each language (0 for the best) and its number of letters."""
-        letters = letters_of(word)
-        if not letters:
-            return np.zeros(len(self.langs), np.float32), 0
-        score = self.weights[word_features(letters)].sum(axis=0)
-        score = np.where(self.allowed[script_of(letters[0])], score, -np.inf)
-        return np.maximum(score - score.max(), -CLIP).astype(np.float32), len(letters)
+    def scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of words in each language (0 for a word's best) and their numbers of letters."""
+        spelled = [letters_of(w) for w in words]
+        letters = np.fromiter(map(len, spelled), np.int64, len(words))
+        buckets, sizes = gram_buckets(spelled)  # the marks alone give every word some
+        score = np.add.reduceat(self.weights[buckets], np.cumsum(sizes) - sizes)
+        allowed = self.allowed[[script_of(w[0]) if w else 0 for w in spelled]]
+        score = np.where(allowed, score, -np.inf)
+        score = np.maximum(score - score.max(axis=1, keepdims=True), -CLIP)
+        return np.where((letters > 0)[:, None], score, 0).astype(np.float32), letters
 
 
 class Words(dict):
@@ -115,25 +134,22 @@ class Words(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.scores, self.letters = np.zeros((1024, len(model.langs)), np.float32), np.zeros(1024, np.int64)
-
-    def __missing__(self, word: str) -> int:
-        n = len(self)
-        if n == len(self.letters):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-        self.scores[n], self.letters[n] = self.model.word(word)
-        self[word] = n
-        return n
+        self.scores, self.letters = np.zeros((0, len(model.langs)), np.float32), np.zeros(0, np.int64)
 
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Word rows of all texts, words per text, and the tables of scores and letters."""
         if len(self) > CACHE_WORDS:
             self.clear()
+            self.scores, self.letters = self.scores[:0], self.letters[:0]
         words = [t.lower().split() if t else [] for t in texts]
+        flat = [w for ws in words for w in ws]
+        new = list(set(flat).difference(self))
+        found = [self.model.scores(new[k:k + BLOCK]) for k in range(0, len(new), BLOCK)]
+        self.update(zip(new, range(len(self), len(self) + len(new))))
+        self.scores = np.concatenate([self.scores, *(f[0] for f in found)])
+        self.letters = np.concatenate([self.letters, *(f[1] for f in found)])
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        rows = np.fromiter((r for w in words for r in map(self.__getitem__, w)), np.int64, int(sizes.sum()))
-        return rows, sizes, self.scores, self.letters
+        return np.fromiter(map(self.__getitem__, flat), np.int64, len(flat)), sizes, self.scores, self.letters
 
 
 def viterbi(rows: np.ndarray, sizes: np.ndarray, scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
