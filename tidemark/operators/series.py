@@ -27,6 +27,11 @@ def decimal_to_double(c: Column) -> Column:
     return c.cast("decimal(18,2)").cast("double")
 
 
+def whole(total: Column) -> Column:
+    """An exact decimal sum of quantities as BIGINT, rounded once; a sum of nothing is 0."""
+    return F.coalesce(F.round(total, 0), F.lit(0)).cast("long")
+
+
 def daily_to_weekly(daily: DataFrame, date_col: str, keys: Sequence[str],
                     sums: Sequence[str], out: str = "week_end") -> DataFrame:
     """Roll a day-grain table up to Saturday-ending weeks by summing; NULLs add nothing,

@@ -29,7 +29,7 @@ from tidemark.functions.scalar import cap, ratio
 from tidemark.operators import indices as ix
 from tidemark.operators.baseline import centred_circular, join_baseline
 from tidemark.operators.joins import chain_inner, join_dimension
-from tidemark.operators.series import daily_to_weekly, decimal_to_double, money, zero_fill_daily
+from tidemark.operators.series import daily_to_weekly, decimal_to_double, money, whole, zero_fill_daily
 from tidemark.operators.windows import rollmean
 from tidemark.sources.tables import BASE_YEAR, SINCE, Tables  # noqa: F401  (defaults of the run's parameters)
 
@@ -70,7 +70,7 @@ def _orders_daily(t: Tables) -> DataFrame:
 
 def lineitem_flag_daily(t: Tables) -> DataFrame:
     """(l_returnflag, d, n_lines, qty, revenue, discount) per return flag and
-    ship date: the one scan of ``lineitem`` shared by the feeds and the
+    ship date, sums as decimals: the one scan of ``lineitem`` shared by the feeds and the
     per-flag rolling means. Staged once per run."""
     return t.stage("lineitem_flag_daily", lambda: _lineitem_flag_daily(t), ["lineitem"])
 
@@ -80,7 +80,7 @@ def _lineitem_flag_daily(t: Tables) -> DataFrame:
                            "l_extendedprice", "l_discount")
     return (li.groupBy("l_returnflag", "d")
             .agg(F.count("*").alias("n_lines"),
-                 F.coalesce(F.sum(F.col("l_quantity").cast("long")), F.lit(0)).alias("qty"),
+                 F.sum(money("l_quantity")).alias("qty"),
                  F.sum(money("l_extendedprice")).alias("revenue"),
                  F.sum(money("l_discount")).alias("discount")))
 
@@ -96,7 +96,7 @@ def _lineitem_daily(t: Tables) -> DataFrame:
     return (lf.groupBy("d")
             .agg(F.sum("n_lines").alias("n_lines"),
                  F.sum(F.when(F.col("l_returnflag") == "R", F.col("n_lines")).otherwise(F.lit(0))).alias("n_returned"),
-                 F.sum("qty").alias("qty")))
+                 whole(F.sum("qty")).alias("qty")))
 
 
 def events_type_daily(t: Tables) -> DataFrame:

@@ -13,7 +13,7 @@ from tidemark.operators.baseline import centred_circular, join_baseline
 from tidemark.operators.indices import ratio_index
 from tidemark.operators.joins import join_dimension
 from tidemark.operators.reshape import share_of_total, to_long, to_wide, union_tagged, wide_names
-from tidemark.operators.series import daily_to_weekly, decimal_to_double, money
+from tidemark.operators.series import daily_to_weekly, decimal_to_double, money, whole
 from tidemark.operators.windows import horizon_change as _horizon_change
 from tidemark.operators.windows import rollmean
 from tidemark.plans import feeds as fd
@@ -45,7 +45,7 @@ def rollmean_left(t):
 
 _ACROSS = ("n_lines", "qty", "revenue", "discount")
 S.CTES["lf"] = ("SELECT l_returnflag, CAST(l_shipdate AS DATE) AS d, count(*) AS n_lines, "
-                "CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty, "
+                "CAST(coalesce(round(sum(CAST(l_quantity AS DECIMAL(18,2)))), 0) AS BIGINT) AS qty, "
                 "CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS revenue, "
                 "CAST(CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS discount "
                 "FROM lineitem GROUP BY 1, 2")
@@ -57,7 +57,7 @@ def across_rollmean(t):
     """The 7-row mean of every measure column, per return flag
     (from the staged per-flag day table)."""
     lf = fd.lineitem_flag_daily(t)
-    g = lf.select("l_returnflag", "d", "n_lines", "qty",
+    g = lf.select("l_returnflag", "d", "n_lines", whole(F.col("qty")).alias("qty"),
                   decimal_to_double(F.col("revenue")).alias("revenue"),
                   decimal_to_double(F.col("discount")).alias("discount"))
     ids = ["l_returnflag", "d"]
@@ -82,7 +82,7 @@ def series_compare(t):
 
 
 S.CTES["rd"] = ("SELECT r.r_name, CAST(l.l_shipdate AS DATE) AS d, count(*) AS n_lines, "
-                "CAST(coalesce(sum(CAST(l.l_quantity AS BIGINT)), 0) AS BIGINT) AS qty FROM lineitem l "
+                "CAST(coalesce(round(sum(CAST(l.l_quantity AS DECIMAL(18,2)))), 0) AS BIGINT) AS qty FROM lineitem l "
                 "JOIN supplier s ON s.s_suppkey = l.l_suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey "
                 "JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY 1, 2")
 
@@ -101,15 +101,15 @@ def facility_rollup(t):
 def _region_daily(t):
     """(r_name, d, n_lines, qty): line items by the supplier's region and ship day."""
     li = t.lineitem.select("l_suppkey", F.to_date("l_shipdate").alias("d"),
-                           F.lit(1).cast("long").alias("n_lines"), F.col("l_quantity").cast("long").alias("qty"))
-    sums = [F.sum("n_lines").alias("n_lines"), F.coalesce(F.sum("qty"), F.lit(0)).alias("qty")]
+                           F.lit(1).cast("long").alias("n_lines"), money("l_quantity").alias("qty"))
+    sums = [F.sum("n_lines").alias("n_lines"), F.sum("qty").alias("qty")]
     geo = (t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
            .join(t.nation.select("n_nationkey", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey")
            .join(t.region.select("r_regionkey", "r_name"), "r_regionkey")
            .select("l_suppkey", "r_name"))
     j = join_dimension(li, geo, "l_suppkey", t.size_bytes("supplier", "nation", "region"),
                        pre_aggregate=lambda df: df.groupBy("l_suppkey", "d").agg(*sums))
-    return j.groupBy("r_name", "d").agg(*sums)
+    return j.groupBy("r_name", "d").agg(sums[0], whole(F.sum("qty")).alias("qty"))
 
 
 # --- horizons -------------------------------------------------------------------------
@@ -368,7 +368,7 @@ def filter_in(t):
 
 
 @query("filter_between", W(
-    f"SELECT {S.week_end('CAST(l_shipdate AS DATE)')} AS week_end, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty "
+    f"SELECT {S.week_end('CAST(l_shipdate AS DATE)')} AS week_end, CAST(coalesce(round(sum(CAST(l_quantity AS DECIMAL(18,2)))), 0) AS BIGINT) AS qty "
     f"FROM lineitem, aw WHERE l_shipdate >= TIMESTAMP '{SHIP_FROM} 00:00:00' "
     f"AND CAST(l_shipdate AS DATE) BETWEEN DATE '{fd.SINCE}' AND aw.asof + 1 GROUP BY 1"))
 def filter_between(t):
@@ -378,7 +378,7 @@ def filter_between(t):
     li = li.select(F.to_date("l_shipdate").alias("d"), "l_quantity")
     li = li.where(F.col("d").between(F.lit(t.since), F.date_add(fd.asof_value(t), 1)))
     return (li.groupBy(week_ending_saturday(F.col("d")).alias("week_end"))
-            .agg(F.sum(F.col("l_quantity").cast("long")).alias("qty")))
+            .agg(whole(F.sum(money("l_quantity"))).alias("qty")))
 
 
 @query("sort_desc", W("SELECT d, n FROM od ORDER BY d DESC"))

@@ -1,7 +1,8 @@
 """Query registry: name -> (spark callable, oracle SQL or None).
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables; no limits, samples or id subsets.
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables; no limits, samples or id subsets. A call first writes the staged aggregates
+it shares with other queries, where no query before it has.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ def register_views(spark: SparkSession, sf_dir: str, names=None, prefix: str = "
     """Register queries as temporary views so they can be used from SQL:
     ``register_views(spark, dir, ["composite_total"])`` then
     ``spark.sql("SELECT * FROM composite_total WHERE composite_index > 50")``.
-    Views are lazy plans; nothing is collected."""
+    A query that shares staged tables writes them when its view is registered; the
+    views themselves are lazy plans over them."""
     qs = queries()
     chosen = list(qs) if names is None else list(names)
     for name in chosen:

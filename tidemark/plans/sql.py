@@ -105,7 +105,7 @@ CTES: dict[str, str] = {
            f"FROM orders GROUP BY 1"),
     "ld": ("SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS n_lines, "
            "CAST(count_if(l_returnflag = 'R') AS BIGINT) AS n_returned, "
-           "CAST(coalesce(sum(CAST(l_quantity AS BIGINT)), 0) AS BIGINT) AS qty FROM lineitem GROUP BY 1"),
+           "CAST(coalesce(round(sum(CAST(l_quantity AS DECIMAL(18,2)))), 0) AS BIGINT) AS qty FROM lineitem GROUP BY 1"),
     "aw": f"SELECT {last_sat('max(d)')} AS asof FROM od",
     "wk": f"SELECT {week_end('d')} AS week_end, CAST(sum(n) AS BIGINT) AS n FROM od GROUP BY 1",
     "wr": f"SELECT {week_end('d')} AS week_end, CAST(sum(n_returned) AS BIGINT) AS n FROM ld GROUP BY 1",

@@ -58,14 +58,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     if not is_classic(spark):
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        if not configured:  # the server may be a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return configured
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             # A driver-local folder is not reachable from the executors.
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
