@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +41,12 @@ SCRIPTS = ((0x41, 0x24F, "latin"), (0x370, 0x3FF, "greek"), (0x400, 0x52F, "cyri
 NAMES = sorted({s[2] for s in SCRIPTS} | {"other"})
 
 
-@lru_cache(maxsize=4096)
 def script_of(letter: str) -> int:
     code = ord(letter)
-    return NAMES.index(next((name for first, last, name in SCRIPTS if first <= code <= last), "other"))
+    for first, last, name in SCRIPTS:
+        if first <= code <= last:
+            return NAMES.index(name)
+    return NAMES.index("other")
 
 
 def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -194,13 +195,12 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
 
     ``spans`` adds the runs of words of one language: (start, end, lang).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
     schema = ", ".join([*(f"`{f.split(' ', 1)[0]}` {f.split(' ', 1)[1]}" for f in fields), "lang_pred string", "score double",
                         *(["spans array<struct<start:int,end:int,lang:string>>"] if spans else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words = shared.value, Words(shared.value)
+        words = Words(model)
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             for i, j in chunked(texts, CHUNK):
@@ -243,15 +243,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """``docs`` without texts of no language or of none that holds ``least`` of the letters."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def judge():
-        words = Words(shared.value)
+        words = Words(model)
 
         def keep(texts: list[str | None]) -> list[bool]:
             out: list[bool] = []
             for i, j in chunked(texts, CHUNK):
-                pred, score, _ = _judge(texts[i:j], shared.value, words, False)
+                pred, score, _ = _judge(texts[i:j], model, words, False)
                 out += [p != "und" and s >= least for p, s in zip(pred, score)]
             return out
         return keep

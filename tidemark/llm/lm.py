@@ -438,10 +438,8 @@ class Scorer:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", held_out=None) -> DataFrame:
     """Per document row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(model)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for i, j in chunked(texts, CHUNK):

@@ -181,10 +181,8 @@ def document_scores(texts: list[str | None], model: Model) -> tuple[np.ndarray,
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` whose score reaches ``threshold``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def keep(texts: list[str | None]) -> list[bool]:
-        return [bool(s >= threshold) for i, j in chunked(texts) for s in document_scores(texts[i:j], shared.value)[0]]
+        return [bool(s >= threshold) for i, j in chunked(texts) for s in document_scores(texts[i:j], model)[0]]
 
     return rows_kept(docs, text_col, lambda: keep)
 
@@ -192,12 +190,10 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold:
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", threshold: float = THRESHOLD,
           lines: bool = False) -> DataFrame:
     """``keep`` columns of ``docs`` with score and predicted; ``lines`` adds P(good) of every line."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
     extra = ["line_scores array<double>"] if lines else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             for i, j in chunked(texts):
