@@ -9,9 +9,12 @@
    depth adapts to the region. Neighbours across a partition's border are met in a
    second small step over the border rows.
 3. Candidates whose signatures agree too little to reach the threshold (by more than six
-   standard deviations) go. Each class's best ``BEST`` are checked on full sets, links become components,
-   and all candidates between different components are checked after them.
-4. A document's component is the smallest id in its class's component.
+   standard deviations) go. Each class's best ``BEST`` are checked on full sets, links become
+   components, and all candidates between different components are checked after them.
+4. Classes that had more neighbours than ``NEAR`` in some region get an exact way: sets that
+   reach the threshold share one of their rarest shingles (prefix filtering), so all pairs
+   of them that do, lie in different components and fit in size are checked too.
+5. A document's component is the smallest id in its class's component.
 
 A pair of similarity 0.75 is missed by all trees with probability (1 - 0.75^3)^16 = 2e-4,
 one of 0.8 with 2e-5, and a missed pair matters only if nothing else connects the two.
@@ -43,6 +46,8 @@ NAME = "op6_near_duplicates"
 TREES, DEPTH, MIN_DEPTH, NEAR, BEST = 16, 8, 3, 4, 2
 SHARE = 75  # percent of the union that a link's intersection holds at least
 LEAST_ESTIMATE = 0.5
+FAR = NEAR + 1  # a class that still shares leading values with the row so far away is crowded
+SKETCH = 1 << 18  # counters of shingles, for the order of rarity
 ROWS_PER_PART = 50_000
 FIRST = -(1 << 63)
 _rng = np.random.default_rng(20240613)
@@ -107,7 +112,7 @@ def _near(orders: np.ndarray, j: int) -> np.ndarray:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of one sorted partition (border NULL), and its first and last rows for the borders."""
+    """Of one sorted partition: candidate pairs, crowded classes (border -1), first and last rows for the borders."""
     part, width = TaskContext.get().partitionId(), 1 + 2 * DEPTH
     names = ["a", "b", "border", "place"]
 
@@ -115,12 +120,12 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([None] * len(keys), pa.binary()),
                                            pa.array([at] * len(keys), pa.int32()), pa.array([o.tobytes() for o in orders], pa.binary())], names)
 
-    held, keys = np.zeros((0, width), np.uint8), []  # the last NEAR rows so far
+    held, keys = np.zeros((0, width), np.uint8), []  # the last FAR rows so far
     fresh, begin = 0, 0
     for batch in batches:
         rows = np.frombuffer(b"".join(batch.column("place").to_pylist()), np.uint8).reshape(-1, width)
-        if fresh < NEAR and len(rows):  # the first NEAR rows, which may come in several batches
-            n = min(NEAR - fresh, len(rows))
+        if fresh < FAR and len(rows):  # the first FAR rows, which may come in several batches
+            n = min(FAR - fresh, len(rows))
             yield border(batch.column("key").to_pylist()[:n], rows[:n], part)
             fresh += n
         begin = len(keys)
@@ -131,31 +136,35 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if i + j >= begin:  # else both were there before
                     a.append(min(keys[i], keys[i + j]))
                     b.append(max(keys[i], keys[i + j]))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array([None] * len(a), pa.int32()),
-                                          pa.array([None] * len(a), pa.binary())], names)
-        held, keys = orders[-NEAR:], keys[-NEAR:]
+        crowded = {keys[k] for i in np.flatnonzero(_near(orders, FAR)) if i + FAR >= begin for k in (i, i + FAR)}
+        found, n = len(a), len(crowded)
+        yield pa.RecordBatch.from_arrays([pa.array([*a, *crowded], pa.binary()), pa.array(b + [None] * n, pa.binary()),
+                                          pa.array([None] * found + [-1] * n, pa.int32()), pa.array([None] * (found + n), pa.binary())], names)
+        held, keys = orders[-FAR:], keys[-FAR:]
     if keys:
         yield border(keys, held, part + 1)
 
 
 def _across(rows: pd.DataFrame) -> pd.DataFrame:
-    """Candidates among the at most 2 * NEAR rows around one border."""
+    """Candidates, and crowded classes (b missing), among the at most 2 * FAR rows around one border."""
     rows = rows.sort_values("place").drop_duplicates()
     orders, keys = np.frombuffer(b"".join(rows["place"]), np.uint8).reshape(len(rows), -1), rows["a"].tolist()
     pairs = [(min(keys[i], keys[i + j]), max(keys[i], keys[i + j]))
              for j in range(1, NEAR + 1) for i in np.flatnonzero(_near(orders, j))]
+    pairs += [(keys[k], None) for i in np.flatnonzero(_near(orders, FAR)) for k in (i, i + FAR)]
     return pd.DataFrame(pairs, columns=["a", "b"])
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """(a, b) with a < b of ``classes`` (key, sig): neighbours in any tree's order."""
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b) with a < b of ``classes`` (key, sig): neighbours in any tree's order; and (key) of crowded classes."""
     trees = F.explode(F.array(*[F.concat(F.lit(bytes([t])), F.substring("sig", 2 * DEPTH * t + 1, 2 * DEPTH)) for t in range(TREES)]))
     rows = classes.select("key", trees.alias("place"))
     parts = max(1, classes.count() * TREES // ROWS_PER_PART)
     found = staged(rows.repartitionByRange(parts, "place", "key").sortWithinPartitions("place", "key").mapInArrow(
         _neighbours, "a binary, b binary, border int, place binary"), "neighbours")
-    across = found.filter("border IS NOT NULL").groupBy("border").applyInPandas(_across, "a binary, b binary")
-    return found.filter("border IS NULL").select("a", "b").union(across).filter("a != b").distinct()
+    across = found.filter("border >= 0").groupBy("border").applyInPandas(_across, "a binary, b binary")
+    found = staged(found.filter("border IS NULL OR border < 0").select("a", "b").union(across).distinct(), "candidates")
+    return found.filter("a != b"), found.filter("b IS NULL").select(F.col("a").alias("key"))
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +184,46 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], ["a", "b", "linked"])
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(SKETCH, np.int64)
+    for batch in batches:
+        for members in batch.column("members"):
+            counts += np.bincount((np.frombuffer(members.as_buffer(), np.uint64) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["at", "n"])
+
+
+def rare_shingles(crowd: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(token, key, group, n): of every set of ``crowd`` the rarest shingles, one of which any
+    set that reaches the threshold with it has among its own. ``counts`` orders them; any
+    order that is the same for all sets is right, a good one keeps the groups small."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, group, members in zip(batch.column("key").to_pylist(), batch.column("group").to_pylist(), batch.column("members")):
+                h = np.frombuffer(members.as_buffer(), np.uint64)
+                n = len(h) - -(-SHARE * len(h) // 100) + 1
+                first = h[np.lexsort((h, counts[(h & np.uint64(SKETCH - 1)).astype(np.int64)]))[:n]].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(first), pa.array([key] * n, pa.binary()), pa.array([group] * n, pa.binary()),
+                                                  pa.array([len(h)] * n, pa.int32())], ["token", "key", "group", "n"])
+
+    return crowd.mapInArrow(run, "token bigint, key binary, group binary, n int")
+
+
+def apart_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b) of ``rows`` (token, key, group, n) that share a token, differ in group and fit in size.
+
+    Most rows of a token belong to one group; pairs are made only from the others, so a
+    large group costs its size and not its square."""
+    tops = rows.groupBy("token", "group").agg(F.count("*").alias("c")).groupBy("token").agg(
+        F.max_by("group", F.struct("c", "group")).alias("top"), F.count("*").alias("groups")).filter("groups > 1")
+    other = rows.select("token", F.col("key").alias("key2"), F.col("group").alias("group2"), F.col("n").alias("n2"))
+    minor = rows.join(tops, "token").filter("group != top")
+    fits = (F.col("group") != F.col("group2")) & ((F.col("group2") == F.col("top")) | (F.col("key") < F.col("key2"))) & (
+        100 * F.col("n2") >= SHARE * F.col("n")) & (100 * F.col("n") >= SHARE * F.col("n2"))
+    return minor.join(other, (minor["token"] == other["token"]) & fits).select(
+        F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct()
+
+
 def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets pass the threshold."""
     side = lambda s: sets.select(F.col("key").alias(s), F.col("members").alias(f"set_{s}"))
@@ -191,14 +240,14 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     classes = staged(signed.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.min(own).alias("rep"), F.first("sig").alias("sig")), "classes")
 
-    pairs = candidates(classes)
+    found, crowded = candidates(classes)
     side = lambda s: classes.select(F.col("key").alias(s), F.col("sig").alias(f"sig_{s}"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(
+    likely = lambda p: p.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(
         _estimated, "a binary, b binary, like double").filter(F.col("like") >= LEAST_ESTIMATE)
-    pairs = staged(pairs, "pairs")
+    pairs = staged(likely(found), "pairs")
 
-    # the sets of the classes that have a candidate, made again from the text of one member
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    # the sets of the classes that have a candidate or are crowded, made again from the text of one member
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(crowded).distinct()
     needed = classes.join(keys, "key").select("key", "rep")
     texts = docs.join(needed.select("rep").distinct(), own == F.col("rep"), "left_semi")
     sets = texts.select("text").mapInArrow(_sets, "key binary, members binary").filter("key IS NOT NULL")
@@ -219,10 +268,21 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     merged = staged(ends(ends(more, "a"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "merged")
     tops = connected_components(merged)
 
-    named = classes.select("key", "least").join(roots, F.col("key") == F.col("node"), "left")
-    named = named.withColumn("mid", F.coalesce("root", "key")).select("key", "least", "mid")
-    named = named.join(tops, F.col("mid") == F.col("node"), "left").select("key", "least", F.coalesce("root", "mid").alias("group"))
-    named = staged(named, "groups")
+    regroup = lambda df, tops: df.join(tops, F.col("group") == F.col("node"), "left").select(
+        "key", "least", F.coalesce("root", "group").alias("group"))
+    named = staged(regroup(regroup(classes.select("key", "least", F.col("key").alias("group")), roots), tops), "groups")
+
+    # the exact way for crowded classes
+    counts = np.zeros(SKETCH, np.int64)
+    for r in sets.mapInArrow(_counted, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        counts[r["at"]] = r["n"]
+    crowd = named.join(crowded, "key", "left_semi").select("key", "group").join(sets, "key")
+    rare = staged(rare_shingles(crowd, counts), "rare")
+    rest = likely(apart_pairs(rare).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    group_of = lambda s: named.select(F.col("key").alias(s), F.col("group").alias(f"group_{s}"))
+    late = _checked(rest, sets).join(group_of("a"), "a").join(group_of("b"), "b")
+    late = connected_components(staged(late.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")), "late"))
+    named = staged(regroup(named, late), "groups")
     smallest = named.groupBy("group").agg(F.min("least").alias("component"))
     by_key = named.join(smallest, "group").select("key", "component")
     out = signed.select("doc_id", "text_hash", "n_shingles", "key").join(by_key, "key", "left")
