@@ -9,7 +9,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tidemark.session import build_session
-from __spark_entry__ import queries
+from tidemark.plans.registry import queries
 spark = build_session()
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
 print("| query | fact-table scans | staged-table scans | shuffles | broadcast joins | sort-merge joins | windows | filters pushed to fact scans |")
