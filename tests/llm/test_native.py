@@ -143,3 +143,16 @@ def test_mix_edges(edge, empty):
     assert len(rows) == edge.count() and all(0 <= r.taken <= 3 * r.size for r in rows)
     assert {r.size for r in rows if r.doc_id in (0, 1, 2)} == {0}
     assert mixing.mix(empty).count() == 0
+
+
+def test_license_sql_agrees_on_odd_texts(spark):
+    import duckdb
+    texts = ["cc by cc by-sa 4.0. CC-BY", "gnu gpl v3 only gplv2 or later, GPL 3.0", None, "", "All rights reserved. all rights reserved",
+             "Creative Commons Attribution-ShareAlike License 3.0 cc by sa", "bsd three-clause BSD license mit licence MIT License",
+             "copyright 1999 copyright (c) 2001", "spdx license identifier apache 2 0 apache license version 2.0", "é cc by É cc by"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    rel = con.sql(licenses.SQL)
+    want = sorted(tuple(dict(zip(rel.columns, r))[c] for c in licenses.report(df).columns) for r in rel.fetchall())
+    assert sorted(tuple(r) for r in licenses.report(df).collect()) == want

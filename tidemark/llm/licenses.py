@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NOT_ALNUM, lower_az, table
+from tidemark.llm.common import NOT_ALNUM, lower_az, sql_lower, table
 
 NAME = "op9_license_scan"
 # phrase -> label; fixed by the contract
@@ -183,4 +183,35 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
-SQL = None
+def _sql() -> str:
+    """DuckDB SQL of ``report``. Its patterns cannot look around, so every space is doubled
+    and a match takes the inner one on either side."""
+    quote = lambda x: x.replace("'", "''")
+    wide = lambda p: " (?:" + p.replace(" ?", "(?:~)?").replace(" ", "  ").replace("~", "  ") + ") "
+    table = [(label, f" {phrase} ", phrase, 0.9, -1, True) for phrase, label in BASE.items()] + [(*r, False) for r in rules()]
+    values = ",\n".join(f"('{label}', '{quote(key)}', '{quote(wide(p))}', CAST({sure} AS DOUBLE), {rank}, {base})"
+                        for label, key, p, sure, rank, base in table)
+    words = lambda x: f"len(regexp_extract_all({x}, '[^ ]+'))"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, trim(regexp_replace({sql_lower('text')}, '{NOT_ALNUM}', ' ', 'g')) AS w FROM documents),
+n AS (SELECT rid, doc_id, {words('w')} AS n_words, CASE WHEN w = '' THEN '' ELSE ' ' || w || ' ' END AS norm FROM d),
+rules(label, keyword, pattern, sure, rank, base) AS (VALUES {values}),
+m AS (SELECT rid, label, sure, rank, base, regexp_extract_all(replace(norm, ' ', '  '), pattern) AS hits,
+      string_split_regex(replace(norm, ' ', '  '), pattern) AS gaps FROM n JOIN rules ON contains(norm, keyword)),
+p AS (SELECT rid, label, sure, rank, base, {words('hits[k]')} AS size,
+      coalesce(list_sum(list_transform(gaps[1:k], lambda x: {words('x')})), 0) + coalesce(list_sum(list_transform(hits[1:k - 1], lambda x: {words('x')})), 0) AS start
+      FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM m)),
+kept AS (SELECT * FROM p WHERE NOT base QUALIFY start + size > coalesce(max(start + size) OVER (PARTITION BY rid
+      ORDER BY start, -size, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)),
+found AS (SELECT rid, label, sure, start, base FROM p WHERE base UNION ALL SELECT rid, label, sure, start, base FROM kept),
+g AS (SELECT rid, count_if(base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word,
+      string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+      string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(sure) AS score FROM found GROUP BY rid)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+       CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, CAST(0 AS DOUBLE)) AS score
+FROM n LEFT JOIN g USING (rid)
+"""
+
+
+SQL = _sql()
