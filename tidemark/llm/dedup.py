@@ -194,9 +194,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def rare_shingles(crowd: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(token, key, group, n): of every set of ``crowd`` the rarest shingles, one of which any
-    set that reaches the threshold with it has among its own. ``counts`` orders them; any
-    order that is the same for all sets is right, a good one keeps the groups small."""
+    """(token, key, group, n, left): of every set of ``crowd`` the rarest shingles, one of which any
+    set that reaches the threshold with it has among its own; ``left`` of its n shingles are
+    no rarer. ``counts`` orders them; any order that is the same for all sets is right, a
+    good one keeps the groups small."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, group, members in zip(batch.column("key").to_pylist(), batch.column("group").to_pylist(), batch.column("members")):
@@ -204,22 +205,24 @@ def rare_shingles(crowd: DataFrame, counts: np.ndarray) -> DataFrame:
                 n = len(h) - -(-SHARE * len(h) // 100) + 1
                 first = h[np.lexsort((h, counts[(h & np.uint64(SKETCH - 1)).astype(np.int64)]))[:n]].view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(first), pa.array([key] * n, pa.binary()), pa.array([group] * n, pa.binary()),
-                                                  pa.array([len(h)] * n, pa.int32())], ["token", "key", "group", "n"])
+                                                  pa.array([len(h)] * n, pa.int32()), pa.array(np.arange(len(h), len(h) - n, -1, np.int32))],
+                                                 ["token", "key", "group", "n", "left"])
 
-    return crowd.mapInArrow(run, "token bigint, key binary, group binary, n int")
+    return crowd.mapInArrow(run, "token bigint, key binary, group binary, n int, left int")
 
 
 def apart_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b) of ``rows`` (token, key, group, n) that share a token, differ in group and fit in size.
+    """(a, b) of ``rows`` of ``rare_shingles`` that share a token, differ in group and may reach the threshold.
 
-    Most rows of a token belong to one group; pairs are made only from the others, so a
-    large group costs its size and not its square."""
+    Their first common token bounds the intersection by what is left from there on in
+    either set. Most rows of a token belong to one group; pairs are made only from the
+    others, so a large group costs its size and not its square."""
     tops = rows.groupBy("token", "group").agg(F.count("*").alias("c")).groupBy("token").agg(
         F.max_by("group", F.struct("c", "group")).alias("top"), F.count("*").alias("groups")).filter("groups > 1")
-    other = rows.select("token", F.col("key").alias("key2"), F.col("group").alias("group2"), F.col("n").alias("n2"))
+    other = rows.select("token", F.col("key").alias("key2"), F.col("group").alias("group2"), F.col("n").alias("n2"), F.col("left").alias("left2"))
     minor = rows.join(tops, "token").filter("group != top")
     fits = (F.col("group") != F.col("group2")) & ((F.col("group2") == F.col("top")) | (F.col("key") < F.col("key2"))) & (
-        100 * F.col("n2") >= SHARE * F.col("n")) & (100 * F.col("n") >= SHARE * F.col("n2"))
+        (100 + SHARE) * F.least("left", "left2") >= SHARE * (F.col("n") + F.col("n2")))
     return minor.join(other, (minor["token"] == other["token"]) & fits).select(
         F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct()
 
