@@ -36,6 +36,15 @@ def test_token_counts_of_odd_white_space_and_special_strings(library):
         assert counter.count(text) == library(text), repr(text)
 
 
+def test_token_counts_of_spaces_after_other_white_space(library):
+    counter, rnd = tokens.Counter(PATH, tokens.whole_tokens(PATH)), random.Random(5)
+    texts = ["x \u00a0 \u00a0 y", "x" + " \u00a0" * 4 + " y", "x\n ", "x \n  y", " \u00a0 ", "x \u3000 \u3000 y"]
+    parts = ["a", "The", " ", " ", " \u00a0 \u00a0", "\u00a0", "\u00a0", "\n", "\t", "\u2003", "\u3000", "\x1c", "12", "'s", "<|endoftext|>"]
+    texts += ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(4000)]
+    for text in texts:
+        assert counter.count(text) == library(text), repr(text)
+
+
 def shingle_set(text):
     w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     w = [x for x in __import__("re").split("[\x20\x09-\x0D]+", w) if x]
