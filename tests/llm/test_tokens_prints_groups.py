@@ -146,6 +146,19 @@ def test_near_duplicate_edges(spark, edge, empty):
     assert dedup.groups(empty).count() == 0
 
 
+def test_one_row_is_kept_of_groups_with_missing_or_shared_ids(spark):
+    rnd = random.Random(8)
+    base = [[f"{name}{rnd.randrange(3000)}" for _ in range(200)] for name in "abc"]
+    near = lambda k, i: " ".join([*base[k][:-1], f"end{i}"])
+    rows = [(None, near(0, i)) for i in range(3)] + [(7, near(1, i)) for i in range(3)]
+    rows += [(None, near(2, 0)), (9, near(2, 1)), (8, near(2, 2)), (8, near(2, 3)), (None, None), (None, ""), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = dedup.keep_one(df).collect()
+    assert sorted(str(r.doc_id) for r in got if r.text) == ["7", "8", "None"]
+    assert sum(not r.text for r in got) == 3
+    assert {r.text[0] for r in got if r.text} == set("abc")
+
+
 def test_components_of_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (201, 200)]
     df = spark.createDataFrame([(f"{a:04d}", f"{b:04d}") for a, b in links], "a string, b string")

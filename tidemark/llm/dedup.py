@@ -236,6 +236,11 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row: doc_id, text_hash, n_shingles, component_id, kept."""
+    return _grouped(docs, id_col, text_col).drop("group")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``groups`` and the group itself, which is there without any id; NULL for a text without a shingle."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     signed = staged(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
         _signed, "doc_id bigint, text_hash bigint, n_shingles bigint, key binary, sig binary"), "signed")
@@ -287,17 +292,24 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     late = connected_components(staged(late.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")), "late"))
     named = staged(regroup(named, late), "groups")
     smallest = named.groupBy("group").agg(F.min("least").alias("component"))
-    by_key = named.join(smallest, "group").select("key", "component")
+    by_key = named.join(smallest, "group").select("key", "group", "component")
     out = signed.select("doc_id", "text_hash", "n_shingles", "key").join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.withColumn("component_id", component).select(
-        "doc_id", "text_hash", "n_shingles", "component_id",
+        "doc_id", "text_hash", "n_shingles", "group", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of every group, all columns as they are."""
-    kept = groups(docs, id_col, text_col).filter("kept").select(
+    """``docs`` with one row of every group, all columns as they are.
+
+    It is the row of the smallest id, NULL last, and of those the one of the smallest text
+    hash: members may share an id or have none. A text without a shingle is its own group.
+    """
+    rows = _grouped(docs, id_col, text_col).select("group", "doc_id", "text_hash")
+    first = rows.filter("group IS NOT NULL").groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("m")).select("m.doc_id", "m.text_hash")
+    kept = first.union(rows.filter("group IS NULL").select("doc_id", "text_hash")).select(
         F.coalesce("doc_id", F.lit(FIRST)).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     marked = docs.withColumn("_id", F.coalesce(F.col(id_col), F.lit(FIRST))).withColumn("_hash", F.xxhash64(text_col))
     return marked.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
