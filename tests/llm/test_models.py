@@ -165,6 +165,16 @@ def test_quality_accuracy_and_edges(spark, edge, empty):
     assert quality.keep_good(edge, sure).columns == edge.columns
 
 
+def test_quality_learns_from_long_documents(spark):
+    good = "\n".join(["The river runs past the old mill and on to the sea."] * 3)
+    bad = "\n".join(f"{i} | {i * 7} | #{i}" for i in range(quality.MAX_LINES + 50))
+    docs = spark.createDataFrame([(i, bad if i % 2 else good) for i in range(40)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 = 0 as int) quality")
+    model = quality.fit(docs, labels)
+    scores = quality.document_scores([good, bad], model)[0]
+    assert model.constant is None and scores[0] > 0.7 and scores[1] < 0.3
+
+
 def brute_rule(url):
     host = path = ""
     if url and "://" in url:

@@ -6,8 +6,10 @@ lines agree. The score of a document is the length-weighted mean of the lines' m
 probabilities of good, from forward-backward.
 
 Lines inherit their document's label for learning. The model (a few dozen numbers) is
-fitted by maximum likelihood on at most about ``MAX_TRAIN`` labelled documents of at most
-``MAX_LINES`` lines, chosen by a hash of the id; these bound the fit and nothing else.
+fitted by maximum likelihood on at most about ``MAX_TRAIN`` labelled documents, chosen by a
+hash of the id. A longer one is learned as chains of ``MAX_LINES`` lines in a row, each with
+its label; where the chosen documents have more than ``MAX_TRAIN`` chains, about so many of
+them are drawn, long and short ones alike. These bound the fit and nothing else.
 
 Defined cases: a NULL or empty text, or one of blank lines, is one empty line; without
 labels every score is 0.5, with labels of one kind only it is that kind's (0 or 1);
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, rows_kept, table
+from tidemark.llm.common import crc_mod, rows_kept, staged, table
 from tidemark.llm.shingles import chunked
 
 NAME = "op10_quality"
@@ -158,12 +160,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             x, _, sizes = features(batch.column("text").to_pylist())
             parts = np.split(x.astype(np.float32), np.cumsum(sizes)[:-1]) if len(sizes) else []
-            rows = [(i, y, part.tobytes()) for i, y, part, n in zip(
-                batch.column("id").to_pylist(), batch.column("label").to_pylist(), parts, sizes) if n <= MAX_LINES]
+            rows = [(i, y, k // MAX_LINES, part[k:k + MAX_LINES].tobytes()) for i, y, part in zip(
+                batch.column("id").to_pylist(), batch.column("label").to_pylist(), parts) for k in range(0, len(part), MAX_LINES)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                                              pa.array([r[2] for r in rows], pa.binary())], ["id", "label", "x"])
+                                              pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.binary())],
+                                             ["id", "label", "chain", "x"])
 
-    rows = sample.select(F.col("id").cast("bigint"), "label", "text").mapInArrow(run, "id bigint, label int, x binary").collect()
+    chains = staged(sample.select(F.col("id").cast("bigint"), "label", "text").mapInArrow(
+        run, "id bigint, label int, chain int, x binary"), "chains")
+    share = min(1.0, max_train / max(1, chains.count()))
+    rows = chains.filter(F.pmod(F.xxhash64("id", "chain"), F.lit(1 << 20)) < share * (1 << 20)).collect()
     rows.sort(key=lambda r: (r["id"], r["label"], r["x"]))  # the fit does not depend on the order of tasks
     if not rows:
         return Model(None, None, 0.5)
