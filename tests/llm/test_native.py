@@ -156,3 +156,17 @@ def test_license_sql_agrees_on_odd_texts(spark):
     rel = con.sql(licenses.SQL)
     want = sorted(tuple(dict(zip(rel.columns, r))[c] for c in licenses.report(df).columns) for r in rel.fetchall())
     assert sorted(tuple(r) for r in licenses.report(df).collect()) == want
+
+
+def test_key_ranges_are_even_at_every_quality(spark):
+    sized = spark.range(30_000).selectExpr(
+        "id AS doc_id", "IF(id % 3 = 0, NULL, IF(id % 3 = 1, 'low', 'mixed')) AS source", "id % 7 AS size",
+        "CASE id % 3 WHEN 0 THEN 1.0D WHEN 1 THEN 0.1D ELSE 0.1D + 0.9D * pmod(hash(id), 1000) / 1000 END AS quality")
+    rows = mixing.ranged(sized, mixing.source_targets(sized))
+    assert rows.count() == 30_000
+    most = rows.groupBy("source", "part").count().groupBy("source").agg(F.max("count").alias("m")).collect()
+    assert len(most) == 3 and all(r.m <= 3 * 10_000 / 174 for r in most)   # 174 = ceil(sqrt(30,000)) ranges
+    spans = rows.groupBy("source", "part").agg(F.min("key").alias("a"), F.max("key").alias("b")).collect()
+    for source in (None, "low", "mixed"):
+        bounds = [(r.a, r.b) for r in sorted((r for r in spans if r.source == source), key=lambda r: r.part)]
+        assert all(x[1] < y[0] for x, y in zip(bounds, bounds[1:]))

@@ -6,8 +6,10 @@ document e times and, in key order, once more the documents that fill the rest:
 whose middle word still lies inside it, which misses the rest by half a document at most.
 
 Prefix sums run on two levels: sums of (source, key range) are added up per source, and
-rows only inside their range. With ~sqrt(n) ranges both levels hold ~sqrt(n) rows per
-group at most, whichever source is hot.
+rows only inside their range. The ranges hold about equal shares of their source: the
+distribution of its keys follows from how many of its documents have which quality. With
+~sqrt(n) ranges both levels hold ~sqrt(n) rows per group, whichever source is hot and
+whatever the quality of its texts; only equal ids, whose keys are equal, stay together.
 
 Targets: sources by code point, NULL last, weigh ``WEIGHTS`` in turn and share all words;
 no target exceeds ``MAX_EPOCHS`` times its source, the excess goes to the others by weight
@@ -30,6 +32,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
 MIN_RANGES = 64
+BANDS = 8  # bands of quality for each factor of e
 SYMBOL = r"[0-9#$%&*|!@+=<>^~]"
 
 
@@ -73,6 +76,21 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
                     (F.col("target") - F.col("epochs") * F.col("source_size")).alias("rest")))
 
 
+def ranged(sized: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame:
+    """Rows of ``sized`` with the columns of ``targets``, key and part, the key's range in its source."""
+    # smallest and largest quality, unlike a mean, are the same in every run over the rows
+    bands = sized.groupBy("source", F.floor(F.ln("quality") * BANDS).alias("band")).agg(
+        F.count("*").alias("n"), ((F.min("quality") + F.max("quality")) / 2).alias("q"))
+    shapes = bands.groupBy(F.col("source").alias("named")).agg(F.sort_array(F.collect_list(F.struct("q", "n"))).alias("shape"), F.sum("n").alias("members"))
+    rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    rows = rows.join(shapes, F.col("source").eqNullSafe(F.col("named")))
+    rows = rows.withColumn("key", -F.ln(uniform(F.col("doc_id"), seed)) / F.col("quality"))
+    # share of the source's keys up to this one; it never falls as the key grows
+    below = F.aggregate("shape", F.lit(0.0), lambda a, b: a + b["n"] * (1 - F.exp(-b["q"] * F.col("key")))) / F.col("members")
+    ranges = F.greatest(F.lit(MIN_RANGES), F.ceil(F.sqrt("n_docs")))
+    return rows.withColumn("part", F.floor(below * ranges)).drop("named", "shape", "members")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         size: Column | None = None, quality: Column | None = None, weights=WEIGHTS,
         max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
@@ -83,10 +101,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         (text_quality(F.col(text_col)) if quality is None else quality).alias("quality"))
     sized = staged(sized, "sizes")  # texts are read once; what follows needs these columns only
     targets = source_targets(sized, weights, max_epochs)
-    key = -F.ln(uniform(F.col("doc_id"), seed)) / F.col("quality")
-    rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    ranges = F.greatest(F.lit(MIN_RANGES), F.ceil(F.sqrt("n_docs")))
-    rows = rows.withColumn("key", key).withColumn("part", F.floor((1 - F.exp(-F.col("key"))) * ranges))
+    rows = ranged(sized, targets, seed)
 
     sums = rows.groupBy("source", "part").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
