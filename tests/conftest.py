@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,4 +17,5 @@ def spark():
 @pytest.fixture(scope="session")
 def duck01():
     from oracle_check import duck_connect
+    from paths import SF01
     return duck_connect(SF01)

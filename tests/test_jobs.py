@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 
 import __spark_entry__ as E
 

@@ -3,7 +3,7 @@ same types, same rows, doubles bit for bit."""
 
 import pytest
 
-from conftest import SF01
+from paths import SF01
 from oracle_check import compare
 
 from tidemark.plans import registry as E

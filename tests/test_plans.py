@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF01
+from paths import SF01
 
 from tidemark.plans import registry as E
 

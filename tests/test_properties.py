@@ -3,7 +3,7 @@
 import datetime as dt
 import math
 
-from conftest import SF001, SF01
+from paths import SF001, SF01
 
 import __spark_entry__ as E
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import iso_week, iso_year, last_saturday_on_or_before, week_ending_saturday
@@ -150,3 +151,14 @@ def test_append_newer_with_empty_and_existing_history(spark):
     out = append_newer(hist, new, "date", F.lit(dt.date(2020, 1, 11)))
     rows = sorted((r.date.day, r.old) for r in out.collect())
     assert rows == [(4, 1), (11, None)]
+
+
+def test_wide_keeps_null_and_na_keys_apart(spark):
+    from tidemark.operators.reshape import to_wide
+    long = spark.createDataFrame([(1, None, 3), (1, "NA", 5), (1, "na", 7), (2, "_null", 9)], "id int, k string, v int")
+    got = {r.id: r.asDict() for r in to_wide(long, ["id"], "k", "v").collect()}
+    assert got == {1: {"id": 1, "_null": 3, "na": 5, "na_2": 7, "null": None},
+                   2: {"id": 2, "_null": None, "na": None, "na_2": None, "null": 9}}
+    assert to_wide(long, ["id"], "k", "v", prefix="s_", suffix="_x").columns[1] == "s__null_x"
+    with pytest.raises(ValueError, match="more than 3"):
+        to_wide(long, ["id"], "k", "v", max_columns=3)

@@ -19,27 +19,37 @@ def to_long(df: DataFrame, ids: Sequence[str], var: str, val: str,
     return df.unpivot(list(ids), cols, var, val)
 
 
+MAX_COLUMNS = 2000
+
+
 def to_wide(df: DataFrame, ids: Sequence[str], key: str, value: str,
-            values: Sequence | None = None, prefix: str = "", suffix: str = "") -> DataFrame:
+            values: Sequence | None = None, prefix: str = "", suffix: str = "", max_columns: int = MAX_COLUMNS) -> DataFrame:
     """Long -> wide, one column per key, named ``clean_name(prefix + key + suffix)``.
 
     ``values`` lists the keys where the list is the feature; without it every key of
-    the data becomes a column (sorted; a NULL key is named ``na``). The keys are read
-    in one small job, so ``df`` should be an aggregate. Keys whose cleaned names are
-    equal get ``_2``, ``_3``, ... Missing cells are NULL. Each (ids, key) has one
-    row, so ``max`` is the deterministic pick."""
+    the data becomes a column (NULL first, then sorted). The keys are read in one small job, so
+    ``df`` should be an aggregate; more than ``max_columns`` of them raise ValueError. A NULL
+    key has the column ``_null`` (after a prefix ``<prefix>__null``), a name that no
+    other key can get. Keys whose cleaned names are equal get ``_2``, ``_3``, ... Missing
+    cells are NULL. Each (ids, key) has one row, so ``max`` is the deterministic pick."""
     if values is None:
-        values = sorted((r[0] for r in df.select(F.coalesce(F.col(key).cast("string"), F.lit("NA"))).distinct().collect()))
-        df = df.withColumn(key, F.coalesce(F.col(key).cast("string"), F.lit("NA")))
+        found = df.select(F.col(key).cast("string")).distinct().limit(max_columns + 1).collect()
+        if len(found) > max_columns:
+            raise ValueError(f"{key} has more than {max_columns} different values; each would be a column")
+        values = sorted((r[0] for r in found), key=lambda v: (v is not None, v or ""))
+        df = df.withColumn(key, F.col(key).cast("string"))
     names = wide_names(values, prefix, suffix)
-    cells = [F.max(F.when(F.col(key) == v, F.col(value))).alias(n) for v, n in zip(values, names)]
+    cells = [F.max(F.when(F.col(key).eqNullSafe(F.lit(v)), F.col(value))).alias(n) for v, n in zip(values, names)]
     return df.groupBy(*ids).agg(*cells) if cells else df.select(*ids).distinct()
 
 
-def wide_names(values: Sequence[str], prefix: str = "", suffix: str = "") -> list[str]:
+def wide_names(values: Sequence[str | None], prefix: str = "", suffix: str = "") -> list[str]:
     """Computed column names for pivoted keys (clean snake_case, made distinct)."""
     out: list[str] = []
     for v in values:
+        if v is None:   # cleaned names neither start with an underscore nor hold two in a row
+            out.append((clean_name(prefix) + "_" if prefix else "") + "_null" + suffix)
+            continue
         base = name = clean_name(f"{prefix}{v}{suffix}")
         k = 1
         while name in out:

@@ -190,14 +190,19 @@ def share_by_group(t):
     return share_of_total(_month_priority(t), ["month"], "n")
 
 
-def _pivot_sql(rows: str, ids: str, key: str, value: str, prefix: str = "", suffix: str = "") -> str:
-    """DuckDB pivot over every key of the data, named as ``to_wide`` names them."""
-    name = (f"regexp_replace(regexp_replace(regexp_replace(lower('{prefix}' || coalesce(CAST({key} AS VARCHAR), 'NA') || '{suffix}'), "
-            "'[^0-9a-z]+', '_', 'g'), '^_+|_+$', '', 'g'), '^([0-9])', 'x\\1')")
-    return (f"SELECT * FROM (PIVOT (SELECT {ids}, {name} AS _k, {value} AS _v FROM ({W(rows)})) ON _k USING max(_v) GROUP BY {ids})")
+def _pivot_sql(rows: str, ids: str, key: str, value: str, keys, prefix: str = "", suffix: str = "") -> str:
+    """DuckDB pivot over the listed keys of the test data, named as ``to_wide`` names them.
 
+    The operator reads its keys from the data; a view needs columns that are known beforehand."""
+    cells = ", ".join(f"max({value}) FILTER (WHERE {key} = '{k}') AS {n}" for k, n in zip(keys, wide_names(keys, prefix, suffix)))
+    return f"SELECT {ids}, {cells} FROM ({W(rows)}) GROUP BY {ids}"
 
-@query("share_wide", _pivot_sql("SELECT * FROM mps", "month", "o_orderpriority", "share"))
+
+_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+_STATUSES = ("F", "O", "P")
+
+
+@query("share_wide", _pivot_sql("SELECT * FROM mps", "month", "o_orderpriority", "share", _PRIORITIES))
 def share_wide(t):
     """The month x priority shares, one column per priority of the data."""
     return to_wide(share_of_total(_month_priority(t), ["month"], "n"), ["month"], "o_orderpriority", "share")
@@ -208,7 +213,7 @@ S.CTES["mss"] = ("SELECT month, o_orderstatus, " + S.rhe("n", "sum(n) OVER (PART
                  "o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2)")
 
 
-@query("share_wide_status", _pivot_sql("SELECT * FROM mss", "month", "o_orderstatus", "share", "status_"))
+@query("share_wide_status", _pivot_sql("SELECT * FROM mss", "month", "o_orderstatus", "share", _STATUSES, "status_"))
 def share_wide_status(t):
     """D16, second parameter set: the same monthly share job grouped by
     order status instead of priority."""
@@ -217,7 +222,7 @@ def share_wide_status(t):
 
 
 @query("share_weekly", _pivot_sql("SELECT week_end, area, " + S.rhe("n", "sum(n) OVER (PARTITION BY week_end)", 2, 100)
-                                  + " AS share FROM sw", "week_end", "area", "share"))
+                                  + " AS share FROM sw", "week_end", "area", "share", SEG))
 def share_weekly(t):
     """Weekly share of orders by market segment, wide."""
     s = share_of_total(fd.segment_weekly(t), ["week_end"], "n")
@@ -230,7 +235,7 @@ S.CTES.update(S.baseline_ctes("ba", "swa", keys="area"))
 @query("wide_area_index", f"SELECT *, {S.isoweek('week_end')} AS iso_week FROM (" + _pivot_sql(
     f"SELECT s.area, s.week_end, {S.ratio('s.n', 'b.base')} * {D(100)} AS idx FROM swa s "
     f"LEFT JOIN ba b ON b.area = s.area AND b.iso_week = {S.isoweek('s.week_end')} "
-    f"WHERE s.week_end >= DATE '{fd.SINCE}'", "week_end", "area", "idx", suffix="_index") + ")")
+    f"WHERE s.week_end >= DATE '{fd.SINCE}'", "week_end", "area", "idx", (*SEG, fd.ALL_AREAS), suffix="_index") + ")")
 def wide_area_index(t):
     """Per-area ratio index (uncapped) against each area's own
     baseline, one computed column per area; rows matched by week, not position."""
@@ -276,7 +281,7 @@ def wide_to_long(t):
     return to_long(_region_year_wide(t), ["r_name"], "period", "n")
 
 
-@query("long_to_wide", _pivot_sql("SELECT * FROM mp", "month", "o_orderpriority", "n"))
+@query("long_to_wide", _pivot_sql("SELECT * FROM mp", "month", "o_orderpriority", "n", _PRIORITIES))
 def long_to_wide(t):
     """Order counts month x priority, one column per priority; a
     missing cell is NULL, not 0."""

@@ -35,7 +35,7 @@ def _load():
 
 
 def queries() -> dict[str, QueryFn]:
-    """name -> callable(spark, sf_dir) returning a lazy DataFrame."""
+    """name -> callable(spark, sf_dir) returning a DataFrame; a call may write shared stages first."""
     _load()
     return {k: v[0] for k, v in REGISTRY.items()}
 
