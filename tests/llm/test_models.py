@@ -27,19 +27,18 @@ class BruteKN:
             self.after[a][b] = n
         count = lambda c: [sum(v == k for v in c.values()) for k in (1, 2, 3, 4)]
         self.d2, self.d1 = lm.discounts(count(self.pairs)), lm.discounts(count(self.before))
+        self.mass = sum(self.d1[min(n, 3)] for n in self.before.values()) / max(len(self.pairs), 1)
+        self.sums = {a: (sum(c.values()), sum(self.d2[min(n, 3)] for n in c.values())) for a, c in self.after.items()}
 
     def word(self, w):
-        total = len(self.pairs)
-        mass = sum(self.d1[min(n, 3)] for n in self.before.values()) / total
         n = self.before[w]
-        return max(n - self.d1[min(n, 3)], 0) / total + mass / (len(self.words) + 1)
+        return max(n - self.d1[min(n, 3)], 0) / len(self.pairs) + self.mass / (len(self.words) + 1)
 
     def pair(self, a, b):
         after = self.after.get(a)
         if not after:
             return self.word(b)
-        total = sum(after.values())
-        left = sum(self.d2[min(n, 3)] for n in after.values())
+        total, left = self.sums[a]
         n = after[b]
         return (max(n - self.d2[min(n, 3)], 0) + left * self.word(b)) / total
 

@@ -29,7 +29,7 @@ def test_token_counts_are_the_librarys(spark, docs, edge, empty, library):
 
 
 def test_token_counts_of_odd_white_space_and_special_strings(library):
-    counter, rnd = tokens.Counter(PATH, tokens.whole_tokens(PATH)), random.Random(4)
+    counter, rnd = tokens.Counter(PATH, tokens.whole_tokens(PATH), tokens.odd_characters(PATH)), random.Random(4)
     parts = ["a", "The", " ", "  ", "\n", "\t", "'s", "'", "12", "é", "日本", "<|endoftext|>", " ", "!", "don't", "\x1c", "\x85", " ", "😀", "\r\n", "<|"]
     for _ in range(4000):
         text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14)))
@@ -37,7 +37,7 @@ def test_token_counts_of_odd_white_space_and_special_strings(library):
 
 
 def test_token_counts_of_spaces_after_other_white_space(library):
-    counter, rnd = tokens.Counter(PATH, tokens.whole_tokens(PATH)), random.Random(5)
+    counter, rnd = tokens.Counter(PATH, tokens.whole_tokens(PATH), tokens.odd_characters(PATH)), random.Random(5)
     texts = ["x \u00a0 \u00a0 y", "x" + " \u00a0" * 4 + " y", "x\n ", "x \n  y", " \u00a0 ", "x \u3000 \u3000 y"]
     parts = ["a", "The", " ", " ", " \u00a0 \u00a0", "\u00a0", "\u00a0", "\n", "\t", "\u2003", "\u3000", "\x1c", "12", "'s", "<|endoftext|>"]
     texts += ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(4000)]
@@ -45,6 +45,22 @@ def test_token_counts_of_spaces_after_other_white_space(library):
         assert counter.count(text) == library(text), repr(text)
 
 
+def test_token_counts_of_every_code_point(library):
+    """Every code point in three contexts, a few to a text."""
+    from tokenizers import Tokenizer
+    encoder = Tokenizer.from_file(PATH)
+    counter = tokens.Counter(PATH, tokens.whole_tokens(PATH), tokens.odd_characters(PATH))
+    chars = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    odd = set(tokens.odd_characters(PATH))
+    assert all(counter.count(f"{c}'s") == library(f"{c}'s") for c in odd)
+    plain = [c for c in chars if c not in odd]
+    texts = [form.format("".join(plain[i:i + 8])) for i in range(0, len(plain), 8) for form in (("{0}'s a", "x{0}1", "1{0} {0}!") if i % 256 == 0 else ("x{0}1",))]
+    for i in range(0, len(texts), 20_000):
+        part = texts[i:i + 20_000]
+        for text, code in zip(part, encoder.encode_batch_fast(part, add_special_tokens=False)):
+            assert counter.count(text) == len(code.ids), repr(text)
+
+
 def shingle_set(text):
     w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     w = [x for x in __import__("re").split("[\x20\x09-\x0D]+", w) if x]
@@ -184,3 +200,22 @@ def test_pipeline_stages(spark, edge, tmp_path):
     for name, stage in cp.STAGES:               # awkward rows and none at all pass every stage
         assert stage(spark, edge, sf).count() <= edge.count()
         assert stage(spark, edge.limit(0), sf).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark, benchmark):
+    """Columns named like the helpers' own come out with their values and types."""
+    from tidemark.llm import decontam, language, quality
+    names = ("_id", "_hash", "_key", "_text", "own_id", "text_hash", "row_hash", "kept", "mark")
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, text, *[n + "!" for n in names]), (2, text, *[n + "?" for n in names])],
+                                 "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    first = docs.where("doc_id = 1").collect()
+    assert dedup.keep_one(docs).schema == docs.schema and dedup.keep_one(docs).collect() == first
+    kept = decontam.drop_documents(docs, benchmark)
+    assert kept.schema == docs.schema and sorted(kept.collect()) == sorted(docs.collect())
+    hit = spark.createDataFrame([(1, "two three four")], "item_id long, text string")
+    assert decontam.drop_documents(docs, hit).count() == 0
+    lang = language.fit(spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string"))
+    assert {r["_text"] for r in language.identify(docs, lang, ["doc_id", "_text"]).collect()} == {"_text!", "_text?"}
+    model = quality.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    assert {r["_text"] for r in quality.score(docs, model, ["doc_id", "_text"]).collect()} == {"_text!", "_text?"}

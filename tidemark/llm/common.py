@@ -35,6 +35,14 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def fresh_name(columns: list[str], stem: str) -> str:
+    """``stem`` with as many underscores behind it as make it none of ``columns``."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh folder below the shared checkpoint folder and read it back.
 

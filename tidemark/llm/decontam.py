@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NOT_ALNUM, lower_az, sql_lower, table
+from tidemark.llm.common import NOT_ALNUM, fresh_name, lower_az, sql_lower, table
 
 NAME = "op8_decontamination"
 WINDOW = 13
@@ -47,10 +47,10 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, broadcast_limit: int = BROADCAST_LIMIT, keep_text: bool = False) -> DataFrame:
+         window: int = WINDOW, broadcast_limit: int = BROADCAST_LIMIT, keep: Column | None = None) -> DataFrame:
     """One row per document row: doc_id, n_words, spans [start, end), items (distinct, sorted as text).
 
-    ``keep_text`` adds the text itself.
+    ``keep``, an expression over ``docs``, is added as column kept.
     """
     grams = benchmark_windows(benchmark, text_col="text", window=window)
     size = grams.agg(F.sum(F.length("gram") + 64)).first()[0] or 0
@@ -59,8 +59,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     # the empty word behind the last one stands for the document itself
     words = F.array_append(words_of(F.col(text_col)), "")
     base = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
-                       F.col(text_col).alias("text"), words.alias("words"))
-    seen = base.select("doc_id", "rid", "text", "words", F.posexplode("words").alias("pos", "word"))
+                       (F.lit(None).cast("string") if keep is None else keep).alias("kept"), words.alias("words"))
+    seen = base.select("doc_id", "rid", "kept", "words", F.posexplode("words").alias("pos", "word"))
     seen = seen.withColumn("hash", F.when(F.col("word") != "", F.xxhash64("word")))
     is_doc = F.col("word") == ""
     start = F.col("pos") - F.col("lead")
@@ -71,13 +71,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         found = seen.join(part, F.col("hash") == F.col("h"), "left")
         found = found.filter((is_doc & F.lit(block == 0)) | (F.col("item").isNotNull() & same)).select(
             "rid", F.when(is_doc, F.col("doc_id")).alias("doc_id"), F.when(is_doc, F.col("pos")).alias("n"),
-            F.when(is_doc & F.lit(keep_text), F.col("text")).alias("text"),
+            F.when(is_doc, F.col("kept")).alias("kept"),
             F.when(~is_doc, F.struct(start.alias("start"), (start + F.col("m")).alias("end"))).alias("span"), "item")
         rows = found if rows is None else rows.union(found)
     return rows.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"), F.max("n").cast("long").alias("n_words"),
         F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"),
-        *([F.max("text").alias("text")] if keep_text else [])).drop("rid")
+        *([] if keep is None else [F.max("kept").alias("kept")])).drop("rid")
 
 
 def hit_words(spans: Column) -> Column:
@@ -105,18 +105,20 @@ def drop_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
                    **options) -> DataFrame:
     """``docs`` without its contaminated rows, all columns kept.
 
-    The verdict depends on the text alone, so rows are matched by a hash of id and text.
+    The verdict depends on the text alone, so rows are matched by a hash of id and text,
+    made inside the scan: no text is shuffled.
     """
-    scanned = scan(docs, benchmark, id_col, text_col, keep_text=True, **options)
-    bad = (scanned.filter(is_contaminated(hit_words(F.col("spans")), F.col("n_words")))
-           .select(F.xxhash64("doc_id", "text").alias("_key")).distinct())
-    return docs.withColumn("_key", F.xxhash64(id_col, text_col)).join(bad, "_key", "left_anti").drop("_key")
+    key = fresh_name(docs.columns, "row_hash")
+    row_hash = F.xxhash64(F.col(id_col), F.col(text_col))
+    bad = (scan(docs, benchmark, id_col, text_col, keep=row_hash, **options)
+           .filter(is_contaminated(hit_words(F.col("spans")), F.col("n_words"))).select(F.col("kept").alias(key)).distinct())
+    return docs.withColumn(key, row_hash).join(bad, key, "left_anti").drop(key)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  **options) -> DataFrame:
     """doc_id and text with the hit words (and the separators after them) taken out."""
-    scanned = scan(docs, benchmark, id_col, text_col, keep_text=True, **options)
+    scanned = scan(docs, benchmark, id_col, text_col, keep=F.col(text_col), **options).withColumnRenamed("kept", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
     # each piece is one word with the separators behind it; in front of the first stands the head
     pieces = F.regexp_extract_all(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"), F.lit(0))

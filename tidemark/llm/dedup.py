@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 import xxhash
 
-from tidemark.llm.common import staged, table
+from tidemark.llm.common import fresh_name, staged, table
 from tidemark.llm.components import connected_components
 from tidemark.llm.shingles import WordHashes, chunked, shingles
 
@@ -309,10 +309,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = _grouped(docs, id_col, text_col).select("group", "doc_id", "text_hash")
     first = rows.filter("group IS NOT NULL").groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("m")).select("m.doc_id", "m.text_hash")
+    own, digest = fresh_name(docs.columns, "own_id"), fresh_name(docs.columns, "text_hash")
     kept = first.union(rows.filter("group IS NULL").select("doc_id", "text_hash")).select(
-        F.coalesce("doc_id", F.lit(FIRST)).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    marked = docs.withColumn("_id", F.coalesce(F.col(id_col), F.lit(FIRST))).withColumn("_hash", F.xxhash64(text_col))
-    return marked.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+        F.coalesce("doc_id", F.lit(FIRST)).alias(own), F.col("text_hash").alias(digest)).distinct()
+    marked = docs.withColumn(own, F.coalesce(F.col(id_col).cast("bigint"), F.lit(FIRST))).withColumn(digest, F.xxhash64(text_col))
+    return marked.join(kept, [own, digest], "left_semi").dropDuplicates([own, digest]).drop(own, digest)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, rows_kept, table
+from tidemark.llm.common import crc_mod, fresh_name, rows_kept, table
 from tidemark.llm.shingles import chunked, mix64
 
 NAME = "op7_language_id"
@@ -195,6 +195,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
 
     ``spans`` adds the runs of words of one language: (start, end, lang).
     """
+    hidden = fresh_name(keep, "_text")
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
     schema = ", ".join([*(f"`{f.split(' ', 1)[0]}` {f.split(' ', 1)[1]}" for f in fields), "lang_pred string", "score double",
                         *(["spans array<struct<start:int,end:int,lang:string>>"] if spans else [])])
@@ -202,7 +203,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(model)
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
+            texts = batch.column(hidden).to_pylist()
             for i, j in chunked(texts, CHUNK):
                 pred, score, runs = _judge(texts[i:j], model, words, spans)
                 part = batch.slice(i, j - i)
@@ -211,7 +212,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
                     arrays.append(pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))))
                 yield pa.RecordBatch.from_arrays(arrays, [*keep, "lang_pred", "score", *(["spans"] if spans else [])])
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).alias(hidden)).mapInArrow(run, schema)
 
 
 def _judge(texts: list[str | None], model: Model, words: Words, spans: bool):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, rows_kept, staged, table
+from tidemark.llm.common import crc_mod, fresh_name, rows_kept, staged, table
 from tidemark.llm.shingles import chunked
 
 NAME = "op10_quality"
@@ -196,12 +196,13 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold:
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", threshold: float = THRESHOLD,
           lines: bool = False) -> DataFrame:
     """``keep`` columns of ``docs`` with score and predicted; ``lines`` adds P(good) of every line."""
+    hidden = fresh_name(keep, "_text")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
     extra = ["line_scores array<double>"] if lines else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
+            texts = batch.column(hidden).to_pylist()
             for i, j in chunked(texts):
                 out, good = document_scores(texts[i:j], model)
                 part = batch.slice(i, j - i)
@@ -210,7 +211,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
                     arrays.append(pa.array([a.tolist() for a in good], pa.list_(pa.float64())))
                 yield pa.RecordBatch.from_arrays(arrays, [*keep, "score", "predicted", *(["line_scores"] if lines else [])])
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(
+    return docs.select(*keep, F.col(text_col).alias(hidden)).mapInArrow(
         run, ", ".join([*fields, "score double", "predicted int", *extra]))
 
 

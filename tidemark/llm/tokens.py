@@ -12,6 +12,10 @@ each worker keeps the counts of units it has met (emptied when full, which chang
 result). Strings of special tokens are cut out first and count as one each, as the library
 does by default.
 
+The two know Unicode in different editions, so the characters that the library's
+pre-tokenizer and the pattern here class differently are found offline as well, over all
+code points; a text with one of them goes to the library as it is.
+
 Defined cases: a NULL or empty text has 0 bytes and 0 tokens; equal rows each get a row;
 only the id and text columns are read.
 """
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +68,38 @@ def whole_tokens(path: str) -> frozenset[str]:
                      and pattern.findall(t) == [t])
 
 
+def _probe(c: str) -> str:
+    """A text in which a character stands between letters, digits, marks and white space."""
+    return f"x{c}y1{c}2!{c}? {c} "
+
+
+@lru_cache
+def odd_characters(path: str) -> str:
+    """The characters that the library's pre-tokenizer cuts otherwise than ``PATTERN``, in order."""
+    import regex
+    from tokenizers import Tokenizer
+
+    pattern, pre = regex.compile(PATTERN), Tokenizer.from_file(path).pre_tokenizer
+
+    def spans(text: str) -> list[list[tuple[int, int]]]:
+        return [[span for _, span in pre.pre_tokenize_str(text)], [m.span() for m in pattern.finditer(text)]]
+
+    found = []
+    for first in range(0, 0x110000, 256):
+        block = [chr(c) for c in range(first, first + 256) if not 0xD800 <= c < 0xE000]
+        if not block:
+            continue
+        # between the cuts of both, neighbours are of one class in either; one of them is probed for all
+        text = "".join(block)
+        cuts = {at for side in spans(text) for span in side for at in span} if first else set(range(len(block) + 1))
+        cuts = sorted(cuts)
+        for a, b in zip(cuts, cuts[1:]):
+            one, other = spans(_probe(block[a]))
+            if one != other:
+                found += block[a:b]
+    return "".join(found)
+
+
 class _Units(dict):
     """Token count of a unit that follows a space; short ones are kept."""
 
@@ -80,7 +117,7 @@ class _Units(dict):
 class Counter:
     """Token counts of texts; one per task."""
 
-    def __init__(self, path: str, whole: frozenset[str]):
+    def __init__(self, path: str, whole: frozenset[str], odd: str):
         import regex
         from tokenizers import Tokenizer
 
@@ -89,6 +126,8 @@ class Counter:
         self.cut = regex.compile(r"(?<!\s) ").split
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True  # special strings are cut out here
+        self.library = Tokenizer.from_file(path)
+        self.odd = regex.compile(f"[{regex.escape(odd)}]" if odd else r"(?!)").search
         self.whole = whole
         with open(path, encoding="utf-8") as f:
             self.strings = sorted((t["content"] for t in json.load(f)["added_tokens"]), key=len, reverse=True)
@@ -111,6 +150,8 @@ class Counter:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
+        if not text.isascii() and self.odd(text):
+            return len(self.library.encode(text, add_special_tokens=False).ids)
         if not any(s in text for s in self.strings):
             return self.plain(text)
         parts = self.special.split(text)
@@ -123,10 +164,10 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     ``path`` names the tokenizer file on every node.
     """
-    whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
+    offline = docs.sparkSession.sparkContext.broadcast((whole_tokens(path), odd_characters(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path, whole.value)
+        counter = Counter(path, *offline.value)
         for batch in batches:
             n = [counter.count(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
