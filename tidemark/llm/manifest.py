@@ -210,6 +210,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang", fiel
                        F.col(id_col).alias("id"), leaf.alias("hash"), other.alias("altered"),
                        F.monotonically_increasing_id().alias("salt"))   # parts equal rows
     rows = rows.withColumn("altered", F.when(F.col("altered") != F.col("hash"), F.col("altered")))
+    rows = staged(rows, "rows")     # the texts are read once; ranges are drawn from this
     nodes = numbered(rows, ["id", "hash", "salt"]).withColumn("label", F.col("id").cast("string")).drop("id")
     floors = floors_over(nodes)
 
