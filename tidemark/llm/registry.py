@@ -7,7 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("lm", "tokens", "mixing", "fingerprints", "urls", "language", "quality", "dedup", "decontam", "licenses", "manifest", "alignment")
+MODULES = ("lm", "tokens", "mixing", "fingerprints", "urls", "language", "quality", "dedup", "decontam", "licenses", "manifest", "alignment",
+           "neighbours")
 
 
 def _modules():
