@@ -46,9 +46,11 @@ from tidemark.llm.shingles import chunked
 from tidemark.llm.tokens import byte_letters
 
 NAME = "op12_tokenizer_alignment"
-CHUNK = 1 << 19             # characters of texts that are taken together
+CHUNK = 1 << 18             # characters of texts that are taken together
+TOGETHER = 32               # units that the tokenizer A takes as one text
+ID = np.int32                # of token ids as a worker keeps them
 TERMS = 1 << 22             # terms of a product that are held at once
-CACHE_UNITS = 200_000       # units whose ids a worker keeps; then it starts anew, which changes no result
+CACHE_UNITS = 120_000       # units whose ids a worker keeps; then it starts anew, which changes no result
 # A pre-token of A ends before a space that follows another character than white space (here: visible ASCII).
 # A last space stays with its word: B has no token for an empty unit.
 CUT = re.compile(r"(?<=[!-~]) (?=[\s\S])")
@@ -182,11 +184,23 @@ class Lexicon:
             raise ValueError(f"the vocabularies have {len(pairs)} id pairs that can be linked; the limit is {MAX_PAIRS}")
         self.keys = np.array(sorted(pairs), np.int64)
         # B's merges stay on one side of a space that follows another character, unless a piece reaches over one
+        self.made: Encoder | None = None
         self.cuts = not any(re.search("[^▁]▁", model.id_to_piece(i)) for i in range(len(self.b)))
 
+    def encoder(self, path_a: str, path_b: str) -> Encoder:
+        """Both tokenizers, made once in a worker: this object stays there from task to task."""
+        if self.made is None:
+            self.made = Encoder(path_a, path_b, self)
+        return self.made
+
+
+def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    data, at = ids.tobytes(), (ends * ids.itemsize).tolist()
+    return [data[i:j] for i, j in zip(at, at[1:])]
+
 
 class Encoder:
-    """Both tokenizers; one per task."""
+    """Both tokenizers with the units met so far."""
 
     def __init__(self, path_a: str, path_b: str, lexicon: Lexicon):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
@@ -197,43 +211,74 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.lexicon = lexicon
-        self.known: dict[str, tuple[list[int], list[int], bool]] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.unlike: set[str] = set()
         self.size_a, self.size_b = (np.array([len(w) for w in words], np.int64) for words in (lexicon.a, lexicon.b))
         # how a token is written in the digest's text: first of its group and not
         self.written = [form + str(i) for form, n in ((";", len(lexicon.a)), (",", len(lexicon.a)), ("|", len(lexicon.b)), (",", len(lexicon.b)))
                         for i in range(n)]
 
-    def tokens(self, texts: Sequence[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and of B for each text; none where they do not spell the text out."""
+    def tokens(self, texts: Sequence[str | None]) -> tuple[list[bytes], list[bytes]]:
+        """Ids (packed) of A and of B for each text; none where they do not spell the text out."""
         parts = [(CUT.split(t) if self.lexicon.cuts else [t]) if t else [] for t in texts]
         if len(self.known) > CACHE_UNITS:
             self.known.clear()
+            self.unlike.clear()
         self.learn([u for u in set(chain.from_iterable(parts)) if u not in self.known])
         out: tuple[list, list] = ([], [])
         for text, units in zip(texts, parts):
             found = [self.known[u] for u in units]
-            a, b = (list(chain.from_iterable([u[side] for u in found])) for side in (0, 1))
-            if not all([u[2] for u in found]) and not self.spelt(text, a, b):
-                a, b = [], []
+            a, b = b"".join([u[0] for u in found]), b"".join([u[1] for u in found])
+            if self.unlike and not self.unlike.isdisjoint(units) and not self.spelt(text, a, b):
+                a = b = b""
             out[0].append(a)
             out[1].append(b)
         return out
 
-    def spelt(self, text: str, a: list[int], b: list[int]) -> bool:
+    def spelt(self, text: str, a: bytes, b: bytes) -> bool:
         want = (" " + text).encode()
-        return b"".join([self.lexicon.a[i] for i in a]) == want == b"".join([self.lexicon.b[i] for i in b])
+        return all(b"".join([words[i] for i in np.frombuffer(ids, ID).tolist()]) == want for words, ids in ((self.lexicon.a, a), (self.lexicon.b, b)))
 
     def learn(self, units: list[str]) -> None:
-        a = [e.ids for e in self.tokenizer.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        b = self.model.encode(units, num_threads=1)
-        for u, x, y in zip(units, a, b):
-            self.known[u] = x, y, self.spelt(u, x, y)
+        """Encode units that are not known; those that their tokens do not spell out are noted in ``unlike``."""
+        if not units:
+            return
+        # A takes several at once where each ends with a visible character, as the texts were cut
+        units = sorted(units, key=lambda u: not (u and "!" <= u[-1] <= "~"))
+        n = sum(1 for u in units if u and "!" <= u[-1] <= "~")
+        spaced = [" " + u for u in units]
+        joined = ["".join(spaced[i:min(i + TOGETHER, n)]) for i in range(0, n, TOGETHER)] + spaced[n:]
+        want = [u.encode() for u in spaced]
+        bounds, whole = np.concatenate([[0], np.cumsum([len(w) for w in want])]), b"".join(want)
+        packed = []
+
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(found), ID)
+        upto = np.concatenate([[0], np.cumsum(self.size_a[flat])])
+        ends = np.searchsorted(upto, bounds)
+        if upto[-1] != len(whole) or (upto[ends] != bounds).any() or b"".join([self.lexicon.a[i] for i in flat.tolist()]) != whole:
+            raise ValueError("the byte-level tokenizer does not spell its input")    # it has a token for every byte
+        packed.append(_cut(flat, ends))
+
+        ids = self.model.encode(units, num_threads=1)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+        flat = np.fromiter(chain.from_iterable(ids), ID, ends[-1])
+        upto = np.concatenate([[0], np.cumsum(self.size_b[flat])])
+        if b"".join([self.lexicon.b[i] for i in flat.tolist()]) == whole:
+            like = upto[ends] == bounds
+            like = like[1:] & like[:-1]
+        else:
+            like = np.array([b"".join([self.lexicon.b[i] for i in x]) == w for x, w in zip(ids, want)])
+        packed.append(_cut(flat, ends))
+        self.known.update(zip(units, zip(*packed)))
+        if not like.all():
+            self.unlike.update(u for u, k in zip(units, like.tolist()) if not k)
 
     def columns(self, texts: Sequence[str | None]) -> list[pa.Array]:
         """n_a, n_b, n_groups, n_links, n_overlaps, n_shared, groups_sha256 and links of each text."""
-        ids = self.tokens(texts)
-        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in ids)
-        a, b = (np.fromiter(chain.from_iterable(side), np.int64) for side in ids)
+        packed = self.tokens(texts)
+        n_a, n_b = (np.array([len(x) for x in side], np.int64) // np.dtype(ID).itemsize for side in packed)
+        a, b = (np.frombuffer(b"".join(side), ID).astype(np.int64) for side in packed)
         found = align(self.size_a[a], self.size_b[b])
         text_a = np.repeat(np.arange(len(texts)), n_a)
         links = np.bincount(text_a[found.link_a], minlength=len(texts))
@@ -273,7 +318,7 @@ class Aligned:
         shipped = docs.sparkSession.sparkContext.broadcast(self.lexicon)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            encoder = Encoder(path_a, path_b, shipped.value)
+            encoder = shipped.value.encoder(path_a, path_b)
             for batch in batches:
                 texts = batch.column("text").to_pylist()
                 for i, j in chunked(texts, CHUNK):
