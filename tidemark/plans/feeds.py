@@ -49,9 +49,8 @@ def orders_category_daily(t: Tables) -> DataFrame:
 
 
 def _orders_category_daily(t: Tables) -> DataFrame:
-    o = t.orders.select(F.to_date("o_orderdate").alias("d"), "o_orderpriority", "o_orderstatus", "o_totalprice")
-    return (o.groupBy("d", "o_orderpriority", "o_orderstatus")
-            .agg(F.count("*").alias("n"), F.sum(money("o_totalprice")).alias("revenue")))
+    return t.aggregate("orders", {"d": F.to_date("o_orderdate"), "o_orderpriority": F.col("o_orderpriority"), "o_orderstatus": F.col("o_orderstatus")},
+                       {"n": ("sum", F.lit(1)), "revenue": ("sum", money("o_totalprice"))})
 
 
 def orders_daily(t: Tables) -> DataFrame:
@@ -76,13 +75,9 @@ def lineitem_flag_daily(t: Tables) -> DataFrame:
 
 
 def _lineitem_flag_daily(t: Tables) -> DataFrame:
-    li = t.lineitem.select("l_returnflag", F.to_date("l_shipdate").alias("d"), "l_quantity",
-                           "l_extendedprice", "l_discount")
-    return (li.groupBy("l_returnflag", "d")
-            .agg(F.count("*").alias("n_lines"),
-                 F.sum(money("l_quantity")).alias("qty"),
-                 F.sum(money("l_extendedprice")).alias("revenue"),
-                 F.sum(money("l_discount")).alias("discount")))
+    return t.aggregate("lineitem", {"l_returnflag": F.col("l_returnflag"), "d": F.to_date("l_shipdate")},
+                       {"n_lines": ("sum", F.lit(1)), "qty": ("sum", money("l_quantity")),
+                        "revenue": ("sum", money("l_extendedprice")), "discount": ("sum", money("l_discount"))})
 
 
 def lineitem_daily(t: Tables) -> DataFrame:
@@ -102,9 +97,8 @@ def _lineitem_daily(t: Tables) -> DataFrame:
 def events_type_daily(t: Tables) -> DataFrame:
     """(event_type, d, n): events per type and day, the one scan of
     ``events``. Staged once per run."""
-    return t.stage("events_type_daily", lambda: (
-        t.events.select("event_type", F.to_date("ts").alias("d"))
-        .groupBy("event_type", "d").agg(F.count("*").alias("n"))), ["events"])
+    return t.stage("events_type_daily", lambda: t.aggregate(
+        "events", {"event_type": F.col("event_type"), "d": F.to_date("ts")}, {"n": ("sum", F.lit(1))}), ["events"])
 
 
 def asof(t: Tables) -> DataFrame:

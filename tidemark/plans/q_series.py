@@ -4,6 +4,8 @@ and history look-ups over the test tables."""
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import os
 
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from tidemark.operators.windows import rollmean
 from tidemark.plans import feeds as fd
 from tidemark.plans import sql as S
 from tidemark.plans.registry import query
+from tidemark.session import checkpoint_root
+from tidemark.sources.increments import IncrementalAggregate
 
 W = S.with_ctes
 D = S.D
@@ -305,6 +309,23 @@ def area_union(t):
     }, tag="feed")
 
 
+# --- increments ------------------------------------------------------------------------
+
+@query("incremental_daily", W(
+    "SELECT CAST(o_orderdate AS DATE) AS d, o_orderstatus, count(*) AS n, min(o_totalprice) AS least, max(o_totalprice) AS most, "
+    "CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS revenue FROM orders GROUP BY 1, 2"))
+def incremental_daily(t):
+    """Day aggregates merged from partial ones kept per input file; a later call over the same
+    folder reads the files that are new or changed since."""
+    place = hashlib.sha256(t.path("orders").encode()).hexdigest()[:16]
+    store = os.path.join(checkpoint_root(t.spark), "increments", f"orders-{place}")
+    found = IncrementalAggregate(
+        t.spark, t.path("orders"), store, {"d": F.to_date("o_orderdate"), "o_orderstatus": F.col("o_orderstatus")},
+        {"n": ("sum", F.lit(1)), "least": ("min", F.col("o_totalprice")), "most": ("max", F.col("o_totalprice")),
+         "revenue": ("sum", money("o_totalprice"))}).refresh()
+    return found.table.withColumn("revenue", decimal_to_double(F.col("revenue")))
+
+
 # --- aggregates -----------------------------------------------------------------------
 
 @query("grain_sum", W(

@@ -8,11 +8,10 @@ parquet reader as pushed filters.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import os
-import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Staged tables of this driver process: (app id, session, folder, stage name,
 # input fingerprint) -> (path, relation). A weekly run that publishes many outputs scans each
@@ -41,19 +40,23 @@ class Tables:
     tables belong to this run alone and ``release`` deletes them; otherwise runs of
     one application share a stage while its input files are the same.
 
+    With ``increments``, a folder that outlives the run, the day aggregates of the fact tables
+    are kept there per input file, and a run reads the files that are new or changed.
+
     With ``catalog_db``, tables present in that catalog database (the bucketed
     layout of ``sources.layout``) are read from the catalog so Spark knows
     their bucketing; the others are read by path from ``dir``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, catalog_db: str | None = None,
                  base_year: int = BASE_YEAR, since: dt.date = SINCE, week: dt.date | None = None,
-                 own_stages: bool = False):
+                 own_stages: bool = False, increments: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.catalog_db = catalog_db
         self.base_year = base_year
         self.since = since
         self.week = week            # analysis week; None: taken from the data
+        self.increments = increments
         self._registry = {} if own_stages else _STAGED
         self._own = own_stages
         self._cache: dict[str, DataFrame] = {}
@@ -96,24 +99,15 @@ class Tables:
         return os.path.join(self.sf_dir, f"{name}.parquet")
 
     def _listing(self, path: str) -> tuple[int, str]:
-        """Bytes below ``path`` and a digest of path, length and modification
-        time of every file (one metadata call per folder, no data read)."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        size, digest, folders = 0, hashlib.sha256(), [path]
-        while folders:
-            statuses = fs.listStatus(jvm.org.apache.hadoop.fs.Path(folders.pop()))
-            text = jvm.org.apache.commons.lang3.ArrayUtils.toString(statuses)
-            for status in sorted(re.findall(r"FileStatus\{(path=.*?modification_time=\d+)", text)):
-                where = re.match(r"path=(.*?); isDirectory=(\w+)", status)
-                if where[2] == "true":
-                    folders.append(where[1])
-                else:
-                    size += int(re.search(r"length=(\d+)", status)[1])
-                    digest.update(status.encode())
-            folders.sort()
-        return size, digest.hexdigest()
+        """Bytes below ``path`` and a digest of path, length and modification time of every
+        file: sums over a listing that Spark makes and adds up (no data read)."""
+        from tidemark.sources.listing import file_listing
+        file = F.struct("file_path", "file_size", "file_modification_time")
+        found = file_listing(self.spark, path).agg(
+            F.coalesce(F.sum("length"), F.lit(0)).alias("size"), F.count("*").alias("n"),
+            F.coalesce(F.sum(F.xxhash64(file).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("a"),
+            F.coalesce(F.sum(F.xxhash64(F.lit(1), file).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("b")).first()
+        return found["size"], f"{found['n']}:{found['a']}:{found['b']}"
 
     def fingerprint(self, names) -> tuple:
         """(table, bytes, digest of its file listing) per input, fixed for this run."""
@@ -156,6 +150,18 @@ class Tables:
             self._stages[name] = hit[1]
         return self._stages[name]
 
+    def aggregate(self, name: str, keys: dict[str, Column], measures: dict[str, tuple[str, Column]]) -> DataFrame:
+        """Aggregate of the named table by ``keys``; ``measures``: name -> (sum, min or max; Column).
+
+        Every row is read, unless the run keeps increments: then only those of new or changed files.
+        A table that is read from a catalog is not kept by file."""
+        from tidemark.sources.increments import MERGES, IncrementalAggregate
+        if self.increments and not self._in_catalog(name):
+            store = os.path.join(self.increments, f"{name}-{'-'.join(keys)}")
+            return IncrementalAggregate(self.spark, self.path(name), store, keys, measures).refresh().table
+        rows = self.table(name).select(*[c.alias(k) for k, c in keys.items()], *[c.alias(m) for m, (_, c) in measures.items()])
+        return rows.groupBy(*keys).agg(*[MERGES[how](m).alias(m) for m, (how, _) in measures.items()])
+
     def release(self) -> None:
         """Delete the staged tables of a run that owns them."""
         if not self._own:
