@@ -10,10 +10,12 @@
    rewrites a published week; reports and deep dives use the current feeds.
 3. The readiness gate (D11) must pass: every feed has the analysis week and
    the week before. Otherwise the run raises and nothing becomes visible.
-4. Commit: one row (analysis_week, run_id) is appended to ``<out>/_published``.
-   Readers only see runs listed there (``read_published``), so a run that
-   died half-way - including a lost executor mid-write - is never read;
-   re-running writes a fresh run folder.
+4. Commit: a numbered entry of the manifest (``plans.manifest``), made exactly once. Readers
+   only see runs listed there (``read_published``), so a run that died half-way - including a
+   lost executor mid-write - is never read; re-running writes a fresh run folder and
+   ``manifest.sweep`` removes the dead one. Of two runs at a time one commits; the other
+   starts again from the new state, or gives up if its week is out.
+5. Tables may gain columns (a new category): earlier weeks have NULL there.
 
 Deep dives are published by the same commit (the reference wrote them before
 its gate, deviation V6). The run owns its staged tables and deletes them at the end.
@@ -25,11 +27,12 @@ import datetime as dt
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.composite import append_newer
 from tidemark.plans import feeds as fd
+from tidemark.plans import manifest as mf
 from tidemark.sources.tables import BASE_YEAR, SINCE, Tables
 
 # Tables whose published dates are kept, and their date column.
@@ -59,15 +62,9 @@ class NotReady(RuntimeError):
     """A feed lacks the analysis week or the week before; nothing published."""
 
 
-def _has(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def last_week(spark: SparkSession, out_dir: str) -> dt.date | None:
     """The newest committed analysis week, None before the first run."""
-    manifest = os.path.join(out_dir, "_published")
-    return spark.read.parquet(manifest).agg(F.max("analysis_week")).first()[0] if _has(spark, manifest) else None
+    return max((r["analysis_week"] for r in mf.committed(spark, out_dir)), default=None)
 
 
 def next_week(spark: SparkSession, sf_dir: str, out_dir: str, **options) -> dt.date:
@@ -82,30 +79,43 @@ def newest_week(spark: SparkSession, sf_dir: str, **options) -> dt.date:
 
 def publish(spark: SparkSession, sf_dir: str, out_dir: str, run_id: str | None = None,
             catalog_db: str | None = None, week: dt.date | None = None,
-            base_year: int = BASE_YEAR, since: dt.date = SINCE) -> str:
+            base_year: int = BASE_YEAR, since: dt.date = SINCE, increments: str | None = None, attempts: int = 3) -> str:
     """One weekly run for ``week`` (default: ``next_week``); ``catalog_db`` reads the
-    bucketed layout where present."""
-    from tidemark.plans.q_composite import feed_status
+    bucketed layout where present, ``increments`` keeps day aggregates per input file."""
     run_id = run_id or uuid.uuid4().hex
-    week = week or next_week(spark, sf_dir, out_dir, catalog_db=catalog_db)
-    before = last_week(spark, out_dir)
-    t = Tables(spark, sf_dir, catalog_db=catalog_db, base_year=base_year, since=since, week=week, own_stages=True)
-    try:
-        if not feed_status(t).where(~F.col("present")).isEmpty():
-            raise NotReady(f"feeds missing {week} or the week before")
-        for name, build in _tables().items():
-            df = build(t)
-            if name in HISTORIES and before is not None:
-                kept = read_published(spark, out_dir, name).where(F.col("analysis_week") == F.lit(before)).drop("analysis_week")
-                df = append_newer(kept, df, HISTORIES[name], F.lit(week))
-            (df.withColumn("analysis_week", F.lit(week)).write.mode("overwrite").partitionBy("analysis_week")
-             .parquet(os.path.join(out_dir, name, f"run_id={run_id}")))
-        (spark.range(1).select(F.lit(week).alias("analysis_week"), F.lit(run_id).alias("run_id"),
-                               F.current_timestamp().alias("committed_at"))
-         .write.mode("append").parquet(os.path.join(out_dir, "_published")))
-    finally:
-        t.release()
-    return run_id
+    for left in range(attempts - 1, -1, -1):
+        runs = mf.committed(spark, out_dir)
+        due = week or next_week(spark, sf_dir, out_dir, catalog_db=catalog_db)
+        t = Tables(spark, sf_dir, catalog_db=catalog_db, base_year=base_year, since=since, week=due, own_stages=True,
+                   increments=increments)
+        try:
+            schemas = _write(spark, t, out_dir, due, run_id, runs)
+            mf.commit(spark, out_dir, due, run_id, schemas, runs[-1]["version"] + 1 if runs else 1)
+            return run_id
+        except mf.Conflict:     # the histories go on from a state that is not the last any more
+            for name in _tables():
+                mf.delete(spark, os.path.join(out_dir, name, f"run_id={run_id}"))
+            others = [r["run_id"] for r in mf.committed(spark, out_dir)[len(runs):] if r["analysis_week"] == due]
+            if others or not left:
+                raise
+        finally:
+            t.release()
+    raise AssertionError("not reached")
+
+
+def _write(spark: SparkSession, t: Tables, out_dir: str, week: dt.date, run_id: str, runs: list) -> dict:
+    """Check the feeds, then write every table of the run; their schemas."""
+    from tidemark.plans.q_composite import feed_status
+    before = max((r["analysis_week"] for r in runs), default=None)
+    if not feed_status(t).where(~F.col("present")).isEmpty():
+        raise NotReady(f"feeds missing {week} or the week before")
+    tables = {}
+    for name, build in _tables().items():
+        tables[name] = build(t)
+        if name in HISTORIES and before is not None:
+            kept = read_published(spark, out_dir, name).where(F.col("analysis_week") == F.lit(before)).drop("analysis_week")
+            tables[name] = append_newer(kept, tables[name], HISTORIES[name], F.lit(week))
+    return mf.write_run(out_dir, week, run_id, tables, runs)
 
 
 def publish_due(spark: SparkSession, sf_dir: str, out_dir: str, **options) -> list[str]:
@@ -118,24 +128,18 @@ def publish_due(spark: SparkSession, sf_dir: str, out_dir: str, **options) -> li
 
 
 def read_published(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    """The latest committed run of each analysis week, for one table."""
-    man = spark.read.parquet(os.path.join(out_dir, "_published"))
-    latest = (man.withColumn("_r", F.row_number().over(
-        Window.partitionBy("analysis_week").orderBy(F.col("committed_at").desc(), F.col("run_id").desc())))
-        .where(F.col("_r") == 1).select("analysis_week", "run_id"))
-    data = spark.read.parquet(os.path.join(out_dir, table))
-    # joining on the partition columns lets Spark prune the folders of uncommitted runs
-    return data.join(latest, ["analysis_week", "run_id"]).drop("run_id")
+    """The latest committed run of each analysis week, for one table, with the columns of all its runs."""
+    return mf.read_table(spark, out_dir, table)
 
 
 def main(argv=None) -> None:
-    """``python -m tidemark.plans.publish <tables dir> <output dir> [catalog db] [base year] [first date]``:
+    """``python -m tidemark.plans.publish <tables dir> <output dir> [catalog db] [base year] [first date] [increments dir]``:
     every weekly run that is due, on the cluster that spark-submit names."""
     import sys
     from tidemark.session import SCALE_CONF
     args = list(sys.argv[1:] if argv is None else argv)
-    if not 2 <= len(args) <= 5:
-        raise SystemExit("usage: python -m tidemark.plans.publish <tables dir> <output dir> [catalog db] [base year] [first date]")
+    if not 2 <= len(args) <= 6:
+        raise SystemExit("usage: python -m tidemark.plans.publish <tables dir> <output dir> [catalog db] [base year] [first date] [increments dir]")
     spark = SparkSession.getActiveSession()
     if spark is None:  # the master and all sizes are those of the submission
         builder = SparkSession.builder.appName("tidemark-publish")
@@ -147,6 +151,8 @@ def main(argv=None) -> None:
         options["base_year"] = int(args[3])
     if len(args) > 4:
         options["since"] = dt.date.fromisoformat(args[4])
+    if len(args) > 5:
+        options["increments"] = args[5]
     print("\n".join(publish_due(spark, args[0], args[1], **options)))
 
 
