@@ -31,7 +31,7 @@ def query(name: str, sql: str | None):
 
 def _load():
     # Importing the modules registers their queries.
-    from tidemark.plans import q_index, q_composite, q_series, q_misc  # noqa: F401
+    from tidemark.plans import q_index, q_composite, q_series, q_misc, q_sources  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

@@ -10,10 +10,12 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import scratch_path
+
 # Compact type codes of the reference's CSV reads, one letter per column.
 TYPE_CODES = {
     "i": T.IntegerType(), "d": T.DoubleType(), "D": T.DateType(), "c": T.StringType(),
@@ -40,6 +42,35 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str, m
             .csv(path))
 
 
+class TooManyRejects(ValueError):
+    """More rows than allowed do not fit the declared schema."""
+
+
+REJECTED = "_rejected"
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType, rejects: str, max_rejects: int,
+                          multi_line: bool = False) -> tuple[DataFrame, int]:
+    """A landed CSV with a declared schema and the number of rows that do not fit it.
+
+    Every row is parsed once, whatever columns are used later, and written to the shared folder;
+    the rows that fit come from there. The others go to ``rejects`` (Parquet: file, raw line). More than
+    ``max_rejects`` of them raise ``TooManyRejects``: the reject table is there, no row comes back."""
+    parsed = (spark.read.schema(T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())]))
+              .option("header", True).option("multiLine", multi_line).option("nullValue", "NA").option("emptyValue", None)
+              .option("dateFormat", "yyyy-MM-dd").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED)
+              .option("columnPruning", False).csv(path))
+    counted = Observation()
+    landed = scratch_path(spark, "landed")
+    (parsed.withColumn("_file", F.col("_metadata.file_path")).observe(counted, F.count(REJECTED).alias("n"))
+     .write.parquet(landed))
+    rows, n = spark.read.parquet(landed), counted.get["n"]
+    rows.where(F.col(REJECTED).isNotNull()).select(F.col("_file").alias("file"), F.col(REJECTED).alias("line")).write.mode("overwrite").parquet(rejects)
+    if n > max_rejects:
+        raise TooManyRejects(f"{n} rows of {path} do not fit the schema, {max_rejects} are allowed; see {rejects}")
+    return rows.where(F.col(REJECTED).isNull()).drop(REJECTED, "_file"), n
+
+
 def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Every column as text (portal CSVs); cast later with ``try_cast``."""
     return (spark.read.option("header", True).option("multiLine", multi_line)
