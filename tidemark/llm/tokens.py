@@ -127,7 +127,7 @@ class Counter:
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True  # special strings are cut out here
         self.library = Tokenizer.from_file(path)
-        self.odd = regex.compile(f"[{regex.escape(odd)}]" if odd else r"(?!)").search
+        self.odd = frozenset(odd)
         self.whole = whole
         with open(path, encoding="utf-8") as f:
             self.strings = sorted((t["content"] for t in json.load(f)["added_tokens"]), key=len, reverse=True)
@@ -150,7 +150,7 @@ class Counter:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        if not text.isascii() and self.odd(text):
+        if not text.isascii() and not self.odd.isdisjoint(text):
             return len(self.library.encode(text, add_special_tokens=False).ids)
         if not any(s in text for s in self.strings):
             return self.plain(text)
