@@ -103,7 +103,7 @@ def test_language_accuracy_spans_and_edges(spark, edge, empty):
     one = {r.lang: r.text for r in docs.where(language.held_out() & F.length("text").between(600, 900)).collect()}
     mixed = spark.createDataFrame([(1, one["fr"] + "\n" + one["de"])], "doc_id long, text string")
     found = language.identify(mixed, model, ["doc_id"], spans=True).first().spans
-    assert [s.lang for s in found] == ["fr", "de"] and abs(found[0].end - len(one["fr"].split())) <= 3
+    assert [s.lang for s in found] == ["fr", "de"] and abs(found[0].end - len(one["fr"])) <= 20
     rows = language.identify(edge, model, edge.columns[:2]).collect()
     assert len(rows) == edge.count()
     assert all((r.lang_pred, r.score) == ("und", 0.0) for r in rows if r.doc_id in (0, 1, 2, 8))
@@ -112,6 +112,30 @@ def test_language_accuracy_spans_and_edges(spark, edge, empty):
     assert language.keep_identified(edge, model).columns == edge.columns
 
 
+def test_words_end_at_punctuation_and_scripts():
+    assert language.words_of("L'été/the-end, x2y Привет東京タワーです") == ["l'été", "the", "end", "x", "y", "привет", "東京", "タワーで", "す"]
+    assert language.words_of("a" * 100) == ["a" * 64, "a" * 36] and language.words_of("12 !? __") == [] == language.words_of(None)
+    text = "".join(map(chr, range(0x20, 0x3000)))
+    assert [c for w in language.words_of(text) for c in w if c.isalpha()] == [c for c in text.lower() if c.isalpha()]
+
+
+def test_spans_part_texts_without_spaces(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    model = language.fit(docs.where(~language.held_out()))
+    one = {r.lang: r.text for r in docs.where(language.held_out() & F.length("text").between(600, 900)).collect()}
+    joined = ["/".join(one[lang].split()) for lang in ("en", "fr")]
+    mixed = spark.createDataFrame([(1, "İ" + "/".join(joined)), (2, ",".join(joined))], "doc_id long, text string")
+    for row in language.identify(mixed, model, ["doc_id", "text"], spans=True).collect():
+        assert [s.lang for s in row.spans] == ["en", "fr"] and abs(row.spans[0].end - len(joined[0])) <= 20
+        assert row.spans[1].end - len(row.text.rstrip(".!?,;")) in (0, -1) and 0.3 < row.score < 0.7
+
+
+def test_languages_are_bounded(spark):
+    rows = [(i, "hello how are you today", f"junk{i}") for i in range(30)] + [(100 + i, "guten tag wie geht es", "de") for i in range(3)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_langs=5)
+    assert model.langs == ["de", "junk0", "junk1", "junk10", "junk11"]
+
+
 def test_scripts_narrow_the_languages(spark):
     words = {"ru": "привет как дела сегодня хорошо", "en": "hello how are you today fine", "el": "καλημέρα τι κάνεις σήμερα"}
     train = spark.createDataFrame([(i, w * 3, lang) for i, (lang, w) in enumerate(words.items())], "doc_id long, text string, lang string")

@@ -1,6 +1,11 @@
 """Language identification: script ranges, per-word scores, Viterbi over the words of a text.
 
-Fitted on at most about ``MAX_TRAIN`` documents chosen by a hash of the id: counts of hashed
+A word is a run of letters of one script (with the marks and apostrophes inside it), so
+punctuation, digits and a change of script end it; scripts written without spaces are cut
+into pieces of ``PIECE`` letters, very long runs into pieces of ``LONGEST``.
+
+Fitted on at most about ``MAX_TRAIN`` documents chosen by a hash of id and text, in at most
+``MAX_LANGS`` languages (those of most documents there; ties by name): counts of hashed
 character n-grams per language (``DIM`` x languages numbers) and of the scripts that each
 language is written in. A word's script narrows the languages; its score in each is the
 clipped log posterior of its n-grams. Viterbi with a switching penalty labels every word,
@@ -8,15 +13,20 @@ so a text of several languages falls into spans; the prediction is the language
 most letters and ``score`` its share of them.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0; without any
-training text everything is ``und``; ties between languages go to the first by name; words
-without letters belong to the span around them; equal rows get equal rows. Only the id,
+training text everything is ``und``; ties between languages go to the first by name; what
+is no letter belongs to no span; equal rows get equal rows. Only the id,
 text and (for learning) language columns are read.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +37,7 @@ from tidemark.llm.common import crc_mod, fresh_name, rows_kept, table
 from tidemark.llm.shingles import chunked, mix64
 
 NAME = "op7_language_id"
-MAX_TRAIN = 20_000
+MAX_TRAIN, MAX_LANGS = 20_000, 200
 DIM, GRAMS = 1 << 15, 5
 CLIP, PENALTY, SMOOTHING = 6.0, 8.0, 0.5
 RARE_SCRIPT = 0.002  # a script that holds less of a language's letters than this is not one of its own
@@ -39,6 +49,8 @@ SCRIPTS = ((0x41, 0x24F, "latin"), (0x370, 0x3FF, "greek"), (0x400, 0x52F, "cyri
            (0xB80, 0xBFF, "tamil"), (0xE00, 0xE7F, "thai"), (0x10A0, 0x10FF, "georgian"), (0x3040, 0x30FF, "kana"),
            (0x4E00, 0x9FFF, "han"), (0xAC00, 0xD7AF, "hangul"), (0x1E00, 0x1EFF, "latin"))
 NAMES = sorted({s[2] for s in SCRIPTS} | {"other"})
+UNSPACED = ("han", "kana", "thai")
+PIECE, LONGEST = 4, 64
 
 
 def script_of(letter: str) -> int:
@@ -49,6 +61,41 @@ def script_of(letter: str) -> int:
     return NAMES.index("other")
 
 
+def _class(codes: Iterator[int]) -> str:
+    """Code points as the inside of a pattern's class."""
+    ranges: list[list[int]] = []
+    for code in codes:
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+@cache
+def _word_pattern() -> re.Pattern:
+    inside = _class(c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Mn", "Mc")) + "'\u2019"
+    kinds, known = [], ""
+    for name in dict.fromkeys(s[2] for s in SCRIPTS):
+        letters = _class(c for first, last, of in SCRIPTS if of == name for c in range(first, last + 1) if chr(c).isalpha())
+        kinds.append(f"[{letters}][{letters}{inside}]{{0,{(PIECE if name in UNSPACED else LONGEST) - 1}}}")
+        known += letters
+    other = f"(?![{known}])[^\\W\\d_]"
+    return re.compile("|".join([*kinds, f"{other}(?:{other}|[{inside}]){{0,{LONGEST - 1}}}"]))
+
+
+def words_of(text: str | None) -> list[str]:
+    return _word_pattern().findall(text.lower()) if text else []
+
+
+def chunks_of(text: str | None) -> list[str]:
+    """What white space parts, long ones cut into their words; no word goes over its end."""
+    chunks = text.lower().split() if text else []
+    if chunks and max(map(len, chunks)) > LONGEST:
+        chunks = [w for c in chunks for w in ([c] if len(c) <= LONGEST else words_of(c))]
+    return chunks
+
+
 def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the 1- to 5-grams of every word's bytes, marked at both ends, and each word's number of them."""
     marked = [b"<" + w.encode() + b">" for w in words]
@@ -79,11 +126,11 @@ def training_counts(docs: DataFrame) -> DataFrame:
         words: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                words.setdefault(lang, Counter()).update(text.lower().split())
+                words.setdefault(lang, Counter()).update(chunks_of(text))
         for lang, counted in words.items():
             n, spelled, times = Counter(), [], []
-            for word, k in counted.items():
-                if word := letters_of(word):
+            for chunk, k in counted.items():
+                for word in filter(None, map(letters_of, words_of(chunk))):
                     n[-1 - script_of(word[0])] += k * len(word)
                     spelled.append(word)
                     times.append(k)
@@ -130,7 +177,7 @@ class Model:
 
 
 class Words(dict):
-    """Row numbers of the words met so far in a table of their scores."""
+    """For each chunk met so far, the row numbers of its words in a table of their scores."""
 
     def __init__(self, model: Model):
         super().__init__()
@@ -142,15 +189,22 @@ class Words(dict):
         if len(self) > CACHE_WORDS:
             self.clear()
             self.scores, self.letters = self.scores[:0], self.letters[:0]
-        words = [t.lower().split() if t else [] for t in texts]
-        flat = [w for ws in words for w in ws]
-        new = list(set(flat).difference(self))
-        found = [self.model.scores(new[k:k + BLOCK]) for k in range(0, len(new), BLOCK)]
-        self.update(zip(new, range(len(self), len(self) + len(new))))
-        self.scores = np.concatenate([self.scores, *(f[0] for f in found)])
-        self.letters = np.concatenate([self.letters, *(f[1] for f in found)])
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        return np.fromiter(map(self.__getitem__, flat), np.int64, len(flat)), sizes, self.scores, self.letters
+        chunks = list(map(chunks_of, texts))
+        flat = list(chain.from_iterable(chunks))
+        new, words = list(set(flat).difference(self)), []
+        for chunk in new:
+            found = words_of(chunk)
+            first = len(self.letters) + len(words)
+            self[chunk] = range(first, first + len(found))
+            words += found
+        scored = [self.model.scores(words[k:k + BLOCK]) for k in range(0, len(words), BLOCK)]
+        self.scores = np.concatenate([self.scores, *(f[0] for f in scored)])
+        self.letters = np.concatenate([self.letters, *(f[1] for f in scored)])
+        runs = list(map(self.__getitem__, flat))
+        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+        owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        sizes = np.bincount(owner, weights=lengths, minlength=len(texts)).astype(np.int64)
+        return np.fromiter(chain.from_iterable(runs), np.int64, int(lengths.sum())), sizes, self.scores, self.letters
 
 
 def viterbi(rows: np.ndarray, sizes: np.ndarray, scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
@@ -183,17 +237,25 @@ def viterbi(rows: np.ndarray, sizes: np.ndarray, scores: np.ndarray, penalty: fl
     return labels
 
 
-def _spans(labels: np.ndarray, langs: list[str]) -> list[dict]:
+def _spans(text: str | None, labels: np.ndarray, langs: list[str]) -> list[dict]:
+    """Runs of words of one label, by code points of the text."""
     if not len(labels):
         return []
+    # places in the lower-cased text; a few letters grow by that
+    low = text.lower()
+    at = None if len(low) == len(text) else np.repeat(np.arange(len(text)), [len(c.lower()) for c in text])
+    places = np.array([m.span() for m in _word_pattern().finditer(low)])
+    first, last = places[:, 0], places[:, 1] - 1
+    if at is not None:
+        first, last = at[first], at[last]
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(labels)) + 1, [len(labels)]])
-    return [{"start": int(a), "end": int(b), "lang": langs[labels[a]]} for a, b in zip(cuts[:-1], cuts[1:])]
+    return [{"start": int(first[a]), "end": int(last[b - 1]) + 1, "lang": langs[labels[a]]} for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", spans: bool = False) -> DataFrame:
     """``docs`` with lang_pred and score; ``keep`` names the columns to carry.
 
-    ``spans`` adds the runs of words of one language: (start, end, lang).
+    ``spans`` adds the runs of words of one language: (start, end, lang), places by code points of the text.
     """
     hidden = fresh_name(keep, "_text")
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
@@ -227,18 +289,20 @@ def _judge(texts: list[str | None], model: Model, words: Words, spans: bool):
     pred = [model.langs[k] if t > 0 else "und" for k, t in zip(top, total)]
     score = np.where(total > 0, held.max(axis=1) / np.maximum(total, 1), 0.0)
     ends = np.cumsum(sizes)
-    runs = [_spans(labels[e - s:e], model.langs) for s, e in zip(sizes, ends)] if spans else None
+    runs = [_spans(t, labels[e - s:e], model.langs) for t, s, e in zip(texts, sizes, ends)] if spans else None
     return pred, score, runs
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        max_train: int = MAX_TRAIN) -> Model:
-    """Model of about ``max_train`` of ``docs`` with a text and a language."""
+        max_train: int = MAX_TRAIN, max_langs: int = MAX_LANGS) -> Model:
+    """Model of about ``max_train`` of ``docs`` with a text and a language, in ``max_langs`` languages at most."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     docs = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    n = docs.select("doc_id").count()
-    share = min(1.0, max_train / max(1, n))
-    docs = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
+    share = min(1.0, max_train / max(1, docs.select("doc_id").count()))
+    docs = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share * (1 << 20))
+    common = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs + 1).collect()
+    if len(common) > max_langs:
+        docs = docs.filter(F.col("lang").isin([r["lang"] for r in common[:max_langs]]))
     return Model.of(training_counts(docs).collect())
 
 
