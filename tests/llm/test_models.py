@@ -230,3 +230,36 @@ def test_url_rules_and_method(spark):
     assert urls.judge(pages.limit(0)).count() == 0
     assert {r.verdict for r in urls.judge(pages.where("url LIKE 'http://%.example.org/%'")).collect()} == {"allow"}
     assert {r.verdict for r in urls.judge(pages.where("url LIKE '%.net/es/%' OR url LIKE '%.org/%'")).collect()} == {"block"}
+
+
+def test_url_trees_agree_on_held_out_urls(spark):
+    pages = spark.read.parquet(f"{SF01.replace('0.01', '0.1')}/pages.parquet").select("page_id", "url")
+    out = urls.judge(pages, learn=F.crc32(F.col("url").cast("binary")) % 5 != 0)
+    rows = out.join(pages, "page_id").where("rule IS NOT NULL").where(F.crc32(F.col("url").cast("binary")) % 5 == 0).collect()
+    assert len(rows) > 200
+    assert sum((r.block_score >= 0.5) == (r.verdict == "block") for r in rows) >= 0.9 * len(rows)
+
+
+def test_url_trees_with_one_blocked_url_and_a_hot_site(spark):
+    many = spark.range(20_000).select(F.col("id").alias("page_id"), F.when(F.col("id") == 77, "http://a.net/es/1?x=1&y=2").when(
+        F.col("id") % 3 == 0, "http://hot.com/same").otherwise(F.concat(F.lit("https://s"), F.col("id") % 900, F.lit(".com/p"), "id")).alias("url"))
+    many = many.unionByName(spark.createDataFrame([(-1, "http://b.net/de/2?x=3&y=4"), (-2, "https://t.org/page")], "page_id long, url string"))
+    out = urls.judge(many, max_train=400)
+    assert out.count() == 20_002
+    scores = out.where("page_id < 0 OR page_id IN (0, 1, 77)").select("page_id", "block_score").collect()
+    assert len({round(r.block_score, 9) for r in scores}) > 1  # trees, not the share of blocked rows
+    score = {r.page_id: r.block_score for r in scores}
+    assert score[77] > score[0] and score[77] > score[1]
+
+
+def test_url_statistics_leave_out_the_row_s_own_fold(spark):
+    rows = [(i, f"http://x.com/{i % 7}", float(i % 2)) for i in range(40)] + [(99, "http://x.com/z", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, label double").withColumn("site", F.lit("x.com")).withColumn(
+        "suffix", F.lit("com")).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(urls.FOLDS)).cast("int")).withColumn("section", F.lit(5).cast("long"))
+    for rows_of_table in (41, 10 ** 9):  # the site is hot, or it is not
+        got = urls.with_statistics(pages, urls.site_statistics(pages), urls.section_statistics(pages), rows_of_table, 0.5).collect()
+        assert len(got) == 41
+        for r in got:
+            others = [x for x in got if x.label is not None and (r.label is None or x.fold != r.fold)]
+            rate = (sum(x.label for x in others) + urls.SMOOTHING * 0.5) / (len(others) + urls.SMOOTHING)
+            assert all(math.isclose(x, rate) for x in (r.site_rate, r.suffix_rate, r.section_rate)) and math.isclose(r.site_count, math.log1p(len(others)))
