@@ -53,3 +53,28 @@ def test_baseline_wrap_golden(spark):
     df = spark.createDataFrame([(sats[w], vals[w]) for w in sats], "week_end date, n long")
     b = {r.iso_week: r.base for r in centred_circular(df, 2019).collect()}
     assert b[1] == 10110.0
+
+
+def test_landed_baselines_golden(spark, tmp_path):
+    import pytest
+    from tidemark.operators.baseline import landed_baseline
+    from tidemark.sources.csv_io import read_typed_csv, schema_from_codes
+    # the claims file: dates on real weeks, a week 53 without a date, blank lines
+    path = tmp_path / "claims.csv"
+    path.write_text("date_2019,isoweek,total,avg\n2019-01-05,1,16110,10110\n2019-12-28,52,5920,9063.333333\n,53,,11155\n" + ",,,\n" * 107)
+    claims = read_typed_csv(spark, str(path), schema_from_codes(["date_2019", "isoweek", "total", "avg"], "Diid"))
+    assert sorted(map(tuple, landed_baseline(claims, "isoweek", "avg").collect())) == [(1, 10110.0), (52, 9063.333333), (53, 11155.0)]
+    assert {r.iso_week: r.base for r in landed_baseline(claims.where("isoweek < 53"), "isoweek", "avg").collect()}[53] == (9063.333333 + 10110) / 2
+    # the area file (byte order mark): the city's week 53 is stated, the areas' follow the rule
+    path = tmp_path / "areas.csv"
+    path.write_text("\ufeffisoweek,city,man,bk,qn\n1,249.6666667,115.3,78.7,40\n52,271.75,138,86.7,43.7\n53,224.5,,,\n")
+    areas = read_typed_csv(spark, str(path), schema_from_codes(["isoweek", "city", "man", "bk", "qn"], "idddd"))
+    got = {(r.area, r.iso_week): r.base for r in landed_baseline(areas, "isoweek", {c: c for c in ("city", "man", "bk", "qn")}).collect()}
+    assert len(got) == 12
+    for area, base in {"city": 224.5, "man": 126.65, "bk": 82.7, "qn": 41.85}.items():
+        assert math.isclose(got[area, 53], base, rel_tol=1e-12)
+    # the same week twice is one week, unless the values differ
+    assert landed_baseline(claims.unionByName(claims), "isoweek", "avg").count() == 3
+    assert landed_baseline(claims.limit(0), "isoweek", "avg").count() == 0
+    with pytest.raises(Exception, match="baseline week 1 has two values"):
+        landed_baseline(claims.unionByName(claims.withColumn("avg", F.lit(1.0))), "isoweek", "avg").orderBy("iso_week").collect()

@@ -157,3 +157,22 @@ def test_stream_rule_is_the_batch_rule(spark):
         start_history_append(spark, landing, history, schema, upto=day("2022-01-29")).awaitTermination()
         got = sorted((r.date.isoformat(), r.v) for r in spark.read.parquet(history).collect())
         assert got == [("2022-01-08", 1.0), ("2022-01-22", 2.0), ("2022-01-29", 3.0)]
+
+
+def test_readiness_is_measured_by_the_writes(spark):
+    from tidemark.plans import feeds as fd
+    from tidemark.plans import q_composite as qc
+    from tidemark.sources.tables import Tables
+    t = Tables(spark, SF01, own_stages=True)
+    try:
+        got = qc.feed_status(t)
+        scans = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "index#" not in scans and all(t.dates_written(f"feed_{n}") for n in qc._FEEDS)
+        for name, (_, date) in qc._FEEDS.items():  # as a scan of the feed would have it
+            rows = getattr(fd, name)(t).where(F.col("index").isNotNull()).select(date).distinct().collect()
+            assert sorted(r[0] for r in rows) == t.dates_written(f"feed_{name}")
+        # a table without rows has no dates
+        assert t.stage("none", lambda: t.orders.limit(0), ["orders"], watch=("o_orderdate", "o_orderkey")).count() == 0
+        assert t.dates_written("none") == [] and t.dates_written("other") is None
+    finally:
+        t.release()

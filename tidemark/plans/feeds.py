@@ -134,7 +134,7 @@ def weekly_quantity(t: Tables) -> DataFrame:
 
 def home_sales(t: Tables) -> DataFrame:
     """D6 feed: weekly orders / base-year baseline * 100, capped; one row per week. Staged once per run."""
-    return t.stage("feed_home_sales", lambda: _home_sales(t), ["orders"])
+    return t.stage("feed_home_sales", lambda: _home_sales(t), ["orders"], watch=("week_end", "index"))
 
 
 def _home_sales(t: Tables) -> DataFrame:
@@ -151,7 +151,7 @@ def _home_sales(t: Tables) -> DataFrame:
 
 def claims(t: Tables) -> DataFrame:
     """D3 feed: weekly returned lines against their baseline, inverse ratio; one row per week. Staged once per run."""
-    return t.stage("feed_claims", lambda: _claims(t), ["lineitem"])
+    return t.stage("feed_claims", lambda: _claims(t), ["lineitem"], watch=("week_end", "index"))
 
 
 def _claims(t: Tables) -> DataFrame:
@@ -169,7 +169,7 @@ def _claims(t: Tables) -> DataFrame:
 
 def rentals(t: Tables) -> DataFrame:
     """D4 feed: weekly shipped quantity against the monthly seasonal model; one row per week. Staged once per run."""
-    return t.stage("feed_rentals", lambda: _rentals(t), ["lineitem", "orders"])
+    return t.stage("feed_rentals", lambda: _rentals(t), ["lineitem", "orders"], watch=("week_end", "index"))
 
 
 def _rentals(t: Tables) -> DataFrame:
@@ -191,7 +191,7 @@ def _rentals(t: Tables) -> DataFrame:
 
 def hospital(t: Tables) -> DataFrame:
     """D5 feed: daily urgent orders, 7-row mean, log-damped; one row per day. Staged once per run."""
-    return t.stage("feed_hospital", lambda: _hospital(t), ["orders"])
+    return t.stage("feed_hospital", lambda: _hospital(t), ["orders"], watch=("d", "index"))
 
 
 def _hospital(t: Tables) -> DataFrame:
@@ -209,7 +209,7 @@ def _hospital(t: Tables) -> DataFrame:
 
 def subway(t: Tables) -> DataFrame:
     """D2 feed: daily revenue relative to the base year's same weekday, 7-row mean; one row per day. Staged once per run."""
-    return t.stage("feed_subway", lambda: _subway(t), ["orders"])
+    return t.stage("feed_subway", lambda: _subway(t), ["orders"], watch=("d", "index"))
 
 
 def _subway(t: Tables) -> DataFrame:
@@ -243,7 +243,7 @@ def yoy_daily(t: Tables) -> DataFrame:
 
 def restaurants(t: Tables) -> DataFrame:
     """D1 feed: 7-row mean of the daily YoY percent change + 100; one row per day. Staged once per run."""
-    return t.stage("feed_restaurants", lambda: _restaurants(t), ["orders"])
+    return t.stage("feed_restaurants", lambda: _restaurants(t), ["orders"], watch=("d", "index"))
 
 
 def _restaurants(t: Tables) -> DataFrame:

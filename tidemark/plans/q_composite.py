@@ -102,15 +102,16 @@ S.CTES["feed_st"] = ("SELECT e.feed, e.date AS week, a.feed IS NOT NULL AS prese
 @query("feed_status", W("SELECT feed, week, present, (SELECT bool_and(present) FROM feed_st) AS run_ready, "
                         "(SELECT bool_or(NOT present) FROM feed_st) AS any_missing FROM feed_st"))
 def feed_status(t):
-    """Does every feed have the analysis week and the week before?"""
-    frames = {
-        "hospital": fd.hospital(t).select(F.col("d").alias("date"), F.col("index").alias("value")),
-        "claims": fd.claims(t).select(F.col("week_end").alias("date"), F.col("index").alias("value")),
-        "home_sales": fd.home_sales(t).select(F.col("week_end").alias("date"), F.col("index").alias("value")),
-        "rentals": fd.rentals(t).select(F.col("week_end").alias("date"), F.col("index").alias("value")),
-        "subway": fd.subway(t).select(F.col("d").alias("date"), F.col("index").alias("value")),
-        "restaurants": fd.restaurants(t).select(F.col("d").alias("date"), F.col("index").alias("value")),
-    }
+    """Does every feed have the analysis week and the week before? The feeds note
+    their dates as they are written, so none is read for it."""
+    frames = {}
+    for name, (_, date) in _FEEDS.items():
+        feed = getattr(fd, name)(t).select(F.col(date).alias("date"), F.col("index").alias("value"))
+        written = t.dates_written(f"feed_{name}")
+        if written is not None:
+            days = F.split(F.lit(",".join(map(str, written))), ",")
+            feed = t.spark.range(0, 1, 1, 1).select(F.explode(days).try_cast("date").alias("date"), F.lit(1.0).alias("value"))
+        frames[name] = feed
     a = fd.asof(t)
     weeks = a.select(F.col("asof").alias("date")).unionByName(a.select(F.date_sub("asof", 7).alias("date")))
     return cp.readiness(frames, weeks)

@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.baseline import centred_circular, join_baseline, landed_baseline, with_stated
 from tidemark.operators.ranges import rollmean_ranged as _ranged
 from tidemark.plans import feeds as fd
 from tidemark.plans import manifest as mf
@@ -111,6 +112,41 @@ def typed_scan_rejects(t):
     return good.withColumn("status", F.lit("ok")).unionByName(bad, allowMissingColumns=True)
 
 
+# --- W6: landed baselines ---------------------------------------------------------------------
+
+S.CTES["lb_file"] = ("SELECT area, iso_week, CAST(CASE WHEN area = 'BUILDING' AND iso_week = 53 THEN 224.5 ELSE base END AS DOUBLE) AS base "
+                     "FROM (SELECT 'BUILDING' AS area, * FROM bw UNION ALL SELECT 'MACHINERY', iso_week, base FROM bw)")
+
+
+@query("baseline_landed", W(
+    "SELECT f.area, wk.week_end, wk.n, f.iso_week, f.base FROM wk JOIN lb_file f ON f.iso_week = " + S.isoweek("wk.week_end")))
+def baseline_landed(t):
+    """The weekly baseline landed as a file with a column per area and blank lines at its end. One
+    area states a week 53 of its own, which stands; the other's has none and follows the rule."""
+    wk = fd.weekly_orders(t)
+    base = centred_circular(wk, t.base_year).select(F.col("iso_week").alias("isoweek"), F.col("base").alias("a_avg"), F.col("base").alias("b_avg"))
+    stated = F.col("isoweek") == 53
+    base = base.withColumns({"a_avg": F.when(stated, 224.5).otherwise(F.col("a_avg")), "b_avg": F.when(~stated, F.col("b_avg"))})
+    blank = t.spark.range(107).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema])
+    path = scratch_path(t.spark, "baseline")
+    csv_io.write_csv(base.unionByName(blank), path)
+    landed = csv_io.read_typed_csv(t.spark, path, csv_io.schema_from_codes(["isoweek", "a_avg", "b_avg"], "idd"))
+    areas = landed_baseline(landed, "isoweek", {"BUILDING": "a_avg", "MACHINERY": "b_avg"})
+    return join_baseline(wk, areas, "inner").select("area", "week_end", "n", "iso_week", "base")
+
+
+@query("baseline_stated", W(
+    "SELECT bw.iso_week, CAST(CASE WHEN bw.iso_week IN (7, 53) THEN 11155 ELSE bw.base END AS DOUBLE) AS base FROM bw "
+    "UNION ALL SELECT 54, CAST(11155 AS DOUBLE)"))
+def baseline_stated(t):
+    """A computed baseline with stated weeks over it; a stated NULL states nothing, a week of its own joins."""
+    computed = centred_circular(fd.weekly_orders(t), t.base_year)
+    stated = computed.where(F.col("iso_week").isin(7, 53)).select("iso_week", F.lit(11155.0).alias("base"))
+    nothing = computed.where("iso_week = 9").select("iso_week", F.lit(None).cast("double").alias("base"))
+    more = t.spark.range(1).select(F.lit(54).alias("iso_week"), F.lit(11155.0).alias("base"))
+    return with_stated(computed, stated.unionByName(nothing).unionByName(more))
+
+
 # --- D10/D16: published tables that grow ------------------------------------------------------
 
 _WEEKS = (dt.date(1996, 12, 28), dt.date(2000, 12, 30))

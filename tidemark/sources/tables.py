@@ -10,13 +10,13 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Staged tables of this driver process: (app id, session, folder, stage name,
-# input fingerprint) -> (path, relation). A weekly run that publishes many outputs scans each
+# input fingerprint) -> (path, relation, dates where watched). A weekly run that publishes many outputs scans each
 # fact table once; a changed input gives a new fingerprint and a new stage.
-_STAGED: dict[tuple, tuple[str, DataFrame]] = {}
+_STAGED: dict[tuple, tuple[str, DataFrame, list | None]] = {}
 # Parquet relations of this driver process, by (app id, session, path, fingerprint):
 # resolving a relation lists files and reads footers (~80 ms per table), so
 # queries of one run share it; changed files give a new fingerprint.
@@ -61,6 +61,7 @@ class Tables:
         self._own = own_stages
         self._cache: dict[str, DataFrame] = {}
         self._stages: dict[str, DataFrame] = {}
+        self._dates: dict[str, list[dt.date] | None] = {}
         self._memo: dict[str, DataFrame] = {}
         self._prints: dict[str, tuple] = {}
         self._locations: dict[str, str] = {}
@@ -125,9 +126,11 @@ class Tables:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
-    def stage(self, name: str, build, inputs) -> DataFrame:
+    def stage(self, name: str, build, inputs, watch: tuple[str, str] | None = None) -> DataFrame:
         """Materialise ``build()`` as parquet in the shared checkpoint folder
-        and read it back; reuse it while the inputs are unchanged.
+        and read it back; reuse it while the inputs are unchanged. ``watch`` names a date and
+        a value column of a table by days or weeks: ``dates_written`` then tells the dates with a value,
+        noted by the write itself (bounded by the calendar).
 
         Used for the day-grain aggregates that many feeds share: each fact
         table is scanned once (Catalyst prunes a different column set per
@@ -145,11 +148,21 @@ class Tables:
             hit = self._registry.get(key)
             if hit is None or not self._exists(hit[0]):
                 path = scratch_path(self.spark, name)
-                build().write.mode("overwrite").parquet(path)
-                hit = self._registry[key] = (path, self.spark.read.parquet(path))
-            self._stages[name] = hit[1]
+                rows, dates = build(), None
+                if watch:
+                    seen, (date, value) = Observation(), watch
+                    rows = rows.observe(seen, F.collect_set(F.when(F.col(value).isNotNull(), F.col(date))).alias("dates"))
+                rows.write.mode("overwrite").parquet(path)
+                if watch:
+                    dates = sorted(seen.get["dates"])
+                hit = self._registry[key] = (path, self.spark.read.parquet(path), dates)
+            self._stages[name], self._dates[name] = hit[1:]
         return self._stages[name]
 
+    def dates_written(self, name: str) -> list[dt.date] | None:
+        """The dates with a value of a watched stage; None where nothing was noted."""
+        return self._dates.get(name)
+
     def aggregate(self, name: str, keys: dict[str, Column], measures: dict[str, tuple[str, Column]]) -> DataFrame:
         """Aggregate of the named table by ``keys``; ``measures``: name -> (sum, min or max; Column).
 
@@ -167,7 +180,7 @@ class Tables:
         if not self._own:
             return
         jvm = self.spark._jvm
-        for path, _ in self._registry.values():
+        for path, *_ in self._registry.values():
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
         self._registry.clear()
