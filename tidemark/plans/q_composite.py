@@ -110,7 +110,8 @@ def feed_status(t):
         written = t.dates_written(f"feed_{name}")
         if written is not None:
             days = F.split(F.lit(",".join(map(str, written))), ",")
-            feed = t.spark.range(0, 1, 1, 1).select(F.explode(days).try_cast("date").alias("date"), F.lit(1.0).alias("value"))
+            feed = t.spark.range(0, 1, 1, 1).select(F.explode(days).alias("day"))
+            feed = feed.select(F.col("day").try_cast("date").alias("date"), F.lit(1.0).alias("value"))
         frames[name] = feed
     a = fd.asof(t)
     weeks = a.select(F.col("asof").alias("date")).unionByName(a.select(F.date_sub("asof", 7).alias("date")))
