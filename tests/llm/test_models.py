@@ -62,6 +62,34 @@ def test_language_model_is_kneser_ney(docs):
     assert math.isclose(sum(brute.pair(some, w) for w in brute.words) + unknown, 1, rel_tol=1e-9)
 
 
+def test_language_model_in_many_small_files(docs, monkeypatch):
+    """Blocks cut twice, several files a task, facts summed in two steps, few files open: the same scores."""
+    plain = {r.doc_id: r for r in lm.score(docs, lm.train(docs)).collect()}
+    for name, value in {"TOKENS_PER_FILE": 300, "WORDS_PER_FILE": 100, "WORDS_PER_RANGE": 200, "PIECE_BITS": 3, "FLUSH_TOKENS": 5000,
+                        "FILES_PER_SALT": 64, "MIN_FILES": 4, "TASK_BITS": 4, "OPEN_BYTES": 20_000}.items():
+        monkeypatch.setattr(lm, name, value)
+    model = lm.train(docs)
+    assert model.pair_files >= 128
+    got = {r.doc_id: r for r in lm.score(docs, model).collect()}
+    assert set(got) == set(plain) and all(
+        (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (r.n_tokens, r.n_known, r.train_tokens)
+        and math.isclose(got[i].score, r.score, rel_tol=1e-9) for i, r in plain.items())
+
+
+def test_language_model_files_close_beyond_their_bound(tmp_path):
+    for i in range(8):
+        lm.write_file(str(tmp_path), lm.file_name("pairs", i), np.arange(100, dtype=np.uint64) + np.uint64(i), np.full(100, i, np.uint32))
+    lm.write_file(str(tmp_path), lm.file_name("pairs", 3), np.arange(100, dtype=np.uint64) + np.uint64(3), np.full(100, 3, np.uint32))
+    files = lm.Files(str(tmp_path), limit=3 * 1200)
+    for i in [*range(8), *range(8)]:
+        keys, counts = files.columns(lm.file_name("pairs", i), np.uint64, np.uint32)
+        assert keys[0] == i and len(keys) == 100 and set(counts.tolist()) == {i}
+        assert files.size <= 3 * 1200 and len(files.held) <= 3
+    assert not files.exists(lm.file_name("pairs", 8))
+    big = np.array([1, 1 << 40])
+    assert lm.unpack_counts(lm.pack_counts(big), 2).tolist() == big.tolist()
+
+
 def test_language_model_edges(spark, edge, empty):
     model = lm.train(edge)
     rows = lm.score(edge, model).collect()

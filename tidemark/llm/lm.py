@@ -9,11 +9,19 @@ sorted hash arrays below the shared folder, cut by hash range into files of boun
 * fact files, one beside each word file: how many followers of a word occur once, twice and
   more often, and how many words it follows.
 
-Tasks count what they read in sorted blocks, send each block's slices to the task of their
-hash range, and that task merges and writes its file; no word or pair, however frequent,
-sends more than one entry per block. Only the list of files and sums over them reach the
-driver. Scoring maps the files (on a file system that cannot be mapped, a worker copies
-the files it needs to local disk first) and looks sorted batches of pairs up in them.
+Tasks count what they read in sorted blocks and send each block's slices to the task of
+their hash range, which merges them and writes its files one after the other; no word or
+pair, however frequent, sends more than one entry per block. A block is cut into at most
+2^``PIECE_BITS`` slices; where there are more files, a second pass merges the blocks of a
+slice and cuts them finer, so slices stay long. Facts are sent per range of words, and
+there are at most 2^32 / ``WORDS_PER_RANGE`` ranges, so their rows grow with the pairs.
+
+File names follow from the folder and the number of the file; a task that runs twice writes
+the same bytes. The driver and the tasks hold the first number of every word file (a
+megabyte at most) and sums, no lists of files. Scoring maps the files and looks sorted
+batches of pairs up in them; a task keeps at most ``OPEN_BYTES`` of files open. Files on a
+store that cannot be mapped are read into memory under the same bound, never copied to a
+local disk.
 
 Limit: word numbers have 32 bits; a vocabulary of 2^32 words or more raises.
 
@@ -25,7 +33,7 @@ word, so all scores are 0; counts-of-counts that are zero use the discounts 0.5,
 from __future__ import annotations
 
 import uuid
-from collections import Counter
+from collections import Counter, OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +51,11 @@ from tidemark.session import scratch_path
 NAME = "op1_lm_score"
 END, BEGIN = b"", b"\n"  # no word is either
 CACHE_WORDS, FLUSH_WORDS, FLUSH_TOKENS = 300_000, 400_000, 4_000_000
-WORDS_PER_FILE, TOKENS_PER_FILE, MIN_FILES = 1 << 15, 1 << 20, 64
+WORDS_PER_FILE, TOKENS_PER_FILE, MIN_FILES = 1 << 15, 1 << 22, 64
+PIECE_BITS = 10  # a block is cut into at most 2^10 slices at once
+TASK_BITS = 4  # a task writes up to 2^4 pair files
+WORDS_PER_RANGE, FILES_PER_SALT = 1 << 22, 4096  # facts are summed per range of words, first per so many pair files
+OPEN_BYTES = 256 << 20
 CHUNK = 8 << 20
 SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
@@ -89,52 +101,89 @@ def _slices(hashes: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(part[a]), slice(int(a), int(b))
 
 
-def write_file(folder: str, name: str, *arrays: np.ndarray) -> str:
-    """Write arrays one after the other below the shared folder; the name is new for every attempt."""
-    system, path = fs.FileSystem.from_uri(folder)
-    system.create_dir(path, recursive=True)
-    name = f"{name}-{uuid.uuid4().hex}"
-    with system.open_output_stream(f"{path}/{name}") as out:
-        for a in arrays:
-            out.write(np.ascontiguousarray(a).tobytes())
-    return f"{folder}/{name}"
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts in four bytes each, in eight where one needs them."""
+    return zstandard.compress(counts.astype(np.uint32 if not len(counts) or counts.max() >> 32 == 0 else np.uint64).tobytes(), 1)
 
 
-def map_file(uri: str) -> np.ndarray:
-    """The bytes of a file, memory-mapped; copied to this worker's disk first if it has to be."""
-    system, path = fs.FileSystem.from_uri(uri)
-    if not isinstance(system, fs.LocalFileSystem):
-        import tempfile
+def unpack_counts(data: bytes, n: int) -> np.ndarray:
+    raw = zstandard.decompress(data)
+    return np.frombuffer(raw, np.uint64 if n and len(raw) // n == 8 else np.uint32).astype(np.int64)
 
-        local = f"{tempfile.mkdtemp(prefix='lm-')}/{path.rsplit('/', 1)[-1]}"
-        fs.copy_files(path, local, source_filesystem=system, destination_filesystem=fs.LocalFileSystem())
-        path = local
-    return np.memmap(path, np.uint8, "r") if system.get_file_info(path).size else np.zeros(0, np.uint8)
 
+def file_name(kind: str, i: int) -> str:
+    """Where file ``i`` of a kind lies in the model's folder; 4096 files to a folder."""
+    return f"{kind}/{i >> 12}/{i}"
 
-def columns(uri: str, n: int, *kinds) -> list[np.ndarray]:
-    """The arrays of ``n`` entries that a file holds."""
-    raw, out, at = map_file(uri), [], 0
-    for kind in kinds:
-        size = np.dtype(kind).itemsize * n
-        out.append(raw[at:at + size].view(kind))
-        at += size
-    return out
+
+def write_file(folder: str, name: str, *arrays: np.ndarray) -> None:
+    """Write arrays one after the other below the shared folder, all or nothing."""
+    system, path = fs.FileSystem.from_uri(folder)
+    final = f"{path}/{name}"
+    system.create_dir(final.rsplit("/", 1)[0], recursive=True)
+    part = f"{final}-{uuid.uuid4().hex}"
+    with system.open_output_stream(part) as out:
+        for a in arrays:
+            out.write(np.ascontiguousarray(a).tobytes())
+    try:
+        system.move(part, final)
+    except OSError:
+        # another attempt of this task was first; its file holds the same bytes
+        if system.get_file_info(final).type == fs.FileType.NotFound:
+            raise
+        system.delete_file(part)
+
+
+class Files:
+    """Files of a model that a task has open, mapped or read; those unused for longest go beyond ``limit`` bytes."""
+
+    def __init__(self, folder: str, limit: int | None = None):
+        self.system, self.path = fs.FileSystem.from_uri(folder)
+        self.limit = OPEN_BYTES if limit is None else limit
+        self.held: OrderedDict[str, np.ndarray] = OrderedDict()
+        self.size = 0
+
+    def get(self, name: str) -> np.ndarray:
+        if name in self.held:
+            self.held.move_to_end(name)
+            return self.held[name]
+        path = f"{self.path}/{name}"
+        if isinstance(self.system, fs.LocalFileSystem):
+            got = np.memmap(path, np.uint8, "r")
+        else:
+            with self.system.open_input_file(path) as file:
+                got = np.frombuffer(file.read_buffer(), np.uint8)
+        self.held[name] = got
+        self.size += got.size
+        while self.size > self.limit and len(self.held) > 1:
+            self.size -= self.held.popitem(last=False)[1].size
+        return got
+
+    def exists(self, name: str) -> bool:
+        return name in self.held or self.system.get_file_info(f"{self.path}/{name}").type == fs.FileType.File
+
+    def columns(self, name: str, *kinds) -> list[np.ndarray]:
+        """The arrays, all of the same length, that a file holds one after the other."""
+        raw, out, at = self.get(name), [], 0
+        n = raw.size // sum(np.dtype(k).itemsize for k in kinds)
+        for kind in kinds:
+            size = np.dtype(kind).itemsize * n
+            out.append(raw[at:at + size].view(kind))
+            at += size
+        return out
 
 
 class Vocabulary:
-    """Word numbers from the word files: (uri, words, number of the first word) by hash range."""
+    """Word numbers from the word files, by hash range; ``firsts``: the first number of every file, then their total."""
 
-    def __init__(self, files: list[tuple[str, int, int]]):
-        self.files, self.bits = files, _bits(len(files))
-        self.open: dict[int, list[np.ndarray]] = {}
+    def __init__(self, folder: str, firsts: np.ndarray):
+        self.files, self.firsts, self.bits = Files(folder), firsts, _bits(len(firsts) - 1)
         self.known: dict[bytes, int] = {}
 
     def arrays(self, i: int) -> list[np.ndarray]:
-        if i not in self.open:
-            uri, n, _ = self.files[i]
-            self.open[i] = columns(uri, n, np.uint64, np.int64) if n else [np.zeros(0, np.uint64), np.zeros(0, np.int64)]
-        return self.open[i]
+        if self.firsts[i] == self.firsts[i + 1]:
+            return [np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+        return self.files.columns(file_name("words", i), np.uint64, np.int64)
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of ascending hashes, -1 for unknown ones."""
@@ -144,7 +193,7 @@ class Vocabulary:
             at = np.searchsorted(there, hashes[run])
             ok = at < len(there)
             ok[ok] = there[at[ok]] == hashes[run][ok]
-            out[run] = np.where(ok, at + self.files[i][2], -1)
+            out[run] = np.where(ok, at + self.firsts[i], -1)
         return out
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -215,12 +264,11 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """The files and the few numbers that the driver knows; shipped to every task."""
+    """Where the files lie and the few numbers that the driver knows; shipped to every task."""
 
-    def __init__(self, vocabulary, n_words, n_tokens, n_docs, pairs=(), facts=(), pair_discounts=None, word_discounts=None, n_pairs=0, spread=1.0):
-        self.vocabulary, self.n_words, self.n_tokens, self.n_docs = vocabulary, n_words, n_tokens, n_docs
-        self.pairs, self.facts = pairs, facts
-        self.pair_discounts, self.word_discounts, self.n_pairs, self.spread = pair_discounts, word_discounts, n_pairs, spread
+    def __init__(self, folder, firsts, n_words, n_tokens, n_docs, pair_files=0, pair_discounts=None, word_discounts=None, n_pairs=0, spread=1.0):
+        self.folder, self.firsts, self.n_words, self.n_tokens, self.n_docs = folder, firsts, n_words, n_tokens, n_docs
+        self.pair_files, self.pair_discounts, self.word_discounts, self.n_pairs, self.spread = pair_files, pair_discounts, word_discounts, n_pairs, spread
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -240,28 +288,45 @@ def _write_words(vocabulary: DataFrame, files: int, folder: str) -> DataFrame:
         if got:
             h, n = summed(np.concatenate([g[0] for g in got]).view(np.uint64), np.concatenate([g[1] for g in got]))
             for i, run in _slices(h, bits):
-                uri = write_file(folder, f"words-{i}", h[run], n[run])
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([uri]), pa.array([len(h[run])])], ["file", "uri", "words"])
+                write_file(folder, file_name("words", i), h[run], n[run])
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([len(h[run])])], ["file", "words"])
 
     part = F.shiftrightunsigned("h", 64 - bits).cast("int") if bits else F.lit(0)
-    return vocabulary.repartitionById(files, part).mapInArrow(run, "file int, uri string, words bigint")
+    return vocabulary.repartitionById(files, part).mapInArrow(run, "file int, words bigint")
 
 
-def _count_pairs(docs: DataFrame, vocabulary: list, files: int) -> DataFrame:
-    """(file, keys, counts): sorted blocks of pairs, cut by hash range."""
-    bits = _bits(files)
+BLOCK = "file int, keys binary, counts binary"
+
 
+def _cut(keys: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """The slices of one sorted block."""
+    rows = [(i, pack(keys[r]), pack_counts(counts[r])) for i, r in _slices(keys, bits)]
+    for k in range(0, len(rows), 256):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:k + 256]), (pa.int32(), pa.binary(), pa.binary()))],
+                                         ["file", "keys", "counts"])
+
+
+def _uncut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for b in batches:
+        for i, k, c in zip(*(b.column(x) for x in ("file", "keys", "counts"))):
+            keys = unpack(k.as_py())
+            yield i.as_py(), keys, unpack_counts(c.as_py(), len(keys))
+
+
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return summed(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+
+
+def _count_pairs(docs: DataFrame, folder: str, firsts: np.ndarray, bits: int) -> DataFrame:
+    """Sorted blocks of pairs, cut by hash range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(vocabulary)
+        words = Vocabulary(folder, firsts)
         held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            rows = [(i, pack(keys[r]), zstandard.compress(counts[r].astype(np.uint32).tobytes(), 1)) for i, r in _slices(keys, bits)]
-            for k in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:k + 256]), (pa.int32(), pa.binary(), pa.binary()))],
-                                                 ["file", "keys", "counts"])
+            yield from _cut(keys, counts, bits)
 
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -273,58 +338,119 @@ def _count_pairs(docs: DataFrame, vocabulary: list, files: int) -> DataFrame:
         if held:
             yield from flush()
 
-    return docs.mapInArrow(run, "file int, keys binary, counts binary")
+    return docs.mapInArrow(run, BLOCK)
+
+
+def _cut_finer(blocks: DataFrame, bits: int, to_bits: int, tasks: int) -> DataFrame:
+    """Blocks of each of 2^``bits`` ranges merged into long ones and cut by 2^``to_bits`` ranges."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, keys, counts in _uncut(batches):
+            held.append((keys, counts))
+            if sum(len(h[0]) for h in held) > FLUSH_TOKENS:
+                yield from _cut(*_merged(held), to_bits)
+                held.clear()
+        if held:
+            yield from _cut(*_merged(held), to_bits)
 
+    # the blocks of a range are many: they are dealt to several tasks
+    salts = max(1, tasks >> bits)
+    salt = F.pmod(F.xxhash64("keys"), F.lit(salts)).cast("int")
+    return blocks.repartitionById(salts << bits, F.col("file") * salts + salt).mapInArrow(run, BLOCK)
 
-def _write_pairs(blocks: DataFrame, files: int, folder: str, firsts: list[int]) -> DataFrame:
-    """Merge the blocks of each hash range, write its file; per file one row, and rows of facts per word file.
 
-    ``firsts``: the number of the first word of every word file.
+FACTS = "range int, kind int, ids binary, n binary, stats array<bigint>"
+TOTAL = -1  # the kind of the rows with the numbers of pairs
+
+
+def _fact_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(rows), 256):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+            zip(*rows[k:k + 256]), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())))],
+            ["range", "kind", "ids", "n", "stats"])
+
+
+def _write_pairs(blocks: DataFrame, bits: int, task_bits: int, folder: str, starts: np.ndarray) -> DataFrame:
+    """Merge the blocks of each hash range, write its file; per file its numbers of pairs, and rows of facts per word range.
+
+    ``starts``: the number of the first word of every range.
     """
     def facts(ids: np.ndarray, kind: int, n: np.ndarray) -> list[tuple]:
-        cuts = np.searchsorted(ids, firsts[1:]) if len(firsts) > 1 else []
-        out = []
-        for i, (x, y) in enumerate(zip(np.split(ids, cuts), np.split(n, cuts))):
-            if len(x):
-                out.append((i, kind, pack(x), zstandard.compress(y.astype(np.uint32).tobytes(), 1)))
-        return out
+        cuts = np.searchsorted(ids, starts[1:].astype(ids.dtype))
+        return [(i, kind, pack(x), pack_counts(y), None)
+                for i, (x, y) in enumerate(zip(np.split(ids, cuts), np.split(n, cuts))) if len(x)]
+
+    def write(i: int, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, counts = _merged(held)
+        write_file(folder, file_name("pairs", i), keys, np.minimum(counts, 0xFFFFFFFF).astype(np.uint32))
+        pair = _unmix64(keys)
+        previous, word = pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)
+        rows = [(0, TOTAL, None, None, [len(keys), *(int((counts == c).sum()) for c in (1, 2, 3, 4))])]
+        ids, n1, n2, n3 = summed(previous, *(x.astype(np.int64) for x in (counts == 1, counts == 2, counts > 2)))
+        for kind, n in enumerate((n1, n2, n3)):
+            rows += facts(ids[n > 0], kind, n[n > 0])
+        ids, n = summed(word, np.ones(len(word), np.int64))
+        yield from _fact_rows(rows + facts(ids, 3, n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(i, unpack(k), np.frombuffer(zstandard.decompress(c), np.uint32)) for b in batches
-               for i, k, c in zip(*(b.column(x).to_pylist() for x in ("file", "keys", "counts")))]
-        for i in sorted({g[0] for g in got}):
-            keys, counts = summed(np.concatenate([g[1] for g in got if g[0] == i]), np.concatenate([g[2] for g in got if g[0] == i]).astype(np.int64))
-            uri = write_file(folder, f"pairs-{i}", keys, np.minimum(counts, 0xFFFFFFFF).astype(np.uint32))
-            pair = _unmix64(keys)
-            previous, word = pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)
-            rows = [(i, -1, uri.encode(), np.array([len(keys), *((counts == c).sum() for c in (1, 2, 3, 4))], np.int64).tobytes())]
-            ids, n1, n2, n3 = summed(previous, *(x.astype(np.int64) for x in (counts == 1, counts == 2, counts > 2)))
-            for kind, n in enumerate((n1, n2, n3)):
-                rows += facts(ids[n > 0], kind, n[n > 0])
-            ids, n = summed(word, np.ones(len(word), np.int64))
-            rows += facts(ids, 3, n)
-            for k in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                    zip(*rows[k:k + 256]), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["file", "kind", "ids", "n"])
-
-    return blocks.repartitionById(files, F.col("file")).mapInArrow(run, "file int, kind int, ids binary, n binary")
-
-
-def _write_facts(rows: DataFrame, words: list[tuple[str, int, int]], folder: str) -> DataFrame:
-    """Per word file the sums of its facts (once, twice, more, follows), and how often words follow 1 to 4 others."""
+        held, at = [], -1
+        for i, keys, counts in _uncut(batches):
+            if held and i != at:
+                yield from write(at, held)
+                held = []
+            at = i
+            held.append((keys, counts))
+        if held:
+            yield from write(at, held)
+
+    return (blocks.repartitionById(1 << task_bits, F.shiftright("file", bits - task_bits))
+            .sortWithinPartitions("file").mapInArrow(run, FACTS))
+
+
+def _range_sums(batches: Iterator[pa.RecordBatch], starts: np.ndarray) -> dict[int, np.ndarray]:
+    """Per range the facts (once, twice, more, follows) of its words."""
+    sums: dict[int, np.ndarray] = {}
+    for b in batches:
+        for r, kind, ids, n in zip(*(b.column(x) for x in ("range", "kind", "ids", "n"))):
+            r, ids = r.as_py(), unpack(ids.as_py()).astype(np.int64)
+            if r not in sums:
+                sums[r] = np.zeros((4, starts[r + 1] - starts[r]), np.int64)
+            sums[r][kind.as_py(), ids - starts[r]] += unpack_counts(n.as_py(), len(ids))
+    return sums
+
+
+def _sum_facts(rows: DataFrame, starts: np.ndarray, salts: int) -> DataFrame:
+    """The facts of a range summed by several tasks, as rows of the same kind."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for i, kind, ids, n in zip(*(b.column(x).to_pylist() for x in ("file", "kind", "ids", "n"))):
-                if i not in sums:
-                    sums[i] = np.zeros((4, words[i][1]), np.int64)
-                sums[i][kind, unpack(ids).astype(np.int64) - words[i][2]] += np.frombuffer(zstandard.decompress(n), np.uint32)
-        for i, s in sums.items():
-            uri = write_file(folder, f"facts-{i}", *np.minimum(s, 0xFFFFFFFF).astype(np.uint32))
+        for r, s in _range_sums(batches, starts).items():
+            ids = [np.flatnonzero(x) for x in s]
+            yield from _fact_rows([(r, k, pack(ids[k].astype(np.uint64) + np.uint64(starts[r])), pack_counts(s[k][ids[k]]), None)
+                                   for k in range(4) if len(ids[k])])
+
+    salt = F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int")
+    return rows.repartitionById((len(starts) - 1) * salts, F.col("range") * salts + salt).mapInArrow(run, FACTS)
+
+
+def _write_facts(rows: DataFrame, starts: np.ndarray, firsts: np.ndarray, folder: str) -> DataFrame:
+    """Write the facts of every word file; per range how many words follow 1 to 4 others, and any."""
+    per_range = (len(firsts) - 1) // (len(starts) - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, s in _range_sums(batches, starts).items():
+            for i in range(r * per_range, (r + 1) * per_range):
+                if firsts[i] < firsts[i + 1]:
+                    part = s[:, firsts[i] - starts[r]:firsts[i + 1] - starts[r]]
+                    write_file(folder, file_name("facts", i), *np.minimum(part, 0xFFFFFFFF).astype(np.uint32))
             n = [int((s[3] == c).sum()) for c in (1, 2, 3, 4)] + [int((s[3] > 0).sum())]
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([uri]), pa.array([n])], ["file", "uri", "n"])
+            yield from _fact_rows([(r, TOTAL, None, None, n)])
+
+    return rows.repartitionById(len(starts) - 1, F.col("range")).mapInArrow(run, FACTS)
+
 
-    return rows.repartitionById(len(words), F.col("file")).mapInArrow(run, "file int, uri string, n array<bigint>")
+def _totals(rows: DataFrame) -> list[int]:
+    """The sums of the five numbers in the rows of kind ``TOTAL``."""
+    got = rows.filter(F.col("kind") == TOTAL).agg(*[F.coalesce(F.sum(F.col("stats")[k]), F.lit(0)).alias(f"s{k}") for k in range(5)]).first()
+    return list(got)
 
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
@@ -337,72 +463,68 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     if n_words >= 1 << 32:
         raise ValueError("word numbers have 32 bits")
     if not n_words:
-        return Model([], 0, 0, 0)
+        return Model(folder, np.zeros(1, np.int64), 0, 0, 0)
     n_docs = vocabulary.filter(F.col("h") == int(np.uint64(word_hash(END)).astype(np.int64))).first()["n"]
     # the begin has a number but is no word: no text contains it, and it counts nothing
     vocabulary = vocabulary.union(spark.range(1).select(F.lit(int(np.uint64(word_hash(BEGIN)).astype(np.int64))), F.lit(0)))
     files = 1 << _bits(max(MIN_FILES, n_words // WORDS_PER_FILE))
-    written = {r["file"]: r for r in _write_words(vocabulary, files, folder).collect()}
-    words, first = [], 0
-    for i in range(files):
-        r = written.get(i)
-        words.append((r["uri"], r["words"], first) if r else ("", 0, first))
-        first += words[-1][1]
-
-    pair_files = 1 << _bits(max(MIN_FILES, n_tokens // TOKENS_PER_FILE))
-    rows = staged(_write_pairs(_count_pairs(docs, words, pair_files), pair_files, folder, [w[2] for w in words]), "pairs")
-    pairs, sums = [("", 0)] * pair_files, np.zeros(5, np.int64)
-    for r in rows.filter("kind = -1").collect():
-        n = np.frombuffer(r["n"], np.int64)
-        pairs[r["file"]] = (bytes(r["ids"]).decode(), int(n[0]))
-        sums += n
-    facts, follows = [""] * files, np.zeros(5, np.int64)
-    for r in _write_facts(rows.filter("kind >= 0"), words, folder).collect():
-        facts[r["file"]] = r["uri"]
-        follows += r["n"]
-    by_pair, by_word = discounts(sums[1:].tolist()), discounts(follows[:4].tolist())
+    sizes = np.zeros(files, np.int64)
+    for r in _write_words(vocabulary, files, folder).collect():
+        sizes[r["file"]] = r["words"]
+    firsts = np.concatenate([[0], np.cumsum(sizes)])
+    ranges = min(files, 1 << _bits(max(MIN_FILES, n_words // WORDS_PER_RANGE)))
+    starts = firsts[::files // ranges]
+
+    bits = _bits(max(MIN_FILES, n_tokens // TOKENS_PER_FILE))
+    task_bits = max(min(bits, _bits(MIN_FILES)), bits - TASK_BITS)
+    blocks = _count_pairs(docs, folder, firsts, min(bits, PIECE_BITS))
+    if bits > PIECE_BITS:
+        blocks = _cut_finer(blocks, PIECE_BITS, bits, 1 << task_bits)
+    rows = staged(_write_pairs(blocks, bits, task_bits, folder, starts), "pairs")
+    sums = _totals(rows)
+    facts = rows.filter(F.col("kind") != TOTAL)
+    salts = max(1, (1 << bits) // FILES_PER_SALT)
+    if salts > 1:
+        facts = _sum_facts(facts, starts, salts)
+    # the rows are written once: an aggregate that runs again would write the files again
+    follows = _totals(staged(_write_facts(facts, starts, firsts, folder), "facts"))
+    by_pair, by_word = discounts(sums[1:]), discounts(follows[:4])
     # mass that the discounts leave for words as such, spread over the vocabulary and the unknown word
-    once, twice = int(follows[0]), int(follows[1])
-    spread = float(by_word[1] * once + by_word[2] * twice + by_word[3] * (int(follows[4]) - once - twice)) / int(sums[0])
-    return Model(words, n_words, n_tokens, n_docs, pairs, facts, by_pair, by_word, int(sums[0]), spread)
+    once, twice = follows[:2]
+    spread = float(by_word[1] * once + by_word[2] * twice + by_word[3] * (follows[4] - once - twice)) / sums[0]
+    return Model(folder, firsts, n_words, n_tokens, n_docs, 1 << bits, by_pair, by_word, sums[0], spread)
 
 
 class Scorer:
     """Log10 probabilities of texts; one per task."""
 
     def __init__(self, model: Model):
-        self.model, self.words = model, Vocabulary(model.vocabulary)
-        self.firsts = np.array([w[2] for w in model.vocabulary])
-        self.facts: dict[int, list[np.ndarray]] = {}
-        self.open: dict[int, list[np.ndarray]] = {}
+        self.model, self.words = model, Vocabulary(model.folder, model.firsts)
+        self.files = self.words.files
 
     def word_facts(self, ids: np.ndarray) -> np.ndarray:
         """(count, followers once, twice, more, words followed) of ascending word numbers."""
         out = np.zeros((5, len(ids)), np.int64)
-        part = np.searchsorted(self.firsts, ids, side="right") - 1
+        firsts = self.model.firsts
+        part = np.searchsorted(firsts, ids, side="right") - 1
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]) if len(part) else [0]
         for a, b in zip(cuts[:-1], cuts[1:]):
             i = int(part[a])
-            at = ids[a:b] - self.firsts[i]
+            at = ids[a:b] - firsts[i]
             out[0, a:b] = self.words.arrays(i)[1][at]
-            if self.model.facts[i]:
-                if i not in self.facts:
-                    self.facts[i] = columns(self.model.facts[i], self.model.vocabulary[i][1], *[np.uint32] * 4)
-                for k in range(4):
-                    out[k + 1, a:b] = self.facts[i][k][at]
+            for k, column in enumerate(self.files.columns(file_name("facts", i), *[np.uint32] * 4)):
+                out[k + 1, a:b] = column[at]
         return out
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of ascending pair hashes."""
         out = np.zeros(len(keys), np.int64)
-        for i, run in _slices(keys, _bits(len(self.model.pairs))):
-            uri, n = self.model.pairs[i]
-            if not n:
+        for i, run in _slices(keys, _bits(self.model.pair_files)):
+            name = file_name("pairs", i)
+            if not self.files.exists(name):  # no pair of the training texts is in this range
                 continue
-            if i not in self.open:
-                self.open[i] = columns(uri, n, np.uint64, np.uint32)
-            there, counts = self.open[i]
-            at = np.minimum(np.searchsorted(there, keys[run]), n - 1)
+            there, counts = self.files.columns(name, np.uint64, np.uint32)
+            at = np.minimum(np.searchsorted(there, keys[run]), len(there) - 1)
             out[run] = np.where(there[at] == keys[run], counts[at], 0)
         return out
 
