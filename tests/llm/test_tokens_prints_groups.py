@@ -87,6 +87,31 @@ def test_fingerprints_with_next(spark, docs, monkeypatch):
     assert plain == {k: g.fingerprint for k, g in got.items()}
 
 
+def test_fingerprints_of_hot_ids_are_spread(spark, monkeypatch):
+    """A third of the ids is NULL, a sixth the same: their rows are many tasks', and the order holds across them."""
+    monkeypatch.setattr(fingerprints, "ROWS_PER_PART", 100)
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 6 = 1 THEN 700 ELSE id END AS doc_id",
+        "concat_ws(' ', 'text', id * 7919 % 3001, 'of', id % 50, 'words', id, 'and more') AS text")
+    got = fingerprints.with_next(df).withColumn("task", F.spark_partition_id())
+    rows = got.collect()
+    assert len(rows) == 3000
+    per_task = {}
+    for r in rows:
+        per_task[r.task] = per_task.get(r.task, 0) + 1
+    assert max(per_task.values()) <= 350
+    source = df.select("doc_id", "text", F.xxhash64("text").alias("hash")).collect()
+    count = {}
+    for r in source:
+        count[r.doc_id] = count.get(r.doc_id, 0) + 1
+    order = sorted(source, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), -r.hash if count[r.doc_id] > 1 else 0, r.text))
+    want = []
+    for r, following in zip(order, [*order[1:], order[0]]):
+        half = len(r.text) // 2
+        want.append((r.doc_id is None, r.doc_id or 0, hashlib.sha256((r.text[:len(r.text) - half] + following.text[:half]).encode()).hexdigest()))
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.edited_sha256) for r in rows) == sorted(want)
+
+
 def test_fingerprint_edges(spark, edge, empty):
     rows = fingerprints.with_next(edge).collect()
     assert len(rows) == edge.count() and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)

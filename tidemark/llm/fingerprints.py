@@ -8,12 +8,14 @@ and the likeness of two fingerprints is corrected for the 1 in 256 bytes that ag
 ``with_next`` also compares each text with the one that follows in descending id order,
 and with an edited text. The order is made by ranges of ids: the bounds (at most
 ``MAX_PARTS`` numbers) come from quantiles, each range is one sorted task, and its last
-row gets the first row of the next range sent along.
+row gets the first row of the next range sent along. An id (or NULL) that holds several
+quantiles gets as many ranges of its own, cut by the hash of the text.
 
 Defined cases: a NULL text is empty; an empty text has the fingerprint '' and is like
 other empty texts (1) and unlike the rest (0); a text of fewer than five words is one
-shingle; equal ids are ordered by their text, NULL ids come last; of a table with one
-row the next document is the row itself.
+shingle; equal ids are ordered by their text (those of an id with several ranges by the
+text's hash first), NULL ids come last; of a table with one row the next document is the
+row itself; rows equal in id and text stay in one range.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -138,28 +142,41 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     parts = max(1, min(MAX_PARTS, math.ceil(n / ROWS_PER_PART)))
     cuts = docs.agg(F.percentile_approx("key", F.array(*[F.lit(i / parts) for i in range(1, parts)]),
                                         max(10_000, 20 * parts))).first()[0] if parts > 1 else []
-    cuts = sorted(set(cuts or []))
-    # descending: the part of a key is the number of cuts not below it, found among every 128th cut first
-    bounds = F.lit(cuts[::-1]).cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
-    coarse = F.lit(cuts[::-1][127::128]).cast("array<bigint>") if len(cuts) >= 128 else F.array().cast("array<bigint>")
+    cuts = sorted(Counter(cuts or []).items(), reverse=True)
+    values = [c for c, _ in cuts]
+    # descending: the range of a key is the number of cuts not below it, found among every 128th cut first
+    bounds = F.lit(values).cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
+    coarse = F.lit(values[127::128]).cast("array<bigint>") if len(cuts) >= 128 else F.array().cast("array<bigint>")
     above = lambda a: F.size(F.filter(a, lambda b: b >= F.col("key")))
     block = above(coarse) * 128
     docs = docs.withColumn("part", block + above(F.slice(bounds, block + 1, 128)))
-    heads = sorted((r["part"], r["head"]) for r in docs.groupBy("part").agg(F.max("key").alias("head")).collect())
+    # the keys of several quantiles: their own ranges come before the rest of the range that they begin
+    own = [0] + [times if times > 1 else 0 for _, times in cuts]
+    parts = len(own) + sum(own)
+    at = lambda a, kind: F.element_at(F.lit(a).cast(f"array<{kind}>"), F.col("part") + 1)
+    if any(own):
+        hot = (at(own, "int") > 0) & (at([None, *values], "bigint") == F.col("key"))
+        docs = docs.withColumn("hash", F.when(hot, F.xxhash64(F.coalesce("text", F.lit("")))).otherwise(F.lit(0).cast("bigint")))
+        # descending hashes, like the keys
+        share = (F.lit(2.0 ** 63) - F.col("hash").cast("double")) / 2.0 ** 64
+        place = F.when(hot, F.least(F.floor(share * at(own, "int")).cast("int"), at(own, "int") - 1)).otherwise(at(own, "int"))
+        docs = docs.withColumn("part", at([i + n for i, n in enumerate(accumulate([0, *own[:-1]]))], "int") + place)
+    else:
+        docs = docs.withColumn("hash", F.lit(0).cast("bigint"))
+    heads = sorted((r["part"], *r["head"]) for r in docs.groupBy("part").agg(F.max(F.struct("key", "hash")).alias("head")).collect())
     if not heads:
         return docs.sparkSession.createDataFrame([], SCHEMA)
-    # part -> its first key, and the part whose last row it follows
-    first, before = [None] * (len(cuts) + 1), [None] * (len(cuts) + 1)
-    for k, (part, head) in enumerate(heads):
-        first[part], before[part] = head, heads[k - 1][0]
-    is_head = F.element_at(F.lit(first).cast("array<bigint>"), F.col("part") + 1) == F.col("key")
-    previous = F.element_at(F.lit(before).cast("array<int>"), F.col("part") + 1)
+    # part -> its first key and hash, and the part whose last row it follows
+    first, first_hash, before = [None] * parts, [None] * parts, [None] * parts
+    for k, (part, head, head_hash) in enumerate(heads):
+        first[part], first_hash[part], before[part] = head, head_hash, heads[k - 1][0]
+    is_head = (at(first, "bigint") == F.col("key")) & (at(first_hash, "bigint") == F.col("hash"))
     places = F.when(is_head, F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("extra")),
-                                     F.struct(previous.alias("part"), F.lit(1).alias("extra")))) \
+                                     F.struct(at(before, "int").alias("part"), F.lit(1).alias("extra")))) \
         .otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("extra"))))
-    sent = docs.select("doc_id", "text", "key", F.inline(places))
-    return (sent.repartitionById(len(first), F.col("part"))
-            .sortWithinPartitions("part", "extra", F.desc("key"), "text")
+    sent = docs.select("doc_id", "text", "key", "hash", F.inline(places))
+    return (sent.repartitionById(parts, F.col("part"))
+            .sortWithinPartitions("part", "extra", F.desc("key"), F.desc("hash"), "text")
             .select("doc_id", "text", "extra").mapInArrow(_compare, SCHEMA))
 
 
