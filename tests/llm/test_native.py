@@ -158,6 +158,15 @@ def test_license_sql_agrees_on_odd_texts(spark):
     assert sorted(tuple(r) for r in licenses.report(df).collect()) == want
 
 
+def test_targets_are_broadcast_only_while_small(spark):
+    from tidemark.llm.common import small_side
+    df = spark.range(50).selectExpr("id", "repeat('x', 100) AS source")
+    big = spark.range(10).withColumn("other", F.lit(1))
+    plan = lambda limit: big.join(small_side(df, "side", limit), "id")._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(50 * 200) and "broadcast" not in plan(1000)
+    assert big.join(small_side(df.limit(0), "side"), "id").count() == 0
+
+
 def test_key_ranges_are_even_at_every_quality(spark):
     sized = spark.range(30_000).selectExpr(
         "id AS doc_id", "IF(id % 3 = 0, NULL, IF(id % 3 = 1, 'low', 'mixed')) AS source", "id % 7 AS size",

@@ -54,6 +54,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, label: str, limit: int = 8 << 20) -> DataFrame:
+    """``df`` as the small side of a join: written, and broadcast where its rows take at most ``limit`` bytes.
+
+    Beyond that the join is left to Spark. The size is that of the rows as JSON text, measured.
+    """
+    df = staged(df, label)
+    size = df.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def rows_kept(docs: DataFrame, text_col: str, judge: Callable[[], Callable[[list], list]]) -> DataFrame:
     """The rows of ``docs`` that a judge of texts keeps, all columns as they are.
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACED_WORD, staged, table
+from tidemark.llm.common import SPACED_WORD, small_side, staged, table
 
 NAME = "op3_source_mix"
 WEIGHTS = (5, 2, 1)
@@ -82,13 +82,14 @@ def ranged(sized: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame:
     bands = sized.groupBy("source", F.floor(F.ln("quality") * BANDS).alias("band")).agg(
         F.count("*").alias("n"), ((F.min("quality") + F.max("quality")) / 2).alias("q"))
     shapes = bands.groupBy(F.col("source").alias("named")).agg(F.sort_array(F.collect_list(F.struct("q", "n"))).alias("shape"), F.sum("n").alias("members"))
-    rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    rows = rows.join(shapes, F.col("source").eqNullSafe(F.col("named")))
+    # one row per source, so a hot source is not dealt to one task
+    plans = small_side(targets.join(shapes, F.col("source").eqNullSafe(F.col("named"))).drop("named"), "targets")
+    rows = sized.join(plans, sized["source"].eqNullSafe(plans["source"])).drop(plans["source"])
     rows = rows.withColumn("key", -F.ln(uniform(F.col("doc_id"), seed)) / F.col("quality"))
     # share of the source's keys up to this one; it never falls as the key grows
     below = F.aggregate("shape", F.lit(0.0), lambda a, b: a + b["n"] * (1 - F.exp(-b["q"] * F.col("key")))) / F.col("members")
     ranges = F.greatest(F.lit(MIN_RANGES), F.ceil(F.sqrt("n_docs")))
-    return rows.withColumn("part", F.floor(below * ranges)).drop("named", "shape", "members")
+    return rows.withColumn("part", F.floor(below * ranges)).drop("shape", "members")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
