@@ -123,6 +123,14 @@ def test_viterbi_finds_the_best_path():
         assert e == s or math.isclose(value, brute_viterbi(x, 2.0), abs_tol=1e-4)
 
 
+def test_language_counts_do_not_depend_on_blocks(docs, monkeypatch):
+    rows = docs.select("text", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b").alias("lang"))
+    whole = {tuple(r) for r in language.training_counts(rows).collect()}
+    monkeypatch.setattr(language, "BLOCK", 50)
+    monkeypatch.setattr(language, "CACHE_WORDS", 300)
+    assert whole and {tuple(r) for r in language.training_counts(rows).collect()} == whole
+
+
 def test_language_accuracy_spans_and_edges(spark, edge, empty):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     rows = language.query(spark, SF01).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

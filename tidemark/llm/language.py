@@ -42,7 +42,7 @@ DIM, GRAMS = 1 << 15, 5
 CLIP, PENALTY, SMOOTHING = 6.0, 8.0, 0.5
 RARE_SCRIPT = 0.002  # a script that holds less of a language's letters than this is not one of its own
 CACHE_WORDS = 200_000
-CHUNK, BLOCK = 8 << 20, 40_000  # characters and new words that are worked on at once
+CHUNK, BLOCK = 4 << 20, 40_000  # characters and new words that are worked on at once
 # Unicode ranges of scripts: (first, last, name). Letters outside all of them are "other".
 SCRIPTS = ((0x41, 0x24F, "latin"), (0x370, 0x3FF, "greek"), (0x400, 0x52F, "cyrillic"), (0x530, 0x58F, "armenian"),
            (0x590, 0x5FF, "hebrew"), (0x600, 0x6FF, "arabic"), (0x900, 0x97F, "devanagari"), (0x980, 0x9FF, "bengali"),
@@ -122,24 +122,37 @@ def letters_of(word: str) -> str:
 
 def training_counts(docs: DataFrame) -> DataFrame:
     """(lang, bucket, n) over ``docs`` (lang, text); bucket -1 - s counts letters of script s."""
+    def counted(lang: str, chunks: Counter) -> pa.RecordBatch:
+        n, total, spelled, times = Counter(), np.zeros(DIM, np.int64), [], []
+
+        def add() -> None:
+            buckets, sizes = gram_buckets(spelled)
+            np.add(total, np.bincount(buckets, weights=np.repeat(times, sizes), minlength=DIM).astype(np.int64), out=total)
+            spelled.clear()
+            times.clear()
+
+        for chunk, k in chunks.items():
+            for word in filter(None, map(letters_of, words_of(chunk))):
+                n[-1 - script_of(word[0])] += k * len(word)
+                spelled.append(word)
+                times.append(k)
+            if len(spelled) >= BLOCK:
+                add()
+        if spelled:
+            add()
+        n.update({int(i): int(total[i]) for i in np.flatnonzero(total)})
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(list(n), pa.int32()),
+                                           pa.array(list(n.values()), pa.int64())], ["lang", "bucket", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = {}
+        held: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                words.setdefault(lang, Counter()).update(chunks_of(text))
-        for lang, counted in words.items():
-            n, spelled, times = Counter(), [], []
-            for chunk, k in counted.items():
-                for word in filter(None, map(letters_of, words_of(chunk))):
-                    n[-1 - script_of(word[0])] += k * len(word)
-                    spelled.append(word)
-                    times.append(k)
-            if spelled:
-                buckets, sizes = gram_buckets(spelled)
-                total = np.bincount(buckets, weights=np.repeat(times, sizes), minlength=DIM).astype(np.int64)
-                n.update({int(i): int(total[i]) for i in np.flatnonzero(total)})
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(list(n), pa.int32()),
-                                              pa.array(list(n.values()), pa.int64())], ["lang", "bucket", "n"])
+                held.setdefault(lang, Counter()).update(chunks_of(text))
+                if len(held[lang]) > CACHE_WORDS:
+                    yield counted(lang, held.pop(lang))
+        for lang in list(held):
+            yield counted(lang, held.pop(lang))
 
     rows = docs.select("lang", "text").mapInArrow(run, "lang string, bucket int, n bigint")
     return rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
