@@ -114,3 +114,72 @@ def test_lexicon_holds_every_pair_that_can_end_together(lexicon):
         a, b = lexicon.a[i], lexicon.b[j]
         assert (((i << 32) | j) in keys) == bool(a and b and (a.endswith(b) or b.endswith(a)))
     assert lexicon.cuts and len(keys) < alignment.MAX_PAIRS
+
+
+SCRIPTS = ["naïve café déjà vu.", "слово за словом, ещё", "ελληνικά κείμενα", "हिन्दी पाठ में", "ไทย ภาษา", "한국어 문장 입니다", "x² y½ ½ z ª º", "٣ ٤ words", "a_ _b __ c",
+           "é x e ́x", "İ ı ß ﬀ ﬁ z", "the naïve the café the"]
+
+
+def expect(lexicon, columns, texts):
+    for row, want in zip(zip(*(c.to_pylist() for c in columns), strict=True), map(brute, texts), strict=True):
+        assert row[:4] == want[:4] and row[5:7] == want[5:7] and want[4] in (None, row[4])
+        assert [(k >> 32, k & 0xFFFFFFFF) for k in lexicon.keys[row[7]].tolist()] == want[7]
+
+
+@pytest.mark.parametrize("units, size", [(0, 0), (5, 1 << 20), (40, 60), (1 << 20, 1 << 20)])
+def test_what_a_worker_forgets_changes_no_result(lexicon, monkeypatch, units, size):
+    monkeypatch.setattr(alignment, "CACHE_UNITS", units)
+    monkeypatch.setattr(alignment, "CACHE_BYTES", size, raising=False)
+    encoder = alignment.Encoder(*PATHS, lexicon)
+    texts = (ODD + SCRIPTS) * 2
+    for i in range(0, len(texts), 3):
+        expect(lexicon, encoder.columns(texts[i:i + 3]), texts[i:i + 3])
+
+
+def test_units_met_most_stay_known(lexicon, monkeypatch):
+    """Before, a full worker forgot all its units and encoded the common ones anew."""
+    monkeypatch.setattr(alignment, "CACHE_UNITS", 60)
+    encoder = alignment.Encoder(*PATHS, lexicon)
+    learned, learn = Counter(), encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda units: (learned.update(units), learn(units)))
+    common = [f"word{i}" for i in range(20)]
+    for n in range(30):
+        texts = [" ".join(common + [f"new{n}x{k}" for k in range(15)] + common)]
+        expect(lexicon, encoder.columns(texts), texts)
+    assert {learned[w] for w in common} == {1} and len(encoder.known) <= 60 + 35
+
+
+def test_repeated_units_are_aligned_once(lexicon, monkeypatch):
+    """Before, the tokens of every occurrence went through the products."""
+    tokens, align = [], alignment.align
+    monkeypatch.setattr(alignment, "align", lambda a, b: (tokens.append(len(a)), align(a, b))[1])
+    texts = ["over and over again, é et é " * 200] * 3
+    columns = alignment.Encoder(*PATHS, lexicon).columns(texts)
+    assert sum(tokens) < 40
+    expect(lexicon, columns, texts)
+
+
+def test_a_text_spelt_out_although_its_units_are_not_is_one_unit(lexicon):
+    encoder = alignment.Encoder(*PATHS, lexicon)
+    encoder.columns(["ab cd"])
+    encoder.unlike |= {"ab": b" ab c", "cd": b"d"}      # as if B put the space elsewhere
+    texts = ["ab cd", "ab ab", "cd"]
+    columns = [c.to_pylist() for c in encoder.columns(texts)]
+    assert columns[0][1:] == [0, 0] and columns[6][1:] == ["", ""]
+    assert (columns[0][0], columns[6][0]) == (brute("ab cd")[0], brute("ab cd")[6])
+
+
+def test_texts_are_cut_where_tokens_end_after_every_character(lexicon):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    pre = Tokenizer.from_file(PATHS[0]).pre_tokenizer
+    model = sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+    shown = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and len(alignment.CUT.split(f"x{chr(c)} y")) == 2]
+    assert len(shown) > 100_000
+    for i in range(0, len(shown), 500):
+        units = [f"x{c}" for c in shown[i:i + 500]]
+        text = " ".join(units)
+        starts = {span[0] for _, span in pre.pre_tokenize_str(text)}
+        assert all(i in starts for i, c in enumerate(text) if c == " ")
+        assert model.encode(text) == [k for ids in model.encode(units) for k in ids]

@@ -8,17 +8,19 @@ The product of the token-group incidence matrices gives the shared-group links,
 tokens of one group; the query counts them from the row sizes of that product and
 ``shared_links`` makes them, a bounded stretch of rows at a time.
 
-Texts of a batch are taken together in chunks, as one block-diagonal matrix: a text's last byte
-ends a token on both sides, so nothing crosses texts. Products run over stretches of rows with
-a bounded number of terms.
+Texts are cut into units whose last byte ends a token on both sides, so nothing crosses units and
+the matrices of a text are block-diagonal: its tokens, links, groups and products are those of its
+units, one behind the other. The units of a chunk that are new are taken together, as one such
+matrix. Products run over stretches of rows with a bounded number of terms.
 
 Two tokens that end together cover bytes of which one is the end of the other. So the id
 pairs that can ever be linked follow from the two vocabularies alone (``Lexicon``): some hundred
 thousand, whatever the corpus. A link is kept as its number in that list; corpus counts are one
 number a pair, added up inside the tasks, then over tasks, and sent back to the workers.
 Neither tokenizer merges over a space that follows a visible character (of B that is proven from
-its vocabulary, else texts stay whole), so texts are cut there, each chunk's units are encoded
-once, and a worker keeps the ids of those it has met. The texts are encoded once: links are written to the shared folder, and counts and the second
+its vocabulary, else texts stay whole), so texts are cut there. Each chunk's units are encoded and
+aligned once, and a worker keeps what it found for them; when that is full, the units met most stay.
+The texts are encoded once: links are written to the shared folder, and counts and the second
 pass read them from there.
 
 Defined cases: a text that is NULL, empty, or that the tokens of either side do not spell out
@@ -38,22 +40,22 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged, table
-from tidemark.llm.shingles import chunked
 from tidemark.llm.tokens import byte_letters
 
 NAME = "op12_tokenizer_alignment"
 CHUNK = 1 << 18             # characters of texts that are taken together
 TOGETHER = 32               # units that the tokenizer A takes as one text
-ID = np.int32                # of token ids as a worker keeps them
 TERMS = 1 << 22             # terms of a product that are held at once
-CACHE_UNITS = 120_000       # units whose ids a worker keeps; then it starts anew, which changes no result
-# A pre-token of A ends before a space that follows another character than white space (here: visible ASCII).
-# A last space stays with its word: B has no token for an empty unit.
-CUT = re.compile(r"(?<=[!-~]) (?=[\s\S])")
+CACHE_UNITS = 200_000       # units that a worker keeps, and their bytes; then it keeps those met most, which changes no result
+CACHE_BYTES = 1 << 22
+# A pre-token of A ends before a space that follows another character than white space (here: visible ASCII,
+# letters and digits). A last space stays with its word: B has no token for an empty unit.
+CUT = re.compile(r" (?<=[!-~\w] )(?=[\s\S])")
 MAX_PAIRS = 1 << 24         # id pairs whose counts are sent to the workers: 8 bytes each
 
 
@@ -194,9 +196,9 @@ class Lexicon:
         return self.made
 
 
-def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    data, at = ids.tobytes(), (ends * ids.itemsize).tolist()
-    return [data[i:j] for i, j in zip(at, at[1:])]
+def _closed(unit: str) -> bool:
+    """Whether a text may be cut before a space that follows ``unit``."""
+    return "!" <= unit[-1] <= "~" or unit[-1].isalnum()
 
 
 class Encoder:
@@ -211,97 +213,137 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.lexicon = lexicon
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.unlike: set[str] = set()
         self.size_a, self.size_b = (np.array([len(w) for w in words], np.int64) for words in (lexicon.a, lexicon.b))
-        # how a token is written in the digest's text: first of its group and not
-        self.written = [form + str(i) for form, n in ((";", len(lexicon.a)), (",", len(lexicon.a)), ("|", len(lexicon.b)), (",", len(lexicon.b)))
-                        for i in range(n)]
-
-    def tokens(self, texts: Sequence[str | None]) -> tuple[list[bytes], list[bytes]]:
-        """Ids (packed) of A and of B for each text; none where they do not spell the text out."""
-        parts = [(CUT.split(t) if self.lexicon.cuts else [t]) if t else [] for t in texts]
-        if len(self.known) > CACHE_UNITS:
-            self.known.clear()
-            self.unlike.clear()
-        self.learn([u for u in set(chain.from_iterable(parts)) if u not in self.known])
-        out: tuple[list, list] = ([], [])
-        for text, units in zip(texts, parts):
-            found = [self.known[u] for u in units]
-            a, b = b"".join([u[0] for u in found]), b"".join([u[1] for u in found])
-            if self.unlike and not self.unlike.isdisjoint(units) and not self.spelt(text, a, b):
-                a = b = b""
-            out[0].append(a)
-            out[1].append(b)
-        return out
-
-    def spelt(self, text: str, a: bytes, b: bytes) -> bool:
-        want = (" " + text).encode()
-        return all(b"".join([words[i] for i in np.frombuffer(ids, ID).tolist()]) == want for words, ids in ((self.lexicon.a, a), (self.lexicon.b, b)))
+        # how a token is written in the digest's text: first of its unit, first of its group and not
+        self.forms = [form + str(i) for form, n in (("\n", len(lexicon.a)), (";", len(lexicon.a)), (",", len(lexicon.a)),
+                                                    ("|", len(lexicon.b)), (",", len(lexicon.b))) for i in range(n)]
+        # the units by their numbers, which go up in ``known``
+        self.known: dict[str, int] = {}
+        self.unlike: dict[str, bytes] = {}              # what B spells in place of a unit
+        self.written: list[str] = []
+        self.sums = np.zeros((0, 5), np.int64)          # n_a, n_b, n_links, n_overlaps, n_shared
+        self.links = np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.int64)
+        self.bytes = np.zeros(0, np.int64)
 
     def learn(self, units: list[str]) -> None:
-        """Encode units that are not known; those that their tokens do not spell out are noted in ``unlike``."""
+        """Encode and align units that are not known; those that B does not spell out are noted in ``unlike``."""
         if not units:
             return
-        # A takes several at once where each ends with a visible character, as the texts were cut
-        units = sorted(units, key=lambda u: not (u and "!" <= u[-1] <= "~"))
-        n = sum(1 for u in units if u and "!" <= u[-1] <= "~")
+        # A takes several at once where each ends as the texts were cut
+        closed = [u for u in units if _closed(u)]
+        n = len(closed)
+        units = closed + [u for u in units if not _closed(u)] if n < len(units) else closed
         spaced = [" " + u for u in units]
         joined = ["".join(spaced[i:min(i + TOGETHER, n)]) for i in range(0, n, TOGETHER)] + spaced[n:]
         want = [u.encode() for u in spaced]
-        bounds, whole = np.concatenate([[0], np.cumsum([len(w) for w in want])]), b"".join(want)
-        packed = []
+        size, whole = np.fromiter(map(len, want), np.int64, len(want)), b"".join(want)
+        bounds = np.concatenate([[0], np.cumsum(size)])
 
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(found), ID)
-        upto = np.concatenate([[0], np.cumsum(self.size_a[flat])])
+        ids = list(chain.from_iterable([e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]))
+        a = np.array(ids, np.int64)
+        upto = np.concatenate([[0], np.cumsum(self.size_a[a])])
         ends = np.searchsorted(upto, bounds)
-        if upto[-1] != len(whole) or (upto[ends] != bounds).any() or b"".join([self.lexicon.a[i] for i in flat.tolist()]) != whole:
+        if upto[-1] != len(whole) or (upto[ends] != bounds).any() or b"".join(map(self.lexicon.a.__getitem__, ids)) != whole:
             raise ValueError("the byte-level tokenizer does not spell its input")    # it has a token for every byte
-        packed.append(_cut(flat, ends))
-
-        ids = self.model.encode(units, num_threads=1)
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-        flat = np.fromiter(chain.from_iterable(ids), ID, ends[-1])
-        upto = np.concatenate([[0], np.cumsum(self.size_b[flat])])
-        if b"".join([self.lexicon.b[i] for i in flat.tolist()]) == whole:
-            like = upto[ends] == bounds
-            like = like[1:] & like[:-1]
-        else:
-            like = np.array([b"".join([self.lexicon.b[i] for i in x]) == w for x, w in zip(ids, want)])
-        packed.append(_cut(flat, ends))
-        self.known.update(zip(units, zip(*packed)))
-        if not like.all():
-            self.unlike.update(u for u, k in zip(units, like.tolist()) if not k)
-
-    def columns(self, texts: Sequence[str | None]) -> list[pa.Array]:
-        """n_a, n_b, n_groups, n_links, n_overlaps, n_shared, groups_sha256 and links of each text."""
-        packed = self.tokens(texts)
-        n_a, n_b = (np.array([len(x) for x in side], np.int64) // np.dtype(ID).itemsize for side in packed)
-        a, b = (np.frombuffer(b"".join(side), ID).astype(np.int64) for side in packed)
+        n_a = np.diff(ends)
+
+        pieces = self.model.encode(units, num_threads=1)
+        n_b = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ids = list(chain.from_iterable(pieces))
+        b = np.array(ids, np.int64)
+        ends = np.concatenate([[0], np.cumsum(n_b)])
+        upto = np.concatenate([[0], np.cumsum(self.size_b[b])])
+        if (upto[ends] != bounds).any() or b"".join(map(self.lexicon.b.__getitem__, ids)) != whole:
+            spelt = [b"".join([self.lexicon.b[i] for i in x]) for x in pieces]
+            like = np.array([x == w for x, w in zip(spelt, want)])
+            self.unlike.update((units[i], spelt[i]) for i in np.flatnonzero(~like).tolist())
+            a, b = a[np.repeat(like, n_a)], b[np.repeat(like, n_b)]
+            n_a, n_b = n_a * like, n_b * like           # the others count as without tokens
+        self.known.update(zip(units, range(len(self.known), len(self.known) + len(units))))
+        self.keep(a, b, n_a, n_b)
+        self.uses = np.concatenate([self.uses, np.zeros(len(units), np.int64)])
+        self.bytes = np.concatenate([self.bytes, size])
+
+    def keep(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> None:
+        """Align units, given their ids one behind the other and how many each has, and add what is found."""
         found = align(self.size_a[a], self.size_b[b])
-        text_a = np.repeat(np.arange(len(texts)), n_a)
-        links = np.bincount(text_a[found.link_a], minlength=len(texts))
-        add = lambda values: np.bincount(text_a, weights=values, minlength=len(texts)).astype(np.int64)
+        per_unit = lambda n, values: np.diff(np.concatenate([[0], np.cumsum(values)])[np.concatenate([[0], np.cumsum(n)])])
+        linked = np.zeros(len(a), np.int64)
+        linked[found.link_a] = 1
+        self.sums = np.concatenate([self.sums, np.stack(
+            [n_a, n_b, per_unit(n_a, linked), per_unit(n_a, found.overlaps_of), per_unit(n_a, found.shared_counts())], axis=1)])
+        pair = np.searchsorted(self.lexicon.keys, (a[found.link_a] << 32) | b[found.link_b])
+        self.links = np.concatenate([self.links, pair.astype(np.int32)])
 
         # places of the tokens in the written form: A's of a group, then B's
         groups = len(found.link_a)
         upto_a, upto_b = (np.concatenate([[0], np.cumsum(np.bincount(g, minlength=groups))]) for g in (found.group_a, found.group_b))
-        place_a = np.arange(len(a)) + upto_b[found.group_a]
-        place_b = np.arange(len(b)) + upto_a[found.group_b + 1]
-        codes = np.empty(len(a) + len(b), np.int64)
         first = lambda g: np.concatenate([[True], np.diff(g) != 0])[:len(g)]
-        codes[place_a] = a + np.where(first(found.group_a), 0, len(self.size_a))
-        codes[place_b] = b + 2 * len(self.size_a) + np.where(first(found.group_b), 0, len(self.size_b))
-        ends, digests, at = np.cumsum(n_a + n_b).tolist(), [], 0
-        for end in ends:
-            written = "".join(map(self.written.__getitem__, codes[at:end].tolist()))[1:]
-            digests.append(sha256(written.encode()).hexdigest() if end > at else "")
-            at = end
-        pair = np.searchsorted(self.lexicon.keys, (a[found.link_a] << 32) | b[found.link_b])
-        offsets = np.concatenate([[0], np.cumsum(links)]).astype(np.int32)
-        return [pa.array(n_a), pa.array(n_b), pa.array(links), pa.array(links), pa.array(add(found.overlaps_of)), pa.array(add(found.shared_counts())),
-                pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(pair.astype(np.int32)))]
+        form_a = np.where(first(found.group_a), 1, 2)
+        form_a[(np.cumsum(n_a) - n_a)[n_a > 0]] = 0
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + upto_b[found.group_a]] = a + form_a * len(self.size_a)
+        codes[np.arange(len(b)) + upto_a[found.group_b + 1]] = b + 3 * len(self.size_a) + np.where(first(found.group_b), 0, len(self.size_b))
+        texts = iter("".join(map(self.forms.__getitem__, codes.tolist())).split("\n")[1:])
+        self.written += texts if (n_a > 0).all() else [next(texts) if n else "" for n in n_a.tolist()]
+
+    def forget(self) -> None:
+        """Keep the units met most that fit in half the room, and half their uses."""
+        order = np.argsort(-self.uses, kind="stable")[:CACHE_UNITS // 2]
+        kept = np.sort(order[(np.cumsum(self.bytes[order]) <= CACHE_BYTES // 2) & (self.uses[order] > 1)])
+        units, at = list(self.known), self.links_of(kept)
+        self.known = {units[i]: n for n, i in enumerate(kept.tolist())}
+        self.unlike = {u: spelt for u, spelt in self.unlike.items() if u in self.known}
+        self.written = [self.written[i] for i in kept.tolist()]
+        self.links, self.sums, self.uses, self.bytes = self.links[at], self.sums[kept], (self.uses[kept] + 1) // 2, self.bytes[kept]
+
+    def links_of(self, units: np.ndarray) -> np.ndarray:
+        """Places in ``links`` of the links of units (numbers), one behind the other."""
+        ends, size = np.cumsum(self.sums[:, 2]), self.sums[units, 2]
+        return np.repeat(ends[units] - np.cumsum(size), size) + np.arange(int(size.sum()))
+
+    def numbers(self, units: set[str]) -> dict[str, int]:
+        """The numbers of units, all known then."""
+        out = {u: self.known.get(u, -1) for u in units}
+        new = [u for u, n in out.items() if n < 0]
+        self.learn(new)
+        out.update((u, self.known[u]) for u in new)
+        return out
+
+    def units(self, texts: Sequence[str | None]) -> tuple[list[list[str]], dict[str, int]]:
+        """The units of each text (none where the tokens do not spell the text out) and their numbers."""
+        if len(self.known) > CACHE_UNITS or self.bytes.sum() > CACHE_BYTES:
+            self.forget()
+        parts = [(CUT.split(t) if self.lexicon.cuts else [t]) if t else [] for t in texts]
+        numbers = self.numbers(set(chain.from_iterable(parts)))
+        if not self.unlike.keys().isdisjoint(numbers):
+            for i, units in enumerate(parts):
+                if not self.unlike.keys().isdisjoint(units):
+                    parts[i] = self.spelt(texts[i], units)
+                    numbers |= self.numbers(set(parts[i]))
+        return parts, numbers
+
+    def spelt(self, text: str, units: list[str]) -> list[str]:
+        """A text with units that are spelt otherwise: as one unit if it is spelt out all the same, else none."""
+        if b"".join([self.unlike[u] if u in self.unlike else (" " + u).encode() for u in units]) != (" " + text).encode():
+            return []
+        self.numbers({text})
+        return [] if text in self.unlike else [text]
+
+    def columns(self, texts: Sequence[str | None]) -> list[pa.Array]:
+        """n_a, n_b, n_groups, n_links, n_overlaps, n_shared, groups_sha256 and links of each text."""
+        parts, numbers = self.units(texts)
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
+        found = list(map(numbers.__getitem__, chain.from_iterable(parts)))
+        unit = np.array(found, np.int64)
+        self.uses += np.bincount(unit, minlength=len(self.known))
+        upto = np.concatenate([np.zeros((1, self.sums.shape[1]), np.int64), np.cumsum(self.sums[unit], axis=0)])
+        n_a, n_b, links, overlaps, shared = (upto[ends[1:]] - upto[ends[:-1]]).T
+        written = list(map(self.written.__getitem__, found))
+        digests = [sha256(";".join(written[i:j]).encode()).hexdigest() if j > i else "" for i, j in zip(ends.tolist(), ends[1:].tolist())]
+        return [*map(pa.array, (n_a, n_b, links, links, overlaps, shared)), pa.array(digests, pa.string()),
+                pa.ListArray.from_arrays(pa.array(upto[ends, 2].astype(np.int32)), pa.array(self.links[self.links_of(unit)]))]
 
 
 # --- jobs ---------------------------------------------------------------------------------
@@ -320,9 +362,12 @@ class Aligned:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder = shipped.value.encoder(path_a, path_b)
             for batch in batches:
-                texts = batch.column("text").to_pylist()
-                for i, j in chunked(texts, CHUNK):
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), *encoder.columns(texts[i:j])], ["doc_id", *COLUMNS])
+                upto = np.concatenate([[0], np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+                i = 0
+                while i < len(batch):   # texts are made a chunk at a time
+                    rows = batch.slice(i, max(1, int(np.searchsorted(upto, upto[i] + CHUNK, "right")) - 1 - i))
+                    yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *encoder.columns(rows.column("text").to_pylist())], ["doc_id", *COLUMNS])
+                    i += len(rows)
 
         self.rows = staged(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA), "links")
 
