@@ -40,7 +40,7 @@ import xxhash
 
 from tidemark.llm.common import fresh_name, staged, table
 from tidemark.llm.components import connected_components
-from tidemark.llm.shingles import WordHashes, chunked, shingles
+from tidemark.llm.shingles import WordHashes, shingles, text_runs
 
 NAME = "op6_near_duplicates"
 TREES, DEPTH, MIN_DEPTH, NEAR, BEST = 16, 8, 3, 4, 2
@@ -85,9 +85,8 @@ def signatures(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for i, j in chunked(texts):
-            h, sizes = shingle_sets(texts[i:j], hashes)
+        for i, j, texts in text_runs(batch.column("text")):
+            h, sizes = shingle_sets(texts, hashes)
             sig = iter(signatures(h, sizes))
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").slice(i, j - i), batch.column("text_hash").slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(set_keys(h, sizes), pa.binary()),
@@ -97,9 +96,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for i, j in chunked(texts):
-            h, sizes = shingle_sets(texts[i:j], hashes)
+        for _, _, texts in text_runs(batch.column("text")):
+            h, sizes = shingle_sets(texts, hashes)
             parts = np.split(h, np.cumsum(sizes)[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(set_keys(h, sizes), pa.binary()),
                                               pa.array([p.tobytes() for p in parts], pa.binary())], ["key", "members"])
@@ -265,16 +263,14 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     both = pairs.union(pairs.select("b", "a", "like"))
     best = both.groupBy("a").agg(F.slice(F.sort_array(F.collect_set(F.struct("like", "b")), asc=False), 1, BEST).alias("best"))
     best = best.select("a", F.explode("best.b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = staged(_checked(best, sets), "links")
-    roots = staged(connected_components(links), "roots")
+    roots = staged(connected_components(_checked(best, sets)), "roots")
 
     # then every candidate whose ends are still apart
     ends = lambda df, s: df.join(roots.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}")), s, "left") \
         .withColumn(f"root_{s}", F.coalesce(f"root_{s}", s))
     apart = ends(ends(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), "a"), "b").filter("root_a != root_b")
     more = _checked(apart, sets)
-    merged = staged(ends(ends(more, "a"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "merged")
-    tops = connected_components(merged)
+    tops = connected_components(ends(ends(more, "a"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
 
     regroup = lambda df, tops: df.join(tops, F.col("group") == F.col("node"), "left").select(
         "key", "least", F.coalesce("root", "group").alias("group"))
@@ -289,7 +285,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rest = likely(apart_pairs(rare).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
     group_of = lambda s: named.select(F.col("key").alias(s), F.col("group").alias(f"group_{s}"))
     late = _checked(rest, sets).join(group_of("a"), "a").join(group_of("b"), "b")
-    late = connected_components(staged(late.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")), "late"))
+    late = connected_components(late.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")))
     named = staged(regroup(named, late), "groups")
     smallest = named.groupBy("group").agg(F.min("least").alias("component"))
     by_key = named.join(smallest, "group").select("key", "group", "component")

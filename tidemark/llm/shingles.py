@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 WIDTH = 5
 CACHE_WORDS = 300_000
+RUN_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -67,3 +70,16 @@ def chunked(texts: list[str | None], limit: int = 4 << 20) -> Iterator[tuple[int
             start, size = i + 1, 0
     if start < len(texts):
         yield start, len(texts)
+
+
+def text_runs(texts: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, int, list[str | None]]]:
+    """(start, end, texts) of runs of about ``limit`` bytes of a column; a longer text is a run of its own.
+
+    Only one run at a time is there as Python strings, however many rows a batch has.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = done = 0
+    while start < len(ends):
+        end = min(int(np.searchsorted(ends, done + limit)) + 1, len(ends))
+        yield start, end, texts.slice(start, end - start).to_pylist()
+        start, done = end, int(ends[end - 1])
